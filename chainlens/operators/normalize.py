@@ -27,10 +27,20 @@ PATH_SEP = " -> "
 
 
 class J:
-    """Field access on one VARIANT column with Python-style truthiness."""
+    """Field access on one VARIANT column with Python-style truthiness.
 
-    def __init__(self, v: Column):
+    Type probes (``schema_of_variant`` of a sub-path) are not inlined into
+    every expression that needs them: each distinct path becomes one column,
+    added by ``stage(df)`` in a projection of its own.  That keeps the final
+    expressions small enough for whole-stage codegen and evaluates each probe
+    once per row.
+    """
+
+    def __init__(self, v: Column, prefix: str = "_t"):
         self.v = v
+        self.prefix = prefix
+        self.paths: dict[str, str] = {}
+        self.falsy_paths: dict[str, str] = {}
 
     def sub(self, path: str) -> Column:
         return F.try_variant_get(self.v, path, "variant")
@@ -41,12 +51,32 @@ class J:
     def typ(self, path: str) -> Column:
         """'OBJECT', 'ARRAY', 'STRING', 'BIGINT', 'DECIMAL(..)', 'DOUBLE', 'BOOLEAN',
         'VOID' (JSON null), or NULL when the path is missing."""
-        return F.substring_index(F.schema_of_variant(self.sub(path)), "<", 1)
+        if path not in self.paths:
+            self.paths[path] = f"{self.prefix}{len(self.paths)}"
+        return F.col(self.paths[path])
+
+    def stage(self, df: DataFrame) -> DataFrame:
+        """Add the probed type columns, then the truthiness columns, to ``df``
+        (which must carry the variant column)."""
+        typed = df.select("*", *[
+            F.substring_index(F.schema_of_variant(self.sub(p)), "<", 1).alias(n) for p, n in self.paths.items()
+        ])
+        return typed.select("*", *[self._falsy_expr(p).alias(n) for p, n in self.falsy_paths.items()])
+
+    def drop(self, df: DataFrame) -> DataFrame:
+        return df.drop(*self.paths.values())
 
     def missing(self, path: str) -> Column:
         return self.typ(path).isNull()
 
     def falsy(self, path: str) -> Column:
+        """Python falsiness of the value at ``path`` (missing counts as falsy)."""
+        if path not in self.falsy_paths:
+            self.typ(path)
+            self.falsy_paths[path] = f"{self.prefix}f{len(self.falsy_paths)}"
+        return F.col(self.falsy_paths[path])
+
+    def _falsy_expr(self, path: str) -> Column:
         t = self.typ(path)
         return (
             F.when(t.isNull() | (t == "VOID"), True)
@@ -94,7 +124,7 @@ def normalize_findings_checked(raw: DataFrame, raw_col: str = "raw") -> DataFram
     Reads both the flat form and the nested OCSF form of the scanner output.
     Input columns other than ``raw_col`` pass through (e.g. a sequence number).
     """
-    v = F.try_parse_json(F.col(raw_col))
+    v = F.col("_v")
     j = J(v)
     rem_t = j.typ("$.remediation")
     rem_is_str = rem_t == "STRING"
@@ -163,12 +193,25 @@ def normalize_findings_checked(raw: DataFrame, raw_col: str = "raw") -> DataFram
         "raw_json": F.col(raw_col),
     }
     passthrough = [c for c in raw.columns if c != raw_col]
-    return raw.select(*passthrough, *[c.alias(n) for n, c in out.items()], (~bad).alias("_parsed"))
+    staged = j.stage(raw.select("*", F.try_parse_json(F.col(raw_col)).alias("_v")))
+    return staged.select(*passthrough, *[c.alias(n) for n, c in out.items()], (~bad).alias("_parsed"))
+
+
+def keep_parsed(checked: DataFrame) -> DataFrame:
+    """Drop the rows flagged ``_parsed = false``.
+
+    Written as an explode of a 0/1-element array rather than ``where``: the
+    optimizer pushes a Filter below the projections and substitutes every
+    staged column into the predicate, which would re-parse the JSON once per
+    reference.  A generator is not pushed through, so each row is parsed once.
+    """
+    return checked.select("*", F.explode(F.when(F.col("_parsed"), F.array(F.lit(1)))).alias("_keep")) \
+        .drop("_keep", "_parsed")
 
 
 def normalize_findings(raw: DataFrame, raw_col: str = "raw") -> DataFrame:
     """C-1 with unparseable rows dropped."""
-    return normalize_findings_checked(raw, raw_col).where("_parsed").drop("_parsed")
+    return keep_parsed(normalize_findings_checked(raw, raw_col))
 
 
 # -- C-10: CVE reports -----------------------------------------------------------------
@@ -182,11 +225,13 @@ def normalize_cves(docs: DataFrame, doc_col: str = "doc", instance_col: str = "i
     the input (the scan's context), so one job handles many accounts.
     Output keeps input order columns ``_result`` / ``_vuln`` (positions).
     """
-    root = J(F.try_parse_json(F.col(doc_col)))
-    results = F.when(root.typ("$") == "ARRAY", root.get("$", "array<variant>")) \
-        .otherwise(root.get("$.Results", "array<variant>"))
+    root = F.col("_root")
+    results = F.when(F.startswith(F.schema_of_variant(root), F.lit("ARRAY")),
+                     F.try_variant_get(root, "$", "array<variant>")) \
+        .otherwise(F.try_variant_get(root, "$.Results", "array<variant>"))
     passthrough = [c for c in docs.columns if c != doc_col]
-    r = docs.select(*passthrough, F.posexplode(F.coalesce(results, F.array().cast("array<variant>")))
+    parsed = docs.select(*passthrough, F.try_parse_json(F.col(doc_col)).alias("_root"))
+    r = parsed.select(*passthrough, F.posexplode(F.coalesce(results, F.array().cast("array<variant>")))
                     .alias("_result", "_r"))
     vulns = F.try_variant_get(F.col("_r"), "$.Vulnerabilities", "array<variant>")
     x = r.select(*passthrough, "_result",
@@ -195,8 +240,7 @@ def normalize_cves(docs: DataFrame, doc_col: str = "doc", instance_col: str = "i
     nvd = v.get("$.CVSS.nvd.V3Score", "decimal(4,1)")
     redhat = v.get("$.CVSS.redhat.V3Score", "decimal(4,1)")
     iid, acct, reg = F.col(instance_col), F.col(account_col), F.col(region_col)
-    return x.select(
-        *[c for c in passthrough if c not in (instance_col, account_col, region_col)], "_result", "_vuln",
+    cols = [
         F.concat(F.lit("arn:aws:ec2:"), reg, F.lit(":"), acct, F.lit(":instance/"), iid).alias("resource_arn"),
         iid.alias("instance_id"), acct.alias("account_id"), reg.alias("region"),
         v.get_default("$.VulnerabilityID", "").alias("cve_id"),
@@ -211,7 +255,9 @@ def normalize_cves(docs: DataFrame, doc_col: str = "doc", instance_col: str = "i
         v.get_default("$.PrimaryURL", "").alias("primary_url"),
         F.lit("OPEN").alias("status"),
         F.to_json(F.col("_v")).alias("raw_json"),
-    )
+    ]
+    return v.stage(x).select(
+        *[c for c in passthrough if c not in (instance_col, account_col, region_col)], "_result", "_vuln", *cols)
 
 
 def instance_id_from_file(file_name: Column) -> Column:
@@ -225,88 +271,106 @@ def _last_part(arn: Column) -> Column:
     return F.when(nonblank(arn).isNotNull(), F.substring_index(arn, "/", -1)).otherwise(F.lit(""))
 
 
+def _vtype(v: Column) -> Column:
+    return F.substring_index(F.schema_of_variant(v), "<", 1)
+
+
 def normalize_iam_paths_checked(items: DataFrame, item_col: str = "item", account_col: str = "account_id",
                                 region_col: str = "region") -> DataFrame:
-    """C-11: one path-finding object per row -> IAM_RISKS columns + ``_parsed``."""
-    f = J(F.try_parse_json(F.col(item_col)))
+    """C-11: one path-finding object per row -> IAM_RISKS columns + ``_parsed``.
+
+    Built as a chain of projections, each naming the values the next one
+    reuses (detail object, source/target ARNs, node list, admin flag), so no
+    sub-expression is copied into its consumers.
+    """
+    f = J(F.col("_f"), prefix="_tf")
+    d = J(F.col("_d"), prefix="_td")
     use_detail = ~f.falsy("$.detail")
-    det = F.when(use_detail, f.sub("$.detail")).otherwise(f.sub("$.details"))
-    d = J(det)
-    det_falsy = F.when(use_detail, F.lit(False)).otherwise(f.falsy("$.details"))
-    det_bad = ~det_falsy & (F.substring_index(F.schema_of_variant(det), "<", 1) != "OBJECT")
+    # detail = finding.detail or finding.details or {}
+    s2 = [F.when(use_detail, f.sub("$.detail")).otherwise(f.sub("$.details")).alias("_d"),
+          F.when(use_detail, F.lit(False)).otherwise(f.falsy("$.details")).alias("_dfalsy"),
+          f.get_default("$.source_arn", "").alias("_src_top"), f.get_default("$.target_arn", "").alias("_tgt_top"),
+          (~f.falsy("$.is_admin_path")).alias("_is_admin_path"),
+          ((f.typ("$") != "OBJECT") | f.typ("$").isNull()).alias("_bad_root"),
+          f.get_default("$.description", "").alias("_description"),
+          F.when(f.missing("$.path"), F.parse_json(F.lit("[]"))).otherwise(f.sub("$.path")).alias("_path_top")]
+    dfalsy = F.col("_dfalsy")
 
     def from_detail(key: str, top: str) -> Column:
-        dv = F.when(~det_falsy & ~d.falsy(f"$.{key}"), d.get(f"$.{key}"))
-        return F.coalesce(dv, f.get_default(f"$.{top}", ""))
-
-    src = from_detail("source", "source_arn")
-    tgt = from_detail("destination", "target_arn")
-    path_v = F.when(~det_falsy & ~d.falsy("$.path"), d.sub("$.path")).otherwise(
-        F.when(f.missing("$.path"), F.parse_json(F.lit("[]"))).otherwise(f.sub("$.path")))
-    pv = J(path_v)
-    is_list = pv.typ("$") == "ARRAY"
-    nodes = F.when(is_list, pv.get("$", "array<variant>"))
-    n_nodes = F.coalesce(F.size(nodes), F.lit(0))
+        return F.coalesce(F.when(~dfalsy & ~d.falsy(f"$.{key}"), d.get(f"$.{key}")), F.col(top))
+
+    s4 = [from_detail("source", "_src_top").alias("_src"), from_detail("destination", "_tgt_top").alias("_tgt"),
+          F.when(~dfalsy & ~d.falsy("$.path"), d.sub("$.path")).otherwise(F.col("_path_top")).alias("_p"),
+          (~dfalsy & (_vtype(F.col("_d")) != "OBJECT")).alias("_det_bad")]
+
+    pcol = F.col("_p")
+    is_list = F.startswith(F.schema_of_variant(pcol), F.lit("ARRAY"))
+    s5 = [F.when(is_list, F.try_variant_get(pcol, "$", "array<variant>")).alias("_nodes"),
+          _last_part(F.col("_src")).alias("_src_name"), _last_part(F.col("_tgt")).alias("_tgt_name")]
+
+    nodes = F.coalesce(F.col("_nodes"), F.array().cast("array<variant>"))
+    n_nodes = F.size(nodes)
 
     def node_text(n):
-        t = F.substring_index(F.schema_of_variant(n), "<", 1)
+        t = _vtype(n)
         arn = F.try_variant_get(n, "$.arn", "string")
         return (F.when(t == "OBJECT", F.coalesce(arn, F.to_json(n)))
                 .when(t == "STRING", F.try_variant_get(n, "$", "string"))
                 .when(t == "VOID", F.lit("None"))
                 .otherwise(F.to_json(n)))
 
-    def node_is_obj(n):
-        return F.substring_index(F.schema_of_variant(n), "<", 1) == "OBJECT"
-
     def has_action(n):
-        return node_is_obj(n) & F.substring_index(
-            F.schema_of_variant(F.try_variant_get(n, "$.action", "variant")), "<", 1).isNotNull()
+        return (_vtype(n) == "OBJECT") & _vtype(F.try_variant_get(n, "$.action", "variant")).isNotNull()
 
     # n.get("arn") present but null makes the join raise: the row is skipped.
-    null_arn = F.exists(F.coalesce(nodes, F.array().cast("array<variant>")),
-                        lambda n: node_is_obj(n) & (F.substring_index(
-                            F.schema_of_variant(F.try_variant_get(n, "$.arn", "variant")), "<", 1) == "VOID"))
-    path_str = F.when(is_list & (n_nodes > 0), F.array_join(F.transform(nodes, node_text), PATH_SEP)) \
-        .otherwise(F.concat_ws(PATH_SEP, src, tgt))
-    actions = F.transform(F.filter(F.coalesce(nodes, F.array().cast("array<variant>")), has_action),
-                          lambda n: F.try_variant_get(n, "$.action", "string"))
-    methods = F.when(F.size(actions) > 0, actions).otherwise(F.array(F.lit(DEFAULT_METHOD)))
-    src_name, tgt_name = _last_part(src), _last_part(tgt)
-    kw = F.lower(tgt_name)
+    null_arn = F.exists(nodes, lambda n: (_vtype(n) == "OBJECT") &
+                        (_vtype(F.try_variant_get(n, "$.arn", "variant")) == "VOID"))
+    actions = F.transform(F.filter(nodes, has_action), lambda n: F.try_variant_get(n, "$.action", "string"))
+    kw = F.lower(F.col("_tgt_name"))
     keyword_hit = None
     for k in ADMIN_KEYWORDS:
-        hit = kw.contains(k)
-        keyword_hit = hit if keyword_hit is None else keyword_hit | hit
-    admin = keyword_hit | ~f.falsy("$.is_admin_path")
-    hops_raw = F.when(is_list & (n_nodes > 0), n_nodes - 1).otherwise(F.lit(1))
-    severity = F.when(admin & (hops_raw <= 2), "CRITICAL").when(admin, "HIGH").otherwise("MEDIUM")
-    bad = (f.typ("$") != "OBJECT") | f.typ("$").isNull() | det_bad | src.isNull() | tgt.isNull() | \
-        F.coalesce(null_arn, F.lit(False))
+        keyword_hit = kw.contains(k) if keyword_hit is None else keyword_hit | kw.contains(k)
+    s6 = [
+        F.when(n_nodes > 0, F.array_join(F.transform(nodes, node_text), PATH_SEP))
+        .otherwise(F.concat_ws(PATH_SEP, F.col("_src"), F.col("_tgt"))).alias("_path"),
+        F.when(F.size(actions) > 0, actions).otherwise(F.array(F.lit(DEFAULT_METHOD))).alias("_methods"),
+        (keyword_hit | F.col("_is_admin_path")).alias("_admin"),
+        F.when(n_nodes > 0, n_nodes - 1).otherwise(F.lit(1)).alias("_hops_raw"),
+        (F.col("_bad_root") | F.col("_det_bad") | F.col("_src").isNull() | F.col("_tgt").isNull()
+         | F.coalesce(null_arn, F.lit(False))).alias("_bad"),
+    ]
+    admin, hops_raw = F.col("_admin"), F.col("_hops_raw")
+    src, tgt = F.col("_src"), F.col("_tgt")
     passthrough = [c for c in items.columns if c not in (item_col, account_col, region_col)]
-    return items.select(
-        *passthrough,
+    out = [
         F.col(account_col).alias("account_id"), F.col(region_col).alias("region"),
         src.alias("source_arn"),
         F.when(F.coalesce(src, F.lit("")).contains(":role/"), "role").otherwise("user").alias("source_type"),
-        src_name.alias("source_name"),
+        F.col("_src_name").alias("source_name"),
         tgt.alias("target_arn"),
         F.when(F.coalesce(tgt, F.lit("")).contains(":role/"), "role").otherwise("user").alias("target_type"),
-        tgt_name.alias("target_name"),
+        F.col("_tgt_name").alias("target_name"),
         admin.alias("target_is_admin"),
-        path_str.alias("path"),
+        F.col("_path").alias("path"),
         F.greatest(hops_raw, F.lit(1)).cast("int").alias("hops"),
-        methods.alias("methods"),
-        severity.alias("severity"),
-        f.get_default("$.description", "").alias("description"),
+        F.col("_methods").alias("methods"),
+        F.when(admin & (hops_raw <= 2), "CRITICAL").when(admin, "HIGH").otherwise("MEDIUM").alias("severity"),
+        F.col("_description").alias("description"),
         F.col(item_col).alias("raw_json"),
-        (~bad).alias("_parsed"),
-    )
+        (~F.col("_bad")).alias("_parsed"),
+    ]
+    x = f.stage(items.select("*", F.try_parse_json(F.col(item_col)).alias("_f")))
+    x = x.select("*", *s2)
+    x = d.stage(x)
+    x = x.select("*", *s4)
+    x = x.select("*", *s5)
+    x = x.select("*", *s6)
+    return x.select(*passthrough, *out)
 
 
 def normalize_iam_paths(items: DataFrame, item_col: str = "item", account_col: str = "account_id",
                         region_col: str = "region") -> DataFrame:
-    return normalize_iam_paths_checked(items, item_col, account_col, region_col).where("_parsed").drop("_parsed")
+    return keep_parsed(normalize_iam_paths_checked(items, item_col, account_col, region_col))
 
 
 # -- C-12 … C-17: inventory projections ------------------------------------------------

@@ -179,3 +179,18 @@ def step_summary(sync_log: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("steps"),
         F.count_if(F.col("status") == "error").alias("failed_steps"),
     )
+
+
+def ingest_stats(checked: DataFrame, key=("account_id", "resource_arn", "check_id")) -> DataFrame:
+    """G-13: loaded / parsed / skipped for one findings batch.
+
+    ``checked`` is the output of ``normalize_findings_checked``.  As in the
+    original, "parsed" counts rows left after the in-batch de-duplication, so
+    "skipped" covers both unparseable rows and duplicates.
+    """
+    keys = [F.col(k) for k in key]
+    agg = checked.agg(
+        F.count(F.lit(1)).alias("loaded"),
+        F.count_distinct(*[F.when(F.col("_parsed"), k) for k in keys]).alias("parsed"),
+    )
+    return agg.select("loaded", "parsed", (F.col("loaded") - F.col("parsed")).alias("skipped"))
