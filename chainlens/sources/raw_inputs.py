@@ -36,7 +36,7 @@ def _id_of(col: str, mapping: dict) -> Column:
     return e.otherwise(0)
 
 
-def raw_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_findings(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
     """(seq, raw): one finding object per order, in four shapes by seq % 4.
 
     0  nested form, numeric severity/status ids, remediation object with code
@@ -89,7 +89,8 @@ def raw_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.regexp_replace(ocsf_text_json, r'"account":(\{[^}]*\})', '"cloud":{"account":$1}'))
     raw = (F.when(seq % 4 == 0, F.to_json(ocsf)).when(seq % 4 == 1, F.to_json(flat_obj))
            .when(seq % 4 == 2, F.to_json(flat_str)).otherwise(shape3))
-    return f.select(seq.alias("seq"), raw.alias("raw"))
+    key = [F.col(c) for c in ("account_id", "resource_arn", "check_id")] if with_key else []
+    return f.select(seq.alias("seq"), raw.alias("raw"), *key)
 
 
 def raw_cve_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
