@@ -99,3 +99,44 @@ def test_plan_shape(t):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     top = H.top_attack_chains(E.attack_chains(t["i"], t["f"], t["c"], t["r"]))
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_alert_payloads(t, spark):
+    from chainlens.operators import reports as K
+
+    chains = E.attack_chains(t["i"], t["f"], t["c"], t["r"])
+    payload = json.loads(K.chain_alert_payload(chains).collect()[0].payload)
+    blocks = payload["blocks"]
+    assert blocks[0]["type"] == "header" and blocks[1]["text"]["text"].startswith("*5 complete attack chain(s)*")
+    sections = [b for b in blocks if b["type"] == "section" and "fields" in b]
+    assert len(sections) == 3
+    assert sections[0]["fields"][5]["text"].startswith("*Risk Score:*\n`15.8` ")
+    assert "ESCALATES TO ADMIN" in sections[0]["fields"][5]["text"]
+    assert sections[0]["fields"][2]["text"] == "*CVE:*\n`CVE-2025-1234` CVSS 9.8 (nginx)"
+    assert sum(1 for b in blocks if b.get("text", {}).get("text", "").startswith("*IAM Path:*")) == 3
+    # no chains: no chain alert; the risk alert is gated on the absence of alert chains
+    assert K.chain_alert_payload(chains.limit(0)).count() == 0
+    risks = spark.createDataFrame(
+        [("arn1", "Open port " * 10, "HIGH", "CVE-1", 9.8, "p1", "t1"), ("arn2", "x", "LOW", "CVE-2", None, "p2", "t2")],
+        "resource_arn string, exposure string, network_severity string, cve_id string, cvss_score double, "
+        "package_name string, cve_title string")
+    assert K.risk_alert_payload(risks, chains).count() == 0
+    text = json.loads(K.risk_alert_payload(risks, chains.limit(0)).collect()[0].payload)["blocks"][0]["text"]["text"]
+    lines = text.split("\n")
+    assert lines[0].endswith("2 Critical/High CVE+Misconfiguration Correlations*") and lines[1] == ""
+    assert lines[2] == "• `CVE-1` CVSS 9.8 | p1 | " + ("Open port " * 10)[:60]
+    assert lines[3] == "• `CVE-2` CVSS None | p2 | x"
+
+
+def test_report_lines(t):
+    from chainlens.operators import reports as K
+
+    lines = K.report_lines(t["i"], t["g"], t["c"], t["b"], t["f"], status="FAIL")
+    doc = [r.line for r in lines.orderBy(*K.REPORT_ORDER).collect()]
+    assert doc[1] == "Instance: i-0abc123def456 (web-server-prod)"
+    assert doc[4] == "  IAM Role:       WebServerRole"
+    assert doc[5] == "  Security Group: sg-0abc123 — All ports open: False, SSH public: True"
+    assert doc[6] == "  CVEs:" and doc[7].startswith("    - CVE-2025-1234 [CRITICAL 9.8] nginx 1.18.0")
+    assert doc[8] == "      Fix: upgrade to 1.18.1"
+    assert "  - my-public-bucket: public_access_blocked=False, versioning=False, encrypted=False" in doc
+    assert "  [CRITICAL] Root account does not have hardware MFA enabled — root" in doc
