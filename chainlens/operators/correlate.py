@@ -92,14 +92,28 @@ def public_s3_findings(buckets: DataFrame, findings: DataFrame) -> DataFrame:
     return b.join(f, "resource_arn").drop("resource_arn")
 
 
-def role_risk_matches(instances: DataFrame, iam_risks: DataFrame) -> DataFrame:
+ROLE_BROADCAST_LIMIT = 200_000   # distinct (account, role) pairs broadcast after a count
+ROLE_SALT_BUCKETS = 64           # split of each account's paths when the role set is larger
+
+
+def role_risk_matches(instances: DataFrame, iam_risks: DataFrame, strategy: str = "auto",
+                      broadcast_limit: int = ROLE_BROADCAST_LIMIT, salt_buckets: int = ROLE_SALT_BUCKETS) -> DataFrame:
     """R-5: match each *distinct* (account, role) of running instances to the
     escalation paths whose source_arn contains the role (LIKE '%role%').
 
     The theta condition is evaluated once per distinct role of an account, not
     once per instance or per chain row; instances then pick their matches up
-    through a plain equi-join on (account_id, role).  Inner join, so AQE can
-    split a hot account on either side.
+    through a plain equi-join on (account_id, role).
+
+    The only equi-key is the account, so one account may hold a third of all
+    paths.  ``strategy``:
+      "broadcast"  the distinct-role set is broadcast and the paths stream
+                   through every task: no shuffle of the paths, no hot task;
+      "salted"     paths are spread over ``salt_buckets`` by a hash of the path
+                   and each role row is repeated per bucket, so a hot account's
+                   pairs are checked by many tasks;
+      "auto"       counts the distinct roles (a small aggregate) and broadcasts
+                   them only under ``broadcast_limit``, else salts.
     """
     roles = (
         running(instances)
@@ -111,8 +125,20 @@ def role_risk_matches(instances: DataFrame, iam_risks: DataFrame) -> DataFrame:
         "account_id", "source_arn", "path", "hops", "target_name", "target_is_admin",
         F.col("severity").alias("iam_severity"),
     )
-    cond = (r["account_id"] == roles["_acct"]) & substring_match(r["source_arn"], roles["_role"])
-    return roles.join(r, cond, "inner").drop("account_id", "source_arn")
+    if strategy == "auto":
+        strategy = "broadcast" if roles.count() <= broadcast_limit else "salted"
+    if strategy == "broadcast":
+        b = F.broadcast(roles)
+        cond = (r["account_id"] == b["_acct"]) & substring_match(r["source_arn"], b["_role"])
+        return r.join(b, cond, "inner").drop("account_id", "source_arn")
+    if strategy != "salted":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    rs = r.withColumn("_salt", F.pmod(F.xxhash64("account_id", "source_arn", "path", "target_name"),
+                                      F.lit(salt_buckets)).cast("int"))
+    ro = roles.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    cond = ((rs["account_id"] == ro["_acct"]) & (rs["_salt"] == ro["_salt"])
+            & substring_match(rs["source_arn"], ro["_role"]))
+    return rs.join(ro, cond, "inner").drop("account_id", "source_arn", "_salt")
 
 
 def attack_chains(

@@ -140,3 +140,14 @@ def test_report_lines(t):
     assert doc[8] == "      Fix: upgrade to 1.18.1"
     assert "  - my-public-bucket: public_access_blocked=False, versioning=False, encrypted=False" in doc
     assert "  [CRITICAL] Root account does not have hardware MFA enabled — root" in doc
+
+
+def test_role_match_strategies_agree(spark):
+    from tests.conftest import SF_MID
+    from chainlens.sources import adapters as A
+
+    i, r = A.load(spark, SF_MID, "instances", "iam_risks")
+    key = ["_acct", "_role", "path", "hops", "target_name", "target_is_admin", "iam_severity"]
+    got = {s: sorted(tuple(x) for x in E.role_risk_matches(i, r, strategy=s).select(*key).collect())
+           for s in ("broadcast", "salted")}
+    assert got["broadcast"] == got["salted"] and len(got["broadcast"]) > 0
