@@ -114,11 +114,13 @@ def _like(text: Column, pattern: Column) -> Column:
 def substring_match(text, pattern) -> Column:
     """Same truth value as ``text LIKE '%'||pattern||'%'`` (R-5 fast path).
 
-    A pattern without LIKE metacharacters is a plain substring test, which
-    skips building a matcher per row; ``_`` / ``%`` / backslash fall back to LIKE.
+    A pattern without LIKE wildcards is a plain substring test, which skips
+    building a matcher per row; ``_`` / ``%`` fall back to LIKE.  (IAM role
+    names cannot hold a backslash; one is matched literally here, where
+    Spark's LIKE would reject it as a dangling escape.)
     """
     t, p = _c(text), _c(pattern)
-    return F.when(p.rlike(r"[_%\\]"), _like(t, p)).otherwise(t.contains(p))
+    return F.when(p.rlike(r"[_%]"), _like(t, p)).otherwise(t.contains(p))
 
 
 def fmt_minute_utc(ts) -> Column:
