@@ -55,7 +55,7 @@ def sync_inventory(spark: SparkSession, raw: dict[str, DataFrame], root: str,
         try:
             rows = serialize_nested(raw[name] if projected else PROJECTIONS[name](raw[name]))
             current = store.read_latest(spark, path, empty_like=rows.withColumn(spec.stamp, F.current_timestamp()))
-            new = upsert(current, rows, spec, as_of=as_of)
+            new = upsert(current, rows, spec, as_of=as_of, strategy="auto")
             store.commit(new, path, sort_by=list(spec.key))
             logs.append(sync_counts(target, rows, duration_ms=int((time.time() - t0) * 1000)))
         except Exception as exc:  # a failed step is logged, the run goes on

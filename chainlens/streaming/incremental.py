@@ -51,7 +51,7 @@ def apply_findings_batch(batch: DataFrame, batch_id: int, table_root: str, as_of
     rows = normalize_findings(docs.select(
         F.struct(F.lit(batch_id).alias("batch"), "path", "pos").alias("_seq"), "raw"))
     current = store.read_latest(spark, table_root, empty_like=empty_findings(spark))
-    new = upsert(current, rows, FINDINGS_SPEC, as_of=as_of, seq="_seq")
+    new = upsert(current, rows, FINDINGS_SPEC, as_of=as_of, seq="_seq", strategy="auto")
     path = store.commit(new, table_root, sort_by=list(FINDINGS_SPEC.key))
     _marker(spark, path, batch_id, write=True)
     return path
