@@ -24,6 +24,8 @@ STATUS_BY_ID = {1: "PASS", 2: "FAIL", 3: "MANUAL", 4: "MUTED"}
 ADMIN_KEYWORDS = ("admin", "root", "superuser", "fullaccess", "poweruser")
 DEFAULT_METHOD = "sts:AssumeRole"
 PATH_SEP = " -> "
+# how falsy JSON non-strings print once cast to text
+_FALSY_TEXTS = ("0", "0.0", "-0", "-0.0", "false", "{}", "[]")
 
 
 class J:
@@ -41,6 +43,7 @@ class J:
         self.prefix = prefix
         self.paths: dict[str, str] = {}
         self.falsy_paths: dict[str, str] = {}
+        self.text_paths: dict[str, str] = {}
 
     def sub(self, path: str) -> Column:
         return F.try_variant_get(self.v, path, "variant")
@@ -60,7 +63,7 @@ class J:
         (which must carry the variant column)."""
         typed = df.select("*", *[
             F.substring_index(F.schema_of_variant(self.sub(p)), "<", 1).alias(n) for p, n in self.paths.items()
-        ])
+        ], *[self.get(p).alias(n) for p, n in self.text_paths.items()])
         return typed.select("*", *[self._falsy_expr(p).alias(n) for p, n in self.falsy_paths.items()])
 
     def drop(self, df: DataFrame) -> DataFrame:
@@ -94,8 +97,19 @@ class J:
         return self.typ(path).isNotNull() & (self.typ(path) != "OBJECT")
 
     def text(self, path: str) -> Column:
-        """str(value) for a truthy value, else NULL (an or-chain link)."""
-        return F.when(~self.falsy(path), self.get(path))
+        """str(value) for a truthy value, else NULL (an or-chain link).
+
+        The text cast (staged once) is NULL for a missing key or JSON null and
+        '' is tested directly.  Only a text that a falsy non-string prints as
+        ('0', 'false', '{}', '[]') needs the type probe, which CASE evaluates
+        for those rows alone."""
+        if path not in self.text_paths:
+            self.text_paths[path] = f"{self.prefix}s{len(self.text_paths)}"
+        s = F.col(self.text_paths[path])
+        probe = F.substring_index(F.schema_of_variant(self.sub(path)), "<", 1)
+        return (F.when(s.isNull() | (s == ""), F.lit(None).cast("string"))
+                .when(s.isin(*_FALSY_TEXTS), F.when(probe == "STRING", s))
+                .otherwise(s))
 
     def or_text(self, *paths: str, default: str | None = "") -> Column:
         parts = [self.text(p) for p in paths]
