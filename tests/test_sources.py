@@ -3,7 +3,6 @@ import os
 import time
 
 import pytest
-from pyspark.sql import functions as F
 
 from chainlens.operators import normalize as N
 from chainlens.operators.upsert import dedup_last
@@ -73,7 +72,7 @@ def test_cve_reports_from_files(spark):
     d = _local(spark, "cve-files")
     with open(os.path.join(d, samples.CVE_INSTANCE + ".json"), "w") as fh:
         json.dump(samples.CVE_REPORT, fh)
-    with open(os.path.join(d, "i-0second.trivy.json"), "w") as fh:
+    with open(os.path.join(d, "i-0second.scan.json"), "w") as fh:
         json.dump(samples.CVE_REPORT["Results"], fh)          # bare list root
     rows = S.read_cve_reports(spark, d, samples.ACCOUNT, samples.REGION).collect()
     assert sorted({r.instance_id for r in rows}) == ["i-0abc123def456", "i-0second"]
@@ -132,4 +131,3 @@ def test_latest_report(spark):
     os.utime(os.path.join(d, "security_report_a.md"), (1, 1))
     r = S.latest_report(spark, d).collect()[0]
     assert (r.content, r.filename) == ("new", "security_report_b.md") and r.generated.endswith("UTC")
-    assert F is not None
