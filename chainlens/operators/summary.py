@@ -98,18 +98,26 @@ def chain_counts_per_instance(instances, findings, cves, iam_risks) -> DataFrame
 def _one_row(**parts: tuple[DataFrame, str]) -> DataFrame:
     """Combine one-row aggregates into one row without a cross join.
 
-    ``parts`` maps output name -> (one-row DataFrame, column).  The values are
-    unioned as (name, value-as-text) rows and pivoted by a global aggregate.
+    ``parts`` maps output name -> (one-row DataFrame, column).  Each distinct
+    aggregate DataFrame becomes ONE union branch carrying all its columns
+    (NULL for the others), so every base table is scanned once; a global
+    aggregate then takes the single non-NULL value of each column.
     """
+    names = list(parts)
+    types = {n: df.schema[c].dataType for n, (df, c) in parts.items()}
+    groups: list[tuple[DataFrame, dict]] = []
+    for n, (df, c) in parts.items():
+        for g_df, cols in groups:
+            if g_df is df:
+                cols[n] = c
+                break
+        else:
+            groups.append((df, {n: c}))
     rows = None
-    types = {}
-    for name, (df, col) in parts.items():
-        types[name] = df.schema[col].dataType
-        r = df.select(F.lit(name).alias("k"), F.col(col).cast("string").alias("v"))
+    for df, cols in groups:
+        r = df.select(*[(F.col(cols[n]) if n in cols else F.lit(None)).cast(types[n]).alias(n) for n in names])
         rows = r if rows is None else rows.unionByName(r)
-    return rows.agg(
-        *[F.max(F.when(F.col("k") == n, F.col("v"))).cast(t).alias(n) for n, t in types.items()]
-    )
+    return rows.agg(*[F.max(n).alias(n) for n in names])
 
 
 def admin_path_counts(iam_risks, instances, findings, cves) -> DataFrame:
