@@ -141,12 +141,39 @@ def role_risk_matches(instances: DataFrame, iam_risks: DataFrame, strategy: str
     return rs.join(ro, cond, "inner").drop("account_id", "source_arn", "_salt")
 
 
+HOT_INSTANCE_CVES = 1_000_000   # open severe CVE rows above which an instance's fan-out is split
+HOT_SALT_BUCKETS = 64
+
+
+def split_hot_join(left: DataFrame, right: DataFrame, key: str, hot_threshold: int | None,
+                   buckets: int = HOT_SALT_BUCKETS) -> DataFrame:
+    """Inner equi-join on ``key`` that spreads hot keys over ``buckets`` tasks.
+
+    A key is hot when ``right`` holds more than ``hot_threshold`` rows for it.
+    The hot-key set has at most rows(right) / hot_threshold entries, a proven
+    bound, so it is broadcast.  Right rows of a hot key get a salt from a hash
+    of the row; left rows of a hot key are repeated once per salt.  Other keys
+    keep salt 0, so their join is the plain equi-join.
+    """
+    if hot_threshold is None:
+        return left.join(right, key)
+    hot = (right.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_threshold)
+           .select(key, F.lit(True).alias("_hot")))
+    r = right.join(F.broadcast(hot), key, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*right.columns), F.lit(buckets))).otherwise(F.lit(0))
+        .cast("int")).drop("_hot")
+    l_ = left.join(F.broadcast(hot), key, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))))
+    return l_.drop("_hot").join(r, [key, "_salt"]).drop("_salt")
+
+
 def attack_chains(
     instances: DataFrame,
     findings: DataFrame,
     cves: DataFrame,
     iam_risks: DataFrame,
     instance_id: str | None = None,
+    hot_threshold: int | None = HOT_INSTANCE_CVES,
 ) -> DataFrame:
     """E-6 ``v_full_attack_chains`` (flagship).
 
@@ -158,6 +185,8 @@ def attack_chains(
     findings are keyed to instance_id so the three-way fan-out
     (instance+paths, findings, CVEs) is one co-partitioned join on instance_id.
     The optional ``instance_id`` filter (D-08) is pushed into every input.
+    An instance with more than ``hot_threshold`` open severe CVEs has its
+    fan-out split over many tasks (``split_hot_join``); None turns this off.
     """
     inst = running(instances)
     if instance_id is not None:
@@ -184,7 +213,8 @@ def attack_chains(
     cv = open_severe(cves).select(
         "instance_id", "cve_id", "cvss_score", "package_name", "fixed_version", F.col("title").alias("cve_title")
     )
-    chains = inst_paths.drop("resource_arn").join(fnd, "instance_id").join(cv, "instance_id")
+    chains = split_hot_join(inst_paths.drop("resource_arn").join(fnd, "instance_id"), cv, "instance_id",
+                            hot_threshold)
     return chains.select(
         "instance_id", "name_tag", "public_ip", "instance_type", "region", "iam_instance_profile",
         "misconfiguration", "misconfig_severity", "misconfig_fix",

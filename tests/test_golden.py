@@ -151,3 +151,14 @@ def test_role_match_strategies_agree(spark):
     got = {s: sorted(tuple(x) for x in E.role_risk_matches(i, r, strategy=s).select(*key).collect())
            for s in ("broadcast", "salted")}
     assert got["broadcast"] == got["salted"] and len(got["broadcast"]) > 0
+
+
+def test_hot_instance_split_equals_plain_join(spark):
+    from tests.conftest import SF_MID
+    from chainlens.sources import adapters as A
+
+    i, f, c, r = A.load(spark, SF_MID, "instances", "findings", "cves", "iam_risks")
+    plain = E.attack_chains(i, f, c, r, hot_threshold=None)
+    split = E.attack_chains(i, f, c, r, hot_threshold=3)      # most instances count as hot here
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+    assert split.count() == 8964
