@@ -17,6 +17,10 @@ FAIL = "FAIL"
 OPEN = "OPEN"
 SEVERE = ("CRITICAL", "HIGH")
 
+HOT_INSTANCE_CVES = 1_000_000   # open severe CVE rows above which an instance's fan-out is split
+HOT_KEY_ROWS = 1_000_000        # rows per key above which other many-to-many joins are split
+HOT_SALT_BUCKETS = 64
+
 
 def failed(findings: DataFrame) -> DataFrame:
     """D-01."""
@@ -38,8 +42,9 @@ def public_running(instances: DataFrame) -> DataFrame:
     return running(instances).where(F.col("public_ip").isNotNull())
 
 
-def critical_risks(findings: DataFrame, cves: DataFrame) -> DataFrame:
-    """E-1 ``v_critical_risks``: failed findings x open severe CVEs on the resource."""
+def critical_risks(findings: DataFrame, cves: DataFrame, hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
+    """E-1 ``v_critical_risks``: failed findings x open severe CVEs on the resource
+    (many-to-many; a resource with over ``hot_threshold`` CVEs is split)."""
     f = failed(findings).select(
         "account_id", "region", "resource_arn",
         F.col("check_title").alias("exposure"), F.col("severity").alias("network_severity"),
@@ -48,7 +53,7 @@ def critical_risks(findings: DataFrame, cves: DataFrame) -> DataFrame:
         "resource_arn", "cve_id", F.col("cvss_score").cast("double").alias("cvss_score"),
         "package_name", "installed_version", "fixed_version", F.col("title").alias("cve_title"), "primary_url",
     )
-    return f.join(c, "resource_arn").select(
+    return split_hot_join(f, c, "resource_arn", hot_threshold).select(
         "account_id", "region", "resource_arn", "exposure", "network_severity", "cve_id", "cvss_score",
         "package_name", "installed_version", "fixed_version", "cve_title", "primary_url",
     )
@@ -141,30 +146,38 @@ def role_risk_matches(instances: DataFrame, iam_risks: DataFrame, strategy: str
     return rs.join(ro, cond, "inner").drop("account_id", "source_arn", "_salt")
 
 
-HOT_INSTANCE_CVES = 1_000_000   # open severe CVE rows above which an instance's fan-out is split
-HOT_SALT_BUCKETS = 64
 
 
 def split_hot_join(left: DataFrame, right: DataFrame, key: str, hot_threshold: int | None,
-                   buckets: int = HOT_SALT_BUCKETS) -> DataFrame:
-    """Inner equi-join on ``key`` that spreads hot keys over ``buckets`` tasks.
-
-    A key is hot when ``right`` holds more than ``hot_threshold`` rows for it.
-    The hot-key set has at most rows(right) / hot_threshold entries, a proven
-    bound, so it is broadcast.  Right rows of a hot key get a salt from a hash
-    of the row; left rows of a hot key are repeated once per salt.  Other keys
-    keep salt 0, so their join is the plain equi-join.
+                   buckets: int = HOT_SALT_BUCKETS, how: str = "inner") -> DataFrame:
+    """Equi-join on ``key`` that spreads hot keys over ``buckets`` tasks.
+
+    ``how="inner"``: a key is hot when ``right`` holds more than
+    ``hot_threshold`` rows for it; those right rows get a salt from a hash of
+    the row and the key's left rows are repeated once per salt.
+    ``how="left"``: a key is hot when ``left`` holds more than the threshold;
+    the left rows are salted and the right rows repeated, so every left row
+    still appears exactly once when it has no partner.
+    The hot-key set has at most rows / ``hot_threshold`` entries, a proven
+    bound, so it is broadcast.  Other keys keep salt 0: their join is the
+    plain equi-join.
     """
     if hot_threshold is None:
-        return left.join(right, key)
-    hot = (right.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_threshold)
+        return left.join(right, key, how)
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported join type {how!r}")
+    split, repeat = (right, left) if how == "inner" else (left, right)
+    hot = (split.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_threshold)
            .select(key, F.lit(True).alias("_hot")))
-    r = right.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*right.columns), F.lit(buckets))).otherwise(F.lit(0))
+    salted = split.join(F.broadcast(hot), key, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*split.columns), F.lit(buckets))).otherwise(F.lit(0))
         .cast("int")).drop("_hot")
-    l_ = left.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))))
-    return l_.drop("_hot").join(r, [key, "_salt"]).drop("_salt")
+    repeated = repeat.join(F.broadcast(hot), key, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
+                           .otherwise(F.array(F.lit(0))))).drop("_hot")
+    if how == "inner":
+        return repeated.join(salted, [key, "_salt"]).drop("_salt")
+    return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
 
 
 def attack_chains(
@@ -225,14 +238,16 @@ def attack_chains(
     )
 
 
-def instances_with_sg(instances: DataFrame, groups: DataFrame) -> DataFrame:
-    """E-7: running instances left-joined to every security group of their VPC."""
+def instances_with_sg(instances: DataFrame, groups: DataFrame,
+                      hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
+    """E-7: running instances left-joined to every security group of their VPC
+    (a VPC with over ``hot_threshold`` instances is split)."""
     i = running(instances).select(
         "instance_id", "name_tag", "instance_type", "instance_state", "public_ip", "region",
         "iam_instance_profile", "vpc_id",
     )
     g = groups.select("vpc_id", "allows_all_ingress", "allows_ssh_public")
-    return i.join(g, "vpc_id", "left").drop("vpc_id")
+    return split_hot_join(i, g, "vpc_id", hot_threshold, how="left").drop("vpc_id")
 
 
 def scannable_instances(instances: DataFrame, online: DataFrame) -> DataFrame:

@@ -162,3 +162,15 @@ def test_hot_instance_split_equals_plain_join(spark):
     split = E.attack_chains(i, f, c, r, hot_threshold=3)      # most instances count as hot here
     assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
     assert split.count() == 8964
+
+
+def test_hot_key_split_left_and_inner(spark):
+    from tests.conftest import SF_MID
+    from chainlens.sources import adapters as A
+
+    i, g, f, c = A.load(spark, SF_MID, "instances", "security_groups", "findings", "cves")
+    for plain, split in (
+        (E.instances_with_sg(i, g, hot_threshold=None), E.instances_with_sg(i, g, hot_threshold=5)),
+        (E.critical_risks(f, c, hot_threshold=None), E.critical_risks(f, c, hot_threshold=2)),
+    ):
+        assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
