@@ -103,9 +103,7 @@ class J:
         '' is tested directly.  Only a text that a falsy non-string prints as
         ('0', 'false', '{}', '[]') needs the type probe, which CASE evaluates
         for those rows alone."""
-        if path not in self.text_paths:
-            self.text_paths[path] = f"{self.prefix}s{len(self.text_paths)}"
-        s = F.col(self.text_paths[path])
+        s = self._text_col(path)
         probe = F.substring_index(F.schema_of_variant(self.sub(path)), "<", 1)
         return (F.when(s.isNull() | (s == ""), F.lit(None).cast("string"))
                 .when(s.isin(*_FALSY_TEXTS), F.when(probe == "STRING", s))
@@ -117,9 +115,19 @@ class J:
             parts.append(F.lit(default))
         return F.coalesce(*parts)
 
+    def _text_col(self, path: str) -> Column:
+        """The value at ``path`` cast to text, staged once per row."""
+        if path not in self.text_paths:
+            self.text_paths[path] = f"{self.prefix}s{len(self.text_paths)}"
+        return F.col(self.text_paths[path])
+
     def get_default(self, path: str, default: str) -> Column:
-        """``d.get(key, default)``: default only when the key is missing (null stays NULL)."""
-        return F.when(self.missing(path), F.lit(default)).otherwise(self.get(path))
+        """``d.get(key, default)``: default only when the key is missing (null stays NULL).
+
+        Only rows whose text is NULL (missing key or JSON null) run the probe
+        that tells the two apart."""
+        s = self._text_col(path)
+        return F.when(s.isNotNull(), s).when(F.schema_of_variant(self.sub(path)).isNull(), F.lit(default))
 
 
 def _enum(j: J, text_path: str, id_path: str, mapping: dict, default: str) -> Column:
@@ -230,6 +238,10 @@ def normalize_findings(raw: DataFrame, raw_col: str = "raw") -> DataFrame:
 
 # -- C-10: CVE reports -----------------------------------------------------------------
 
+_RESULTS_LIST = "array<struct<Vulnerabilities: array<variant>>>"
+_RESULTS_OBJ = f"struct<Results: {_RESULTS_LIST}>"
+
+
 def normalize_cves(docs: DataFrame, doc_col: str = "doc", instance_col: str = "instance_id",
                    account_col: str = "account_id", region_col: str = "region") -> DataFrame:
     """C-10: one CVE report per row -> one row per vulnerability.
@@ -239,15 +251,14 @@ def normalize_cves(docs: DataFrame, doc_col: str = "doc", instance_col: str = "i
     the input (the scan's context), so one job handles many accounts.
     Output keeps input order columns ``_result`` / ``_vuln`` (positions).
     """
-    root = F.col("_root")
-    results = F.when(F.startswith(F.schema_of_variant(root), F.lit("ARRAY")),
-                     F.try_variant_get(root, "$", "array<variant>")) \
-        .otherwise(F.try_variant_get(root, "$.Results", "array<variant>"))
+    # One typed parse per report: the two shapes differ only at the root, and
+    # each vulnerability stays a VARIANT for the field rules below.
+    results = F.when(F.ltrim(F.col(doc_col)).startswith("["), F.from_json(F.col(doc_col), _RESULTS_LIST)) \
+        .otherwise(F.from_json(F.col(doc_col), _RESULTS_OBJ).getField("Results"))
     passthrough = [c for c in docs.columns if c != doc_col]
-    parsed = docs.select(*passthrough, F.try_parse_json(F.col(doc_col)).alias("_root"))
-    r = parsed.select(*passthrough, F.posexplode(F.coalesce(results, F.array().cast("array<variant>")))
+    r = docs.select(*passthrough, F.posexplode(F.coalesce(results, F.array().cast(_RESULTS_LIST)))
                     .alias("_result", "_r"))
-    vulns = F.try_variant_get(F.col("_r"), "$.Vulnerabilities", "array<variant>")
+    vulns = F.col("_r").getField("Vulnerabilities")
     x = r.select(*passthrough, "_result",
                  F.posexplode(F.coalesce(vulns, F.array().cast("array<variant>"))).alias("_vuln", "_v"))
     v = J(F.col("_v"))
