@@ -174,3 +174,21 @@ def test_hot_key_split_left_and_inner(spark):
         (E.critical_risks(f, c, hot_threshold=None), E.critical_risks(f, c, hot_threshold=2)),
     ):
         assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+
+
+def test_report_sink_writes_ordered_document(t, spark):
+    import glob
+    import os
+
+    from chainlens.operators import reports as K
+    from chainlens.session import scratch_path
+    from chainlens.sources import store
+
+    lines = K.report_lines(t["i"], t["g"], t["c"], t["b"], t["f"], status="FAIL")
+    root = scratch_path(spark, "report")
+    store.write_report(lines, root, K.REPORT_ORDER, partition_by=["account_id"])
+    d = glob.glob(os.path.join(root.replace("file:", ""), "account_id=*"))
+    assert len(d) == 1
+    text = "".join(open(p).read() for p in sorted(glob.glob(os.path.join(d[0], "part-*"))))
+    doc = text.split("\n")
+    assert doc[1] == "Instance: i-0abc123def456 (web-server-prod)" and doc[6] == "  CVEs:"
