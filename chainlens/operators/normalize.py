@@ -140,7 +140,8 @@ def _enum(j: J, text_path: str, id_path: str, mapping: dict, default: str) -> Co
 
 # -- C-1 … C-9: misconfiguration findings ---------------------------------------------
 
-def normalize_findings_checked(raw: DataFrame, raw_col: str = "raw") -> DataFrame:
+def normalize_findings_checked(raw: DataFrame, raw_col: str = "raw", severity_map: dict | None = None,
+                               status_map: dict | None = None) -> DataFrame:
     """C-1: one finding object (JSON text) per row -> FINDINGS columns + ``_parsed``.
 
     Reads both the flat form and the nested OCSF form of the scanner output.
@@ -193,8 +194,10 @@ def normalize_findings_checked(raw: DataFrame, raw_col: str = "raw") -> DataFram
         .otherwise(F.to_json(j.sub("$.remediation.code")))
     remediation_code = F.when((rem_t == "OBJECT") & ~j.falsy("$.remediation.code"), code_json).otherwise(F.lit(""))
 
-    severity = _enum(j, "$.severity", "$.severity_id", SEVERITY_BY_ID, "INFORMATIONAL")
-    status = _enum(j, "$.status", "$.status_id", STATUS_BY_ID, "UNKNOWN")
+    # The id maps are parameters: the original's severity ids sit one below the
+    # OCSF numbering (X-4); it is kept by default.
+    severity = _enum(j, "$.severity", "$.severity_id", severity_map or SEVERITY_BY_ID, "INFORMATIONAL")
+    status = _enum(j, "$.status", "$.status_id", status_map or STATUS_BY_ID, "UNKNOWN")
 
     out = {
         "account_id": j.or_text("$.cloud.account.uid", "$.account_id"),
@@ -231,9 +234,10 @@ def keep_parsed(checked: DataFrame) -> DataFrame:
         .drop("_keep", "_parsed")
 
 
-def normalize_findings(raw: DataFrame, raw_col: str = "raw") -> DataFrame:
+def normalize_findings(raw: DataFrame, raw_col: str = "raw", severity_map: dict | None = None,
+                       status_map: dict | None = None) -> DataFrame:
     """C-1 with unparseable rows dropped."""
-    return keep_parsed(normalize_findings_checked(raw, raw_col))
+    return keep_parsed(normalize_findings_checked(raw, raw_col, severity_map, status_map))
 
 
 # -- C-10: CVE reports -----------------------------------------------------------------

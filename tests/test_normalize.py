@@ -139,3 +139,11 @@ def test_security_group_flags(spark):
            for r in N.project_security_groups(raw).collect()}
     assert got == {"g1": (True, True, False), "g2": (True, False, False), "g3": (True, False, True),
                    "g4": (False, False, False), "g5": (False, False, False)}
+
+
+def test_findings_severity_map_parameter(spark):
+    # OCSF numbering (1 informational ... 5 critical) instead of the default map
+    ocsf_ids = {1: "INFORMATIONAL", 2: "LOW", 3: "MEDIUM", 4: "HIGH", 5: "CRITICAL"}
+    raw = _raw(spark, [{"severity_id": 4, "account_id": "A"}])
+    assert N.normalize_findings(raw).collect()[0].severity == "CRITICAL"
+    assert N.normalize_findings(raw, severity_map=ocsf_ids).collect()[0].severity == "HIGH"
