@@ -113,9 +113,26 @@ def instances_top(instances_sg: DataFrame, n: int = 50) -> DataFrame:
 RISK_SCORE_THRESHOLD = 12  # fixed value: alert threshold of the reference
 
 
-def alert_chains(chains: DataFrame, threshold: float = RISK_SCORE_THRESHOLD, n: int = 10) -> DataFrame:
-    """H-9 / D-07: chains above the threshold or reaching an admin, top n by risk."""
+# A chain's identity for de-duplicating alerts across runs.
+CHAIN_ALERT_KEY = ["instance_id", "misconfiguration", "cve_id", "package_name", "escalation_path"]
+
+
+def alert_chains(chains: DataFrame, threshold: float = RISK_SCORE_THRESHOLD, n: int = 10,
+                 already_sent: DataFrame | None = None) -> DataFrame:
+    """H-9 / D-07: chains above the threshold or reaching an admin, top n by risk.
+
+    By default every qualifying chain is alerted on each run, as in the
+    original (X-5).  ``already_sent`` (a log of earlier alerts with the
+    ``CHAIN_ALERT_KEY`` columns) drops chains alerted before, via a null-safe
+    anti-join, so only new chains are reported."""
     c = chains.where((F.col("risk_score") > threshold) | (F.col("target_is_admin") == F.lit(True)))
+    if already_sent is not None:
+        sent = already_sent.select(*[F.col(k).alias(f"_s_{k}") for k in CHAIN_ALERT_KEY]).distinct()
+        cond = None
+        for k in CHAIN_ALERT_KEY:
+            e = c[k].eqNullSafe(sent[f"_s_{k}"])
+            cond = e if cond is None else cond & e
+        c = c.join(sent, cond, "left_anti")
     return top_attack_chains(c, n)
 
 

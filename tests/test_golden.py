@@ -192,3 +192,13 @@ def test_report_sink_writes_ordered_document(t, spark):
     text = "".join(open(p).read() for p in sorted(glob.glob(os.path.join(d[0], "part-*"))))
     doc = text.split("\n")
     assert doc[1] == "Instance: i-0abc123def456 (web-server-prod)" and doc[6] == "  CVEs:"
+
+
+def test_alert_chains_only_new(t):
+    chains = E.attack_chains(t["i"], t["f"], t["c"], t["r"])
+    first = H.alert_chains(chains)
+    assert first.count() == 5
+    # chains alerted in an earlier run are not alerted again (X-5 option)
+    again = H.alert_chains(chains, already_sent=first.limit(2))
+    assert again.count() == 3
+    assert H.alert_chains(chains, already_sent=first).count() == 0
