@@ -435,12 +435,15 @@ def project_buckets(raw: DataFrame, fix_inverted_flag: bool = False) -> DataFram
     )
 
 
-def project_iam_users(raw: DataFrame) -> DataFrame:
-    """C-14: users.  ``has_access_keys`` comes from the MFA device list (X-2)."""
+def project_iam_users(raw: DataFrame, access_keys_col: str | None = None) -> DataFrame:
+    """C-14: users.  ``has_access_keys`` comes from the MFA device list, as in
+    the original (X-2); ``access_keys_col`` names a list of access keys to use
+    instead."""
+    keys = F.col(access_keys_col) if access_keys_col else F.col("mfa_devices")
     return raw.select(
         F.col("name").alias("user_name"), "account_id", "user_id", F.col("arn").alias("resource_arn"),
         "mfa_enabled", F.col("login_profile").isNotNull().alias("has_console_access"),
-        F.coalesce(F.size(F.col("mfa_devices")) > 0, F.lit(False)).alias("has_access_keys"),
+        F.coalesce(F.size(keys) > 0, F.lit(False)).alias("has_access_keys"),
         "password_last_used", F.lit(None).cast("timestamp").alias("access_key_last_used"),
         "create_date", "tags", row_json(raw).alias("raw_json"),
     )
