@@ -449,17 +449,25 @@ def project_iam_users(raw: DataFrame, access_keys_col: str | None = None) -> Dat
     )
 
 
-def ingress_open(perms: Column, port: int | None = None) -> Column:
+def ingress_open(perms: Column, port: int | None = None, fix: bool = False, ipv6: bool = False) -> Column:
     """C-15: EXISTS rule x range with CidrIp 0.0.0.0/0 (and FromPort <= port <= ToPort).
 
     Higher-order ``exists`` is three-valued (NULL when a port is NULL and no
     other rule matches) where SQL EXISTS is two-valued, hence the coalesce.
+    ``fix`` (X-7, off by default): a rule with NULL ports (all traffic) counts
+    as open on every port, and with ``ipv6`` an Ipv6Ranges entry ::/0 counts
+    as open too.
     """
     def rule_ok(r):
         any_range = F.exists(r["IpRanges"], lambda ip: ip["CidrIp"] == "0.0.0.0/0")
+        if fix and ipv6:
+            any_range = any_range | F.exists(r["Ipv6Ranges"], lambda ip: ip["CidrIpv6"] == "::/0")
         if port is None:
             return any_range
-        return any_range & (r["FromPort"] <= port) & (r["ToPort"] >= port)
+        in_range = (r["FromPort"] <= port) & (r["ToPort"] >= port)
+        if fix:
+            in_range = F.coalesce(in_range, r["FromPort"].isNull() & r["ToPort"].isNull())
+        return any_range & in_range
 
     return F.coalesce(F.exists(perms, rule_ok), F.lit(False))
 
@@ -467,17 +475,21 @@ def ingress_open(perms: Column, port: int | None = None) -> Column:
 SSH_PORT, RDP_PORT = 22, 3389  # fixed values
 
 
-def project_security_groups(raw: DataFrame) -> DataFrame:
-    """C-15: security groups with the three public-ingress flags."""
+def project_security_groups(raw: DataFrame, fix_ingress: bool = False) -> DataFrame:
+    """C-15: security groups with the three public-ingress flags.
+    ``fix_ingress`` applies the X-7 fix (all-traffic rules, IPv6 ::/0 when the
+    rules carry Ipv6Ranges)."""
     perms = F.col("ip_permissions")
+    rule_t = raw.schema["ip_permissions"].dataType.elementType
+    ipv6 = fix_ingress and "Ipv6Ranges" in rule_t.fieldNames()
     return raw.select(
         "group_id", "group_name", "account_id", "region",
         F.concat(F.lit("arn:aws:ec2:"), F.col("region"), F.lit(":"), F.col("account_id"),
                  F.lit(":security-group/"), F.col("group_id")).alias("resource_arn"),
         "vpc_id", "description",
-        ingress_open(perms).alias("allows_all_ingress"),
-        ingress_open(perms, SSH_PORT).alias("allows_ssh_public"),
-        ingress_open(perms, RDP_PORT).alias("allows_rdp_public"),
+        ingress_open(perms, fix=fix_ingress, ipv6=ipv6).alias("allows_all_ingress"),
+        ingress_open(perms, SSH_PORT, fix_ingress, ipv6).alias("allows_ssh_public"),
+        ingress_open(perms, RDP_PORT, fix_ingress, ipv6).alias("allows_rdp_public"),
         "tags", row_json(raw).alias("raw_json"),
     )
 

@@ -147,3 +147,20 @@ def test_findings_severity_map_parameter(spark):
     raw = _raw(spark, [{"severity_id": 4, "account_id": "A"}])
     assert N.normalize_findings(raw).collect()[0].severity == "CRITICAL"
     assert N.normalize_findings(raw, severity_map=ocsf_ids).collect()[0].severity == "HIGH"
+
+
+def test_security_group_flags_fixed(spark):
+    perms = ("array<struct<FromPort:int,ToPort:int,IpRanges:array<struct<CidrIp:string>>,"
+             "Ipv6Ranges:array<struct<CidrIpv6:string>>>>")
+    rows = [("all", [(None, None, [("0.0.0.0/0",)], [])]), ("v6", [(22, 22, [], [("::/0",)])])]
+    raw = spark.createDataFrame(rows, f"group_id string, ip_permissions {perms}").select(
+        "group_id", F.lit("n").alias("group_name"), F.lit("A").alias("account_id"), F.lit("R").alias("region"),
+        F.lit("v").alias("vpc_id"), F.lit("d").alias("description"), "ip_permissions",
+        F.create_map().cast("map<string,string>").alias("tags"))
+
+    def flags(df):
+        return {r.group_id: (r.allows_all_ingress, r.allows_ssh_public, r.allows_rdp_public) for r in df.collect()}
+
+    assert flags(N.project_security_groups(raw)) == {"all": (True, False, False), "v6": (False, False, False)}
+    assert flags(N.project_security_groups(raw, fix_ingress=True)) == {"all": (True, True, True),
+                                                                      "v6": (True, True, False)}
