@@ -2,8 +2,9 @@
 
 All scratch output (derived JSON inputs, table versions written by tests,
 stream checkpoints) goes under ``spark.checkpoint.dir``, which on a cluster is
-a shared folder named by the cluster configuration.  Only when that setting
-is absent (local tests) do we create one.
+a shared folder named by the cluster configuration.  Only in local mode, where
+driver and tasks are one process, is a folder created when the setting is
+absent; on a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -38,12 +39,15 @@ def get_spark(master: str | None = None, app: str = "chainlens", conf: dict | No
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; set a private one only if unset."""
+    """The cluster's shared checkpoint folder; in local mode a private one if unset."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="chainlens-ckpt-")
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        d = tempfile.mkdtemp(prefix="chainlens-ckpt-")  # one machine: driver and executor threads share it
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
     elif spark.sparkContext.getCheckpointDir() is None:
