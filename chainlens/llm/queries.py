@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chainlens.llm import chat_format, langid, mixing, token_counts, topk_search
+from chainlens.llm import chat_format, langid, lm_score, mixing, token_counts, topk_search
 from chainlens.llm.common import table
 
 LLM_QUERIES: dict = {}
@@ -25,6 +25,13 @@ def crc_mod(n: int):
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+@query("op1_lm_score")
+def op1(spark, sf_dir):
+    held_out = F.coalesce(crc_mod(7) == 2, F.lit(False))
+    scores = lm_score.score_documents(table(spark, sf_dir, "documents"), ~held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op5_topk_search", """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
