@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chainlens.llm import chat_format, langid, lm_score, mixing, token_counts, topk_search
-from chainlens.llm.common import table
+from chainlens.llm import chat_format, langid, line_dedup, lm_score, mixing, near_dedup, token_counts, topk_search
+from chainlens.llm.common import stored, table
 
 LLM_QUERIES: dict = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -32,6 +32,11 @@ def op1(spark, sf_dir):
     return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@query("op2_near_dedup")
+def op2(spark, sf_dir):
+    return near_dedup.find_groups(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 @query("op5_topk_search", """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
@@ -60,6 +65,11 @@ def op7(spark, sf_dir):
     return out.select("doc_id", (crc_mod(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+@query("op8_line_dedup")
+def op8(spark, sf_dir):
+    return line_dedup.line_report(line_dedup.duplicate_lines(table(spark, sf_dir, "documents")))
+
+
 @query("op9_chat_format", r"""
 WITH c AS (
   SELECT conv_id, turn, role, text FROM conversations
@@ -91,4 +101,5 @@ def op9(spark, sf_dir):
 
 @query("op10_length_histogram")
 def op10(spark, sf_dir):
-    return token_counts.limit_table(token_counts.length_histogram(table(spark, sf_dir, "documents")))
+    histogram = stored(token_counts.length_histogram(table(spark, sf_dir, "documents")), "length-histogram")
+    return token_counts.limit_table(histogram)
