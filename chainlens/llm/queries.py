@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chainlens.llm import chat_format, decontaminate, langid, line_dedup, lm_score, mixing, near_dedup, token_counts, topk_search
+from chainlens.llm import chat_format, decontaminate, langid, line_dedup, lm_score, mixing, near_dedup, suffix_dedup, token_counts, topk_search
 from chainlens.llm.common import stored, table
 
 LLM_QUERIES: dict = {}
@@ -37,6 +37,11 @@ def op2(spark, sf_dir):
     return near_dedup.find_groups(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+@query("op3_suffix_dedup")
+def op3(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("kept")
+
+
 @query("op4_decontaminate")
 def op4(spark, sf_dir):
     return decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
