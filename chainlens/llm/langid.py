@@ -4,8 +4,8 @@ and calibrated with a temperature.
 
 Document frequencies are counted over every training document, one fixed-size
 vector per task, added up in slices.  The weights are fitted on a bounded
-sample (``per_label`` labelled documents of each language, by hash order; a
-fifth of it is kept for the temperature), in one task, from feature vectors of
+sample (about ``per_label`` labelled documents of each language, by a hash of
+doc_id and text; a fifth of it is kept for the temperature), in one task, from feature vectors of
 fixed size.  Prediction reads every whole text where it lies.
 
 Defined results: null or letterless text gives ``und`` with score 0; documents
@@ -16,16 +16,17 @@ the text is an input of a prediction, other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import re
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from chainlens.llm.common import by_value, stored
+from chainlens.llm.common import by_value
 
 by_value(__name__)
 
@@ -139,15 +140,20 @@ def fit_temperature(logits: np.ndarray, ys: np.ndarray) -> float:
 
 
 def train(labelled: DataFrame, per_label: int = 2000) -> dict | None:
-    """Fit on rows (text, lang).  None if there is nothing to learn from."""
-    labelled = labelled.where(F.col("lang").isNotNull()).select("text", "lang")
+    """Fit on rows (text, lang).  None if there is nothing to learn from.
+    doc_id, where there is one, only spreads the sample over equal texts."""
+    place = F.col("doc_id") if "doc_id" in labelled.columns else F.lit(0)
+    labelled = labelled.where(F.col("lang").isNotNull()).select("text", "lang", place.alias("place"))
     n, df = document_frequencies(labelled)
     if not n:
         return None
     idf = np.log((1 + n) / (1 + df)) + 1
-    order = F.xxhash64("text")
-    pick = Window.partitionBy("lang").orderBy(order)
-    sample = labelled.where(F.col("text").rlike(r"\p{L}")).withColumn("r", F.row_number().over(pick)).where(F.col("r") <= per_label)
+    # about per_label rows of every language, by a hash of the row: no row moves for it
+    lettered = labelled.where(F.col("text").rlike(r"\p{L}"))
+    # (share has one row per language, as the model itself has)
+    share = lettered.groupBy("lang").agg((F.lit(float(per_label)) / F.count("*")).alias("share"))
+    spot = F.pmod(F.xxhash64("place", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = lettered.join(F.broadcast(share), "lang").where(spot < F.col("share"))
 
     def features(batches):
         for b in batches:
@@ -179,33 +185,50 @@ def train(labelled: DataFrame, per_label: int = 2000) -> dict | None:
     return {"langs": list(model.langs), "w": w, "t": model.t, "idf": idf}
 
 
+def _answers(texts, m: dict | None) -> tuple[list[str], list[float]]:
+    """(language, probability) of every text of an Arrow column."""
+    pred, score = [], []
+    for t in texts:
+        t = t.as_py()
+        if m is None or not has_letter(t):
+            pred.append("und"), score.append(0.0)
+            continue
+        i, v = tfidf(ngram_counts(t), m["idf"])
+        p = softmax((m["w"][:, i] @ v + 0.1 * m["w"][:, DIM]) / m["t"])
+        k = int(p.argmax())
+        pred.append(m["langs"][k]), score.append(float(p[k]))
+    return pred, score
+
+
 def predict(docs: DataFrame, model: dict | None) -> DataFrame:
-    """The columns of ``docs`` without text's copy, plus lang_pred and score
-    (calibrated probability of the predicted language)."""
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    docs = docs.select(*keep)
-    kind = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + ["lang_pred string", "score double"])
+    """``docs`` with lang_pred and score (calibrated probability of the
+    predicted language); columns of these names are replaced."""
+    docs = docs.select(*[c for c in docs.columns if c not in ("lang_pred", "score")])
+    kind = T.StructType([*docs.schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     at = docs.columns.index("text")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: languages x features
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
         for b in batches:
-            pred, score = [], []
-            for t in b.column(at):
-                t = t.as_py()
-                if m is None or not has_letter(t):
-                    pred.append("und"), score.append(0.0)
-                    continue
-                i, v = tfidf(ngram_counts(t), m["idf"])
-                p = softmax((m["w"][:, i] @ v + 0.1 * m["w"][:, DIM]) / m["t"])
-                k = int(p.argmax())
-                pred.append(m["langs"][k]), score.append(float(p[k]))
+            pred, score = _answers(b.column(at), shared.value)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                                              names=[*b.schema.names, "lang_pred", "score"])
     return docs.mapInArrow(run, kind)
 
 
+def accept(docs: DataFrame, model: dict | None, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` (all its columns) whose language is told with a
+    probability of at least ``least``; texts without letters go."""
+    at = docs.columns.index("text")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            pred, score = _answers(b.column(at), shared.value)
+            yield b.filter(pa.array([p != "und" and s >= least for p, s in zip(pred, score)], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, is_training: Column, per_label: int = 2000) -> DataFrame:
     """Learn from the rows where ``is_training`` holds, predict all rows."""
     return predict(docs, train(docs.where(is_training), per_label))

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chainlens.llm.common import WORD, by_value, stored
+from chainlens.llm.common import WORD, by_value, stored, text_or_empty
 
 by_value(__name__)
 
@@ -101,10 +101,10 @@ def catalogue(sizes: pd.DataFrame, weights: tuple, share: float, most: float, sh
 
 
 def word_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, start): where each document begins in its source's
+    """(doc_id, text_hash, source, size, start): where each document begins in its source's
     word stream.  Running sums are taken inside range partitions and shifted by
     the partition totals, so a source of any size is spread over many tasks."""
-    sizes = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    sizes = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_hash"), "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
     dealt = sizes.repartitionByRange("source", "doc_id", "size").withColumn("part", F.spark_partition_id())
     dealt = stored(dealt, "mix-sizes")
     here = Window.partitionBy("part", "source").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
@@ -114,15 +114,16 @@ def word_spans(docs: DataFrame) -> DataFrame:
     x = dealt.withColumn("inner", F.coalesce(F.sum("size").over(here), F.lit(0))).alias("x")
     o = offsets.alias("o")
     return (x.join(o, (F.col("x.part") == F.col("o.part")) & F.col("x.source").eqNullSafe(F.col("o.source")))
-            .select("x.doc_id", "x.source", "x.size", (F.col("inner") + F.col("offset")).alias("start")))
+            .select("x.doc_id", "x.text_hash", "x.source", "x.size", (F.col("inner") + F.col("offset")).alias("start")))
 
 
 def mix_sources(docs: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, most: int = 2, shards: int = SHARDS,
                 block_words: int = BLOCK_WORDS, seed: int = 7) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, and the
+    """One row per document: doc_id, text_hash, source, size, source_size, target, and the
     places its blocks take in the mix: pieces array<struct<place, first_word,
     n_words>>; first_word counts from the document's start, a repeated block
-    is a second piece.  ``source_plan`` (shard_ends) maps places to shards."""
+    is a second piece.  shard_ends, the shards' ends among the source's places,
+    maps a place to its shard."""
     spans = word_spans(docs)
     plan = (spans.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn("all", F.lit(0))
             .groupBy("all").applyInPandas(
@@ -130,7 +131,7 @@ def mix_sources(docs: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5,
                 CATALOGUE))
     plan = stored(plan, "mix-plan")
     x = spans.alias("x").join(plan.alias("p"), F.col("x.source").eqNullSafe(F.col("p.source"))).select(
-        "x.doc_id", "x.source", "x.size", "x.start", "p.source_size", "p.target", "p.block_words", "p.n_blocks",
+        "x.doc_id", "x.text_hash", "x.source", "x.size", "x.start", "p.source_size", "p.target", "p.block_words", "p.n_blocks",
         "p.quota", "p.step", "p.shift", "p.shard_ends")
     end = F.col("start") + F.col("size")
     blocks = F.when(F.col("size") > 0, F.sequence(F.floor(F.col("start") / F.col("block_words")),
@@ -147,7 +148,7 @@ def mix_sources(docs: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5,
 
     taken = F.concat(*[F.filter(F.transform(blocks, piece(t)), lambda p: p["place"] < F.col("quota"))
                        for t in range(math.ceil(most))])
-    return x.select("doc_id", "source", "size", "source_size", "target", taken.alias("pieces"), "shard_ends")
+    return x.select("doc_id", "text_hash", "source", "size", "source_size", "target", taken.alias("pieces"), "shard_ends")
 
 
 def shard_pieces(mix: DataFrame, seed: int = 7) -> DataFrame:
@@ -160,6 +161,25 @@ def shard_pieces(mix: DataFrame, seed: int = 7) -> DataFrame:
             .repartition("shard").sortWithinPartitions("shard", "order_key", "doc_id", "first_word"))
 
 
+def mixed_texts(mix: DataFrame, docs: DataFrame, seed: int = 7) -> DataFrame:
+    """Per document of the mix: doc_id, source, size, source_size, target, taken
+    and its pieces array<struct<shard, order_key, first_word, n_words, text>>;
+    a piece's text is its words, one space between.  Sorting a shard's pieces by
+    order_key gives its order."""
+    texts = docs.select(F.col("doc_id").alias("own_id"), F.xxhash64(text_or_empty()).alias("own_hash"), "text").groupBy(
+        "own_id", "own_hash").agg(F.first("text").alias("text"))
+    x = mix.join(texts, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")), "left")
+    x = x.withColumn("words", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0)))
+
+    def piece(p):
+        return F.struct(F.size(F.filter("shard_ends", lambda e: e <= p["place"])).alias("shard"),
+                        F.xxhash64(F.lit(seed), "source", p["place"]).alias("order_key"), p["first_word"].alias("first_word"), p["n_words"].alias("n_words"),
+                        F.array_join(F.slice("words", (p["first_word"] + 1).cast("int"), p["n_words"].cast("int")), " ").alias("text"))
+
+    taken = F.aggregate("pieces", F.lit(0).cast("long"), lambda a, p: a + p["n_words"])
+    return x.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), F.transform("pieces", piece).alias("pieces"))
+
+
 def mix_totals(mix: DataFrame) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, taken (words the mix takes)."""
     taken = F.aggregate("pieces", F.lit(0).cast("long"), lambda a, p: a + p["n_words"])

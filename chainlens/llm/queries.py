@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from chainlens.llm import chat_format, decontaminate, langid, line_dedup, lm_score, mixing, near_dedup, suffix_dedup, token_counts, topk_search
 from chainlens.llm.common import stored, table
 
@@ -113,3 +114,6 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     histogram = stored(token_counts.length_histogram(table(spark, sf_dir, "documents")), "length-histogram")
     return token_counts.limit_table(histogram)
+
+
+LLM_QUERIES["pipeline"] = corpus_pipeline.run

@@ -30,7 +30,7 @@ TOKENIZER_FILE = "byte_bpe_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 
 #: Lengths per block of the two-level suffix sums.
-BLOCK = 1024
+BLOCK = 128
 
 _ENCODERS: dict = {}
 
@@ -68,7 +68,7 @@ def limit_table(histogram: DataFrame) -> DataFrame:
     docs_over / tokens_over are suffix sums over lengths > L, docs_within and
     tokens_within their complements, tokens_kept = sum of min(length, L), and
     quantile = share of documents of at most L tokens.  Sums run inside blocks
-    of 1,024 lengths and over the block totals (longest length / 1,024 rows),
+    of 128 lengths and over the block totals (longest length / 128 rows),
     so no task holds the whole histogram.
     """
     block = F.floor(F.col("n_tokens") / BLOCK)
