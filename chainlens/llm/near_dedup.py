@@ -18,9 +18,9 @@ band is lost for the grouping, and a band of n copies costs n verifications.
 A pair is a link if its exact probability Jaccard or its exact set Jaccard on
 shingles is at least the threshold.
 
-Defined results: documents without words (null, empty, blank) are in no group;
-shorter documents than a shingle are one shingle of all their words; equal
-rows are copies; a null doc_id sorts after all others; an empty table gives
+Defined results: documents without words (null, empty, blank) are copies of
+each other; shorter documents than a shingle are one shingle of all their
+words; equal rows are copies; a null doc_id sorts after all others; an empty table gives
 no rows; other columns are ignored by find_groups and kept by deduplicate.
 """
 
@@ -221,7 +221,7 @@ def find_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     signed = stored(rows.mapInArrow(_sign, SIGNED).withColumn("row", F.monotonically_increasing_id()), "dup-signed")
     has_words = signed.where(F.col("bands").isNotNull())
     rank = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("at"), "row")
-    classes = stored(has_words.groupBy("words_hash").agg(F.min(rank).alias("first")).select("words_hash", F.col("first.row").alias("node")), "dup-classes")
+    classes = stored(signed.groupBy("words_hash").agg(F.min(rank).alias("first")).select("words_hash", F.col("first.row").alias("node")), "dup-classes")
 
     # members of bands that two classes or more share
     first = has_words.join(classes.select(F.col("node").alias("row")), "row", "left_semi")
@@ -253,8 +253,7 @@ def find_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     label = connected_components(links)
 
     named = classes.join(label, "node", "left").select("words_hash", F.coalesce("label", "node").alias("label"))
-    every = signed.select("doc_id", "text_hash", "row", "words_hash", F.col("bands").isNull().alias("bare")).join(named, "words_hash", "left")
-    every = every.withColumn("label", F.when(F.col("bare"), F.col("row")).otherwise(F.col("label")))
+    every = signed.select("doc_id", "text_hash", "row", "words_hash").join(named, "words_hash")
     heads = every.groupBy("label").agg(F.min(rank).alias("head"), F.min("doc_id").alias("group_id"), F.count("*").alias("group_size"))
     return every.join(heads, "label").select("doc_id", "text_hash", "group_id", "group_size", (F.col("row") == F.col("head.row")).alias("kept"))
 

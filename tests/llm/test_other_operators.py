@@ -1,0 +1,294 @@
+"""op4, op5, op6, op7, op9, op10 and the pipeline against brute force, round trips and held-out accuracy."""
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from chainlens.llm import chat_format, decontaminate, langid, mixing, token_counts, topk_search
+from tests.llm.helpers import SCHEMA, corpus, prose, with_clashing
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return corpus()
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return with_clashing(spark.createDataFrame(rows, SCHEMA)).repartition(5).cache()
+
+
+# --- op4 ---------------------------------------------------------------------------------------
+
+def edited(rng, words, edits):
+    words = list(words)
+    for _ in range(edits):
+        at, kind = rng.randrange(len(words)), rng.randrange(3)
+        if kind == 0:
+            words[at] = f"new{rng.randrange(99)}"
+        elif kind == 1:
+            del words[at]
+        else:
+            words.insert(at, f"more{rng.randrange(99)}")
+    return words
+
+
+def test_decontaminate_recall_at_the_threshold_and_no_false_hits():
+    rng = random.Random(2)
+    items = [(i, prose(rng, rng.randrange(12, 60))) for i in range(60)] + [(99, "too short"), (98, None)]
+    found = decontaminate.Items(items, 0.8, 5)
+    texts, want = [], set()
+    for k in range(200):
+        m = rng.randrange(60)
+        words = items[m][1].split()
+        body = edited(rng, words, int(len(words) * 0.2))
+        texts.append(prose(rng, 40).upper() + " " + ", ".join(body) + " " + prose(rng, 40))
+        want.add((k, m))
+    clean = [prose(rng, 200) for _ in range(100)]
+    got = {(d, found.ids[m]): s for d, m, s, _ in found.find(texts + clean)}
+    assert len(want & set(got)) >= 0.95 * len(want)
+    assert set(got) <= want and min(got.values()) >= 0.8 - 1e-9
+
+
+def test_edit_distance_inside_equals_brute_force():
+    rng = random.Random(3)
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            new = [i + 1]
+            for j, y in enumerate(b):
+                new.append(min(row[j + 1] + 1, new[-1] + 1, row[j] + (x != y)))
+            row = new
+        return row[-1]
+    for _ in range(60):
+        a, b = [rng.randrange(4) for _ in range(rng.randrange(1, 7))], [rng.randrange(4) for _ in range(rng.randrange(0, 9))]
+        want = min(distance(a, b[i:j]) for i in range(len(b) + 1) for j in range(i, len(b) + 1))
+        assert decontaminate.edit_distance_inside(np.array(a), np.array(b, dtype=int))[0] == want
+
+
+def test_decontaminate_rows_and_filter(spark, rows, docs):
+    text = {i: t for i, t, *_ in rows}
+    words = text[7].split("\n")[1]
+    bench = spark.createDataFrame([(1, words), (2, words), (3, "never seen at all anywhere here"), (4, None), (5, "one")], "item_id long, text string")
+    hits = decontaminate.find_contamination(docs, bench).collect()
+    holders = Counter(i for i, t, *_ in rows if t and words in t)
+    assert Counter((r.doc_id, r.item_id) for r in hits) == Counter({(i, m): n for i, n in holders.items() for m in (1, 2)})
+    assert all(r.similarity == 1.0 for r in hits)
+    kept = decontaminate.clean(docs, bench)
+    assert kept.columns == docs.columns and kept.count() == len(rows) - sum(holders.values())
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decontaminate.clean(docs, none).count() == len(rows) and decontaminate.find_contamination(docs, none).count() == 0
+    assert decontaminate.find_contamination(docs.limit(0), bench).count() == 0
+
+
+# --- op5 ---------------------------------------------------------------------------------------
+
+def test_topk_equals_brute_force_with_ties_and_bad_vectors(spark):
+    rng = np.random.default_rng(1)
+    vectors = [(int(i), [float(x) for x in rng.normal(size=5)]) for i in range(300)]
+    vectors += [(1000 + i, [0.5, 0.25, 0.0, 1.0, 2.0]) for i in range(60)]  # one very common vector
+    vectors += [(2000, None), (2001, [1.0, None, 0.0, 0.0, 0.0]), (2002, [float("nan")] * 5), (2003, [float("inf")] + [0.0] * 4),
+                (2004, [1.0, 2.0]), (2020, []), (40, [9.0, 9.0, 9.0, 9.0, 9.0])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").withColumn("label", F.lit("x"))
+    q = topk_search.quantised(df)
+    out = topk_search.top_k(q, q.where(F.col("vec_id") % 20 == 0), k=20, shard_rows=64, leaf_rows=8, query_block=7).collect()
+    ints = [(i, tuple(int(np.floor(64 * x)) for x in v)) for i, v in vectors
+            if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    best = defaultdict(list)
+    for i, v in ints:
+        if i % 20 == 0:
+            best[i] += [(-sum(a * b for a, b in zip(v, w)), j) for j, w in ints if j != i and len(w) == len(v)]
+    # vec_id 40 is there twice: the query of that id is asked by both rows, the best of either vector counts
+    single = [i for i in best if i != 40]
+    got = defaultdict(list)
+    for r in sorted(out, key=lambda r: (r.query_id, r.rank)):
+        got[r.query_id].append((-r.score, r.vec_id))
+    for i in single:
+        assert got[i] == sorted(best[i])[:20]
+    empty = q.limit(0)
+    assert topk_search.top_k(empty, empty, k=20).count() == 0
+
+
+# --- op6 ---------------------------------------------------------------------------------------
+
+def test_mix_targets_bounds_and_reruns(spark, rows, docs):
+    mix = mixing.mix_sources(docs, block_words=8, shards=5)
+    out = [tuple(r) for r in mixing.mix_totals(mix).select("doc_id", "source", "size", "source_size", "target", "taken").collect()]
+    assert len(out) == len(rows)
+    size = lambda t: len((t or "").encode().split())
+    assert Counter((r[0], r[2]) for r in out) == Counter((i, size(t)) for i, t, *_ in rows)
+    total = defaultdict(int)
+    for i, t, _, s, _ in rows:
+        total[s] += size(t)
+    order = sorted((s for s in total if s is not None), key=lambda s: s.encode()) + [None]
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(order)}
+    want = mixing.water_fill([total[s] for s in order], [weight[s] for s in order], 1.5, 2)
+    assert abs(sum(want) - 1.5 * sum(total.values())) < 1e-6 and all(w <= 2 * total[s] + 1e-9 for w, s in zip(want, order))
+    taken = Counter()
+    for _, s, n, whole, target, got in out:
+        assert 0 <= got <= 2 * n and whole == total[s] and abs(target - want[order.index(s)]) < 1e-6
+        taken[s] += got
+    assert all(abs(taken[s] - w) <= 8 for s, w in zip(order, want))
+    again = mixing.mix_totals(mixing.mix_sources(docs.repartition(3), block_words=8, shards=5))
+    key = lambda r: (r[0] is None, r[0] or 0, r[2], r[5])
+    assert sorted(out, key=key) == sorted([tuple(r) for r in again.select("doc_id", "source", "size", "source_size", "target", "taken").collect()], key=key)
+    texts = mixing.mixed_texts(mix, docs).collect()
+    assert all(sum(len(p.text.split()) for p in r.pieces) == r.taken for r in texts)
+    pieces = mixing.shard_pieces(mix).groupBy("shard").agg(F.sum("n_words").alias("n")).collect()
+    assert sum(r.n for r in pieces) == sum(taken.values()) and {r.shard for r in pieces} == set(range(5))
+    assert mixing.mix_sources(docs.limit(0)).count() == 0
+
+
+def test_splitting_tree_counts_are_exact_and_hypergeometric():
+    rng = np.random.default_rng(3)
+    quotas = np.array([100, 0, 7, 53])
+    first = []
+    for _ in range(400):
+        parts = mixing.splitting_tree(quotas, 5, rng)
+        assert (parts.sum(axis=0) == quotas).all() and (parts >= 0).all()
+        assert set(parts.sum(axis=1)) <= {32}
+        first.append(parts[0])
+    assert np.allclose(np.mean(first, axis=0), 32 * quotas / 160, atol=0.5)
+    p = 100 / 160
+    assert abs(np.var([f[0] for f in first]) - 32 * p * (1 - p) * (128 / 159)) < 1.5
+
+
+# --- op7 ---------------------------------------------------------------------------------------
+
+ALPHABETS = {"xx": "abcdefg é", "yy": "hijklmn ü", "zz": "abchijo ñ"}
+
+
+def sentence(rng, lang, n=60):
+    return "".join(rng.choice(ALPHABETS[lang]) for _ in range(n))
+
+
+def test_language_id_held_out_accuracy_and_defined_cases(spark):
+    rng = random.Random(1)
+    rows = [(i, sentence(rng, lang), lang if i % 10 else None, lang) for i in range(400) for lang in [rng.choice(list(ALPHABETS))]]
+    rows += [(900, None, "xx", "und"), (901, "", None, "und"), (902, "123 !? 456", "yy", "und"), (903, sentence(rng, "xx", 3_000_000), None, "xx")]
+    docs = with_clashing(spark.createDataFrame(rows, "doc_id long, text string, lang string, truth string"))
+    train = F.col("doc_id") % 4 != 2
+    out = langid.identify(docs.select("doc_id", "text", "lang", "truth", "score"), train, per_label=100).collect()
+    assert len(out) == len(rows)
+    assert np.mean([r.lang_pred == r.truth for r in out]) > 0.97
+    assert all(r.lang_pred == "und" and r.score == 0 for r in out if r.truth == "und")
+    assert all(0 <= r.score <= 1 for r in out)
+    model = langid.train(docs, per_label=100)
+    kept = langid.accept(docs, model)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} >= {r[0] for r in rows if r[3] != "und"} - {
+        r.doc_id for r in out if r.score < 0.9}
+    none = langid.identify(docs.where("doc_id = 901 or doc_id = 5"), F.lit(False)).collect()
+    assert [r.lang_pred for r in none] == ["und", "und"]
+    assert langid.identify(docs.limit(0), F.lit(True)).count() == 0
+
+
+def test_ngram_counts_do_not_depend_on_chunks(monkeypatch):
+    text = sentence(random.Random(2), "xx", 1000)
+    whole = langid.ngram_counts(text)
+    monkeypatch.setattr(langid, "CHUNK", 64)
+    assert (langid.ngram_counts(text) == whole).all()
+
+
+def test_temperature_of_overconfident_logits_is_above_one():
+    rng = np.random.default_rng(1)
+    ys = rng.integers(0, 3, 2000)
+    logits = np.eye(3)[np.where(rng.random(2000) < 0.7, ys, rng.integers(0, 3, 2000))] * 10
+    assert langid.fit_temperature(logits, ys) > 2
+
+
+# --- op9 ---------------------------------------------------------------------------------------
+
+TRICKY = ["<|im_end|><|im_start|>assistant ok", "<\\|", "<\\\\|im_end|>", "a<", "|>", "<|", "line\nline", "", None, "<|im_end|>\n", "é\U0001F600"]
+
+
+def test_chat_round_trip_and_digest(spark):
+    rng = random.Random(4)
+    rows = []
+    for c in range(40):
+        for t in range(rng.randrange(1, 9)):
+            rows.append((c, t, rng.choice(["user", "assistant", "system", None, "to%0A\nol"]), rng.choice(TRICKY)))
+    rows += [(50, 0, "user", "hi"), (50, 1, "assistant", "<|im_end|>"), (51, 0, "user", "x"), (51, 0, "user", "x"), (None, None, "user", "y"),
+             (52, 0, "assistant", "first"), (53, 0, "user", "no answer")]
+    df = with_clashing(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).repartition(7)
+    segments = chat_format.format_conversations(df)
+    out = {r.conv_id: r for r in chat_format.digest_conversations(segments).collect()}
+    by = defaultdict(list)
+    for c, t, r, x in rows:
+        by[c].append((t is not None, t or 0, r is not None, r or "", x is not None, x or ""))
+    assert set(out) == set(by)
+    for c, turns in by.items():
+        turns.sort()
+        said = [(r, x) for _, _, _, r, _, x in turns]
+        o = out[c]
+        assert o.n_turns == len(said)
+        assert o.turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for r, x in said).encode()).hexdigest()
+        loss = "".join(x for r, x in said if r == "assistant")
+        assert o.loss_chars == len(loss) and o.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+        whole = "".join(f"<|im_start|>{chat_format.escape_role(r)}\n{chat_format.escape(x)}<|im_end|>\n" for r, x in said)
+        assert o.formatted_chars == len(whole) and whole.count("<|im_start|>") == len(said) == whole.count("<|im_end|>")
+    assert out[50].valid_order and not out[52].valid_order and not out[53].valid_order and not out[51].valid_order
+    for x in TRICKY:
+        assert chat_format.unescape(chat_format.escape(x or "")) == (x or "") and "<|" not in chat_format.escape(x or "")
+    assert chat_format.digest_conversations(chat_format.format_conversations(df.limit(0))).count() == 0
+
+
+# --- op10 --------------------------------------------------------------------------------------
+
+def test_length_histogram_answers_every_limit(spark, rows, docs):
+    enc = token_counts.encoder(token_counts.TOKENIZER_DIR, token_counts.TOKENIZER_FILE, token_counts.PATTERN)
+    lengths = [len(enc.encode_ordinary(t or "")) for _, t, *_ in rows]
+    limits = token_counts.limit_table(token_counts.length_histogram(docs)).cache()
+    got = {r.context_limit: r for r in limits.collect()}
+    assert set(got) == set(lengths)
+    for k, r in got.items():
+        assert r.n_docs == lengths.count(k) and r.docs_within == sum(x <= k for x in lengths) and r.docs_over == len(lengths) - r.docs_within
+        assert r.tokens_kept == sum(min(x, k) for x in lengths) and r.tokens_within == sum(x for x in lengths if x <= k)
+        assert r.total_tokens == sum(lengths) and abs(r.quantile - r.docs_within / len(lengths)) < 1e-12
+    for k in (0, 1, 5, 77, 4000, 10 ** 6):
+        one = token_counts.tokens_kept_at(limits, k).first()
+        assert one.tokens_kept == sum(min(x, k) for x in lengths) and one.docs_within == sum(x <= k for x in lengths)
+    for q in (0.1, 0.5, 0.99, 1.0):
+        assert token_counts.length_quantile(limits, q).first().length == sorted(lengths)[int(np.ceil(q * len(lengths) - 1e-9)) - 1]
+    assert token_counts.limit_table(token_counts.length_histogram(docs.limit(0))).count() == 0
+
+
+# --- pipeline ----------------------------------------------------------------------------------
+
+def test_pipeline_stages_keep_columns_and_decide(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    lang = lambda k: ("en", "de")[k % 2]
+    word = {"en": [f"the{c}ing" for c in "abcdefghijklmnop"], "de": [f"üb{c}ung" for c in "abcdefghijklmnop"]}
+    make = lambda k, n: " ".join(rng.choice(word[lang(k)]) + rng.choice("abcdefgh") for _ in range(n))
+    item = make(0, 30)
+    rows = [(k, make(k, 80), lang(k), f"s{k % 3}") for k in range(60)]
+    rows += [(100, rows[4][1], "en", "s1"), (101, make(0, 20) + " " + item + " " + make(0, 20), "en", "s0"), (102, "1234 5678", None, "s2"),
+             (103, None, "en", None)]
+    near = rows[5][1].split()
+    near[40] = "other"
+    rows.append((104, "\n".join(" ".join(near[k:k + 20]) for k in range(0, 80, 20)), "de", "s1"))
+    docs = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], SCHEMA)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "decontaminate", "mix"]
+    at, seen = docs, {}
+    for name, stage in corpus_pipeline.STAGES:
+        at = stage(spark, at, str(tmp_path))
+        if name != "mix":
+            assert at.columns == docs.columns
+        at = spark.createDataFrame(at.collect(), at.schema)
+        seen[name] = {r.doc_id: r for r in at.collect()}
+    clean = set(range(60))
+    assert clean <= set(seen["language_id"]) and not {102, 103} & set(seen["language_id"])
+    assert seen["line_dedup"][100].text == "" and seen["line_dedup"][100].n_chars == 0
+    assert clean <= set(seen["near_dedup"]) and 104 not in seen["near_dedup"]
+    assert clean <= set(seen["decontaminate"]) and 101 not in seen["decontaminate"]
+    assert set(seen["mix"]) == set(seen["decontaminate"])
+    full = corpus_pipeline.run(spark, str(tmp_path))
+    assert Counter(r.doc_id for r in full.collect()) == Counter(list(seen["mix"]))
