@@ -18,10 +18,10 @@ def _local(spark, name):
     return p
 
 
-def test_split_documents():
+def test_iter_documents():
     text = ' [{"a": 1}, 5, {"b": 2}] , {"c": 3}\n[{"d": 4}] trailing junk {"e": 5}'
-    assert [json.loads(x) for x in S.split_documents(text)] == [{"a": 1}, {"b": 2}, {"c": 3}, {"d": 4}]
-    assert S.split_documents("") == [] and S.split_documents("not json") == []
+    assert [json.loads(x) for x in S.iter_documents(text)] == [{"a": 1}, {"b": 2}, {"c": 3}, {"d": 4}]
+    assert list(S.iter_documents("")) == [] and list(S.iter_documents("not json")) == [] and list(S.iter_documents(", {}")) == []
 
 
 def test_findings_files_multi_array_and_order(spark):
@@ -48,11 +48,12 @@ def test_findings_lines_equals_splitter(spark):
     d = _local(spark, "findings-lines")
     p = os.path.join(d, "f.jsonl")
     with open(p, "w") as fh:
-        for o in samples.FINDINGS:
+        for o in samples.FINDINGS[2:]:
             fh.write(json.dumps(o) + "\n")
+        fh.write(json.dumps([*samples.FINDINGS[:2], 7, {"b": 1}]) + "\n")   # an array on a line
     a = sorted(r.raw for r in S.read_findings_lines(spark, p).collect())
     b = sorted(r.raw for r in S.read_findings_files(spark, p).collect())
-    assert a == b and len(a) == 6
+    assert a == b and len(a) == 9
 
 
 def test_newest_file(spark):
@@ -75,8 +76,8 @@ def test_cve_reports_from_files(spark):
     with open(os.path.join(d, "i-0second.scan.json"), "w") as fh:
         json.dump(samples.CVE_REPORT["Results"], fh)          # bare list root
     rows = S.read_cve_reports(spark, d, samples.ACCOUNT, samples.REGION).collect()
-    assert sorted({r.instance_id for r in rows}) == ["i-0abc123def456", "i-0second"]
-    assert len(rows) == 10
+    assert sorted({r.instance_id for r in rows}) == ["i-0second", "i-shop01"]
+    assert len(rows) == 6
 
 
 def test_iam_paths_from_files(spark):
@@ -86,8 +87,8 @@ def test_iam_paths_from_files(spark):
     with open(os.path.join(d, "wrapped.json"), "w") as fh:
         json.dump({"findings": samples.IAM_PATHS[:2]}, fh)
     rows = S.read_iam_paths(spark, d, samples.ACCOUNT, samples.REGION).collect()
-    assert len(rows) == 6
-    assert sum(r.target_is_admin for r in rows) == 5
+    assert len(rows) == 5
+    assert sum(r.target_is_admin for r in rows) == 3
 
 
 def test_inventory_bundle(spark):
@@ -131,3 +132,20 @@ def test_latest_report(spark):
     os.utime(os.path.join(d, "security_report_a.md"), (1, 1))
     r = S.latest_report(spark, d).collect()[0]
     assert (r.content, r.filename) == ("new", "security_report_b.md") and r.generated.endswith("UTC")
+
+
+def test_unreadable_documents_are_errors_or_counted(spark):
+    d = _local(spark, "cut-off")
+    whole = json.dumps(samples.CVE_REPORT)
+    for name, text in (("i-1.json", whole), ("i-2.json", whole[:len(whole) // 2]), ("i-3.json", "")):
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write(text)
+    with pytest.raises(Exception, match="not a JSON document"):
+        S.read_cve_reports(spark, d, samples.ACCOUNT, samples.REGION).collect()
+    kept = S.read_cve_reports(spark, d, samples.ACCOUNT, samples.REGION, on_error="skip").collect()
+    assert {r.instance_id for r in kept} == {"i-1"} and len(kept) == 3
+    assert tuple(S.count_unreadable(spark, d).first()) == (3, 2)
+    with pytest.raises(ValueError):
+        S.read_inventory_bundle(spark, os.path.join(d, "i-2.json"))
+    with pytest.raises(Exception, match="not a JSON document"):
+        S.read_iam_paths(spark, os.path.join(d, "i-2.json"), "a", "r").collect()
