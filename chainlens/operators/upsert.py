@@ -89,17 +89,22 @@ def upsert(
     on_duplicate: str = "last",
     strategy: str = "merge",
     broadcast_rows: int = BROADCAST_ROWS,
+    collapse_stored: bool = False,
 ) -> DataFrame:
     """Return the new state of ``current`` after upserting ``batch``.
 
     ``as_of`` is the stamp written on every inserted / updated row (default:
     the query's current timestamp).  ``seq`` orders the batch for last-wins;
     any orderable column (a number or a struct of file ordinal and position).
+    Without it the greatest row (as JSON text) of a key wins.
     ``on_duplicate="error"`` raises if the batch holds a key twice, as the
     relational original does for tables it does not pre-deduplicate.
     ``strategy``: "merge" (one shuffle of current + batch), "touched" (merge only
     current rows whose key is in the batch; the batch key set is broadcast), or
-    "auto" (touched when the batch has at most ``broadcast_rows`` rows).
+    "auto" (touched when the batch has at most ``broadcast_rows`` rows).  The
+    stored table holds a key once when it was written by this function; for a
+    table that may not, ``collapse_stored`` makes "touched" collapse such keys
+    as "merge" does.
     """
     cols = current.columns
     key = list(spec.key)
@@ -108,7 +113,8 @@ def upsert(
         if dup:
             raise ValueError(f"{spec.name}: batch holds key {tuple(dup[0][k] for k in key)} more than once")
     stamp_value = F.current_timestamp() if as_of is None else (as_of if isinstance(as_of, Column) else F.lit(as_of))
-    seq_c = F.col(seq) if seq and seq in batch.columns else F.monotonically_increasing_id()
+    # with no order given, the row's own content decides: the same winner however rows are dealt out
+    seq_c = F.col(seq) if seq and seq in batch.columns else F.to_json(F.struct(*batch.columns))
     bat = _conform(batch.withColumn("_b", F.lit(1)).withColumn("_seq", seq_c), current, spec.stamp, stamp_value)
     bat = bat.select(*cols, F.col("_b").cast("int").alias("_b"), F.col("_seq"))
     seq_type = bat.schema["_seq"].dataType
@@ -122,7 +128,9 @@ def upsert(
         raise ValueError(f"unknown strategy {strategy!r}")
     keys = F.broadcast(bat.where(~_null_key(key)).select(*key).distinct())
     touched = cur_tagged.join(keys, key, "left_semi")
-    untouched = current.join(keys, key, "left_anti")
+    # a key that is stored twice is collapsed as in a merge, so both strategies agree
+    untouched = _merge(cur_tagged.join(keys, key, "left_anti"), bat.limit(0), spec, cols) if collapse_stored else \
+        current.join(keys, key, "left_anti")
     return untouched.select(*cols).unionByName(_merge(touched, bat, spec, cols))
 
 

@@ -32,17 +32,20 @@ def sync_counts(table: str, rows: DataFrame, status: str = "success", error: str
                 duration_ms: int = 0) -> DataFrame:
     """B-9 rows for one synced table: one log row per account with its row count
     (a partial aggregate; nothing is collected)."""
-    return rows.groupBy("account_id").agg(F.count(F.lit(1)).cast("int").alias("rows_synced")).select(
+    return rows.groupBy("account_id").agg(F.count(F.lit(1)).alias("rows_synced")).select(
         F.current_timestamp().alias("synced_at"), "account_id", F.lit(table).alias("table_name"), "rows_synced",
-        F.lit(duration_ms).cast("int").alias("duration_ms"), F.lit(status).alias("status"),
+        F.lit(duration_ms).cast("long").alias("duration_ms"), F.lit(status).alias("status"),
         F.lit(error).cast("string").alias("error_msg"))
 
 
 def sync_inventory(spark: SparkSession, raw: dict[str, DataFrame], root: str,
-                   tables: list[str] | None = None, projected: bool = False, as_of=None) -> DataFrame:
+                   tables: list[str] | None = None, projected: bool = False, as_of=None,
+                   log_root: str | None = None) -> DataFrame:
     """A-6 / C-12 … C-16 / B-3 … B-7: project each raw inventory table (or take
     already projected rows, the bundle form of A-5), upsert it into its stored
-    table under ``root`` and return the sync log rows of this run.
+    table under ``root`` and return the sync log rows of this run, which are also
+    appended to the log at ``log_root``.  Of a key that a sync holds twice the
+    greatest row wins, whatever the order of rows.
 
     ``tables`` is the per-table subset (default: all given)."""
     logs = []
@@ -55,17 +58,20 @@ def sync_inventory(spark: SparkSession, raw: dict[str, DataFrame], root: str,
         try:
             rows = serialize_nested(raw[name] if projected else PROJECTIONS[name](raw[name]))
             current = store.read_latest(spark, path, empty_like=rows.withColumn(spec.stamp, F.current_timestamp()))
-            new = upsert(current, rows, spec, as_of=as_of, strategy="auto")
+            new = upsert(current, rows, spec, as_of=as_of, strategy="merge")
             store.commit(new, path, sort_by=list(spec.key))
             logs.append(sync_counts(target, rows, duration_ms=int((time.time() - t0) * 1000)))
         except Exception as exc:  # a failed step is logged, the run goes on
             logs.append(spark.createDataFrame(
-                [(None, target, 0, int((time.time() - t0) * 1000), "error", str(exc)[:1000])],
-                "account_id string, table_name string, rows_synced int, duration_ms int, status string, "
+                [(None, target, 0, int((time.time() - t0) * 1000), "error", str(exc))],
+                "account_id string, table_name string, rows_synced long, duration_ms long, status string, "
                 "error_msg string").select(F.current_timestamp().alias("synced_at"), "*"))
     out = logs[0]
     for df in logs[1:]:
         out = out.unionByName(df)
+    if log_root:
+        store.append_sync_log(out, log_root)
+        return spark.read.parquet(log_root)
     return out
 
 

@@ -51,7 +51,7 @@ SECURITY_GROUPS = [
 
 VPCS = ["vpc_id", "account_id", "region", "cidr_block", "is_default", "state", "tags", "raw_json", "synced_at"]
 
-SYNC_LOG = ["synced_at", "table_name", "rows_synced", "duration_ms", "status", "error_msg"]
+SYNC_LOG = ["synced_at", "account_id", "table_name", "rows_synced", "duration_ms", "status", "error_msg"]
 
 
 @dataclass(frozen=True)

@@ -8,9 +8,9 @@ findings table (B-1), in one job per batch.
 
 No watermark or state store is needed: de-duplication is by key against the
 stored snapshot, and the micro-batch id orders batches.  Exactly-once: the
-stream checkpoint records consumed files; a batch re-run after a failure
-finds its own commit marker on the newest version and skips, so a retry
-never applies a batch twice.
+stream checkpoint records consumed files, and the batch id is part of the
+committed version's name, so version and record appear in one step; a batch
+re-run after a failure finds its version and skips.
 """
 
 from __future__ import annotations
@@ -24,17 +24,7 @@ from chainlens.operators.normalize import normalize_findings
 from chainlens.operators.upsert import upsert
 from chainlens.schemas import FINDINGS, FINDINGS_SPEC
 from chainlens.sources import store
-from chainlens.sources.files import _split_batches_tagged
-
-
-def _marker(spark: SparkSession, version_path: str, batch_id: int, write: bool) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(version_path, f"_BATCH_{batch_id}")
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if write:
-        fs.create(p, True).close()
-        return True
-    return fs.exists(p)
+from chainlens.sources.files import _documents_of
 
 
 def empty_findings(spark: SparkSession) -> DataFrame:
@@ -46,27 +36,27 @@ def apply_findings_batch(batch: DataFrame, batch_id: int, table_root: str, as_of
                          log_root: str | None = None) -> str | None:
     """foreachBatch body: split, normalise, upsert, commit the next version.
 
-    With ``log_root``, one sync-log row (B-9) per batch records the findings
-    read, counted by an observation on the same pass (no extra scan)."""
+    The upsert is one merge pass over the batch, so the batch is split and
+    normalised once; with ``log_root``, one sync-log row (B-9) per batch records
+    the documents that pass counted."""
     spark = batch.sparkSession
     t0 = time.time()
-    latest = store.latest_path(spark, table_root)
-    if latest is not None and _marker(spark, latest, batch_id, write=False):
-        return latest                                   # this batch is already committed
+    done = store.committed_batch(spark, table_root, batch_id)
+    if done is not None:
+        return done
     docs = batch.select(F.lit(0).alias("arg"), F.col("path"), F.col("value")).mapInPandas(
-        _split_batches_tagged, "arg int, path string, pos long, raw string")
+        _documents_of, "arg int, path string, pos long, raw string")
     obs = Observation(f"findings-batch-{batch_id}")
     docs = docs.observe(obs, F.count(F.lit(1)).alias("documents"))
     rows = normalize_findings(docs.select(
         F.struct(F.lit(batch_id).alias("batch"), "path", "pos").alias("_seq"), "raw"))
     current = store.read_latest(spark, table_root, empty_like=empty_findings(spark))
-    new = upsert(current, rows, FINDINGS_SPEC, as_of=as_of, seq="_seq", strategy="auto")
-    path = store.commit(new, table_root, sort_by=list(FINDINGS_SPEC.key))
-    _marker(spark, path, batch_id, write=True)
+    new = upsert(current, rows, FINDINGS_SPEC, as_of=as_of, seq="_seq", strategy="merge")
+    path = store.commit(new, table_root, sort_by=list(FINDINGS_SPEC.key), batch_id=batch_id)
     if log_root:
-        n = int(obs.get.get("documents", 0))
+        n = int(obs.get.get("documents", 0))  # of the commit's only pass
         store.append_sync_log(store.sync_log_rows(
-            spark, [("findings", n, int((time.time() - t0) * 1000), "success", None)]), log_root)
+            spark, [(None, "findings", n, int((time.time() - t0) * 1000), "success", None)]), log_root)
     return path
 
 

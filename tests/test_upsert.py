@@ -97,7 +97,33 @@ def test_commit_and_read_latest(spark, current):
 
 def test_sync_log(spark):
     root = scratch_path(spark, "sync-log")
-    store.append_sync_log(store.sync_log_rows(spark, [("instances", 3, 12, "success", None)], as_of=AS_OF), root)
-    store.append_sync_log(store.sync_log_rows(spark, [("s3", 0, 5, "error", "boom")], as_of=AS_OF), root)
+    store.append_sync_log(store.sync_log_rows(spark, [("A", "instances", 3, 12, "success", None)], as_of=AS_OF), root)
+    store.append_sync_log(store.sync_log_rows(spark, [(None, "s3", 0, 5, "error", "boom")], as_of=AS_OF), root)
     log = spark.read.parquet(root)
     assert log.count() == 2 and log.where("status = 'error'").count() == 1
+
+
+def test_commit_after_a_failed_write(spark):
+    import os
+
+    root = scratch_path(spark, "half-written").replace("file:", "")
+    df = spark.range(5)
+    store.commit(df, root)
+    os.makedirs(f"{root}/version=1")          # a writer died here: files, no _SUCCESS
+    with open(f"{root}/version=1/part-0.parquet", "w") as fh:
+        fh.write("broken")
+    assert store.versions(spark, root) == [0] and store.read_latest(spark, root).count() == 5
+    assert store.commit(spark.range(9), root).endswith("version=2")
+    assert store.versions(spark, root) == [0, 2] and store.read_latest(spark, root).count() == 9
+    store.commit(spark.range(3), root, batch_id=7)
+    assert store.committed_batch(spark, root, 7).endswith("version=3-batch=7") and store.committed_batch(spark, root, 8) is None
+    assert store.read_latest(spark, root).count() == 3
+    assert store.drop_old_versions(spark, root, keep=1) == [0, 1, 2] and store.versions(spark, root) == [3]
+
+
+def test_last_wins_without_an_order_does_not_depend_on_partitions(spark):
+    rows = [(f"v{i % 5}", "A", "r", f"10.{i}.0.0/16", False, "s") for i in range(40)]
+    batch = spark.createDataFrame(rows, "vpc_id string, account_id string, region string, cidr_block string, is_default boolean, state string")
+    empty = batch.limit(0).withColumn(SCH.VPCS_SPEC.stamp, F.lit(None).cast("timestamp"))
+    out = [sorted(map(tuple, U.upsert(empty, batch.repartition(n), SCH.VPCS_SPEC, as_of="2021-01-01 00:00:00").collect())) for n in (1, 3, 7)]
+    assert out[0] == out[1] == out[2] and len(out[0]) == 5
