@@ -8,10 +8,10 @@ the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chainlens.functions.scalar import profile_role, risk_score, substring_match
+from chainlens.functions.scalar import PUBLIC_IP_POINTS, profile_role, risk_score, severity_points, substring_match
 
 FAIL = "FAIL"
 OPEN = "OPEN"
@@ -97,12 +97,11 @@ def public_s3_findings(buckets: DataFrame, findings: DataFrame) -> DataFrame:
     return b.join(f, "resource_arn").drop("resource_arn")
 
 
-ROLE_BROADCAST_LIMIT = 200_000   # distinct (account, role) pairs broadcast after a count
-ROLE_SALT_BUCKETS = 64           # split of each account's paths when the role set is larger
+ROLE_SALT_BUCKETS = 64           # split of each account's paths under strategy "salted"
 
 
-def role_risk_matches(instances: DataFrame, iam_risks: DataFrame, strategy: str = "auto",
-                      broadcast_limit: int = ROLE_BROADCAST_LIMIT, salt_buckets: int = ROLE_SALT_BUCKETS) -> DataFrame:
+def role_risk_matches(instances: DataFrame, iam_risks: DataFrame, strategy: str = "plain",
+                      salt_buckets: int = ROLE_SALT_BUCKETS) -> DataFrame:
     """R-5: match each *distinct* (account, role) of running instances to the
     escalation paths whose source_arn contains the role (LIKE '%role%').
 
@@ -110,15 +109,14 @@ def role_risk_matches(instances: DataFrame, iam_risks: DataFrame, strategy: str
     once per instance or per chain row; instances then pick their matches up
     through a plain equi-join on (account_id, role).
 
-    The only equi-key is the account, so one account may hold a third of all
-    paths.  ``strategy``:
-      "broadcast"  the distinct-role set is broadcast and the paths stream
-                   through every task: no shuffle of the paths, no hot task;
+    ``strategy``:
+      "plain"      an equi-join on the account with the match as its condition:
+                   the optimizer broadcasts the role set if it is small when
+                   measured, else both sides shuffle and AQE splits an account
+                   that holds far more paths than others;
       "salted"     paths are spread over ``salt_buckets`` by a hash of the path
-                   and each role row is repeated per bucket, so a hot account's
-                   pairs are checked by many tasks;
-      "auto"       counts the distinct roles (a small aggregate) and broadcasts
-                   them only under ``broadcast_limit``, else salts.
+                   and each role row is repeated per bucket.
+    Nothing is counted while the query is built.
     """
     roles = (
         running(instances)
@@ -130,12 +128,9 @@ def role_risk_matches(instances: DataFrame, iam_risks: DataFrame, strategy: str
         "account_id", "source_arn", "path", "hops", "target_name", "target_is_admin",
         F.col("severity").alias("iam_severity"),
     )
-    if strategy == "auto":
-        strategy = "broadcast" if roles.count() <= broadcast_limit else "salted"
-    if strategy == "broadcast":
-        b = F.broadcast(roles)
-        cond = (r["account_id"] == b["_acct"]) & substring_match(r["source_arn"], b["_role"])
-        return r.join(b, cond, "inner").drop("account_id", "source_arn")
+    if strategy == "plain":
+        cond = (r["account_id"] == roles["_acct"]) & substring_match(r["source_arn"], roles["_role"])
+        return r.join(roles, cond, "inner").drop("account_id", "source_arn")
     if strategy != "salted":
         raise ValueError(f"unknown strategy {strategy!r}")
     rs = r.withColumn("_salt", F.pmod(F.xxhash64("account_id", "source_arn", "path", "target_name"),
@@ -201,6 +196,15 @@ def attack_chains(
     An instance with more than ``hot_threshold`` open severe CVEs has its
     fan-out split over many tasks (``split_hot_join``); None turns this off.
     """
+    paths, found, cves = _chain_factors(instances, findings, cves, iam_risks, instance_id)
+    return _chain_rows(split_hot_join(paths.join(found, "instance_id"), cves, "instance_id", hot_threshold))
+
+
+def _chain_factors(instances: DataFrame, findings: DataFrame, cves: DataFrame, iam_risks: DataFrame,
+                   instance_id: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What a chain is the product of, each keyed by instance_id: the running
+    instance with its escalation paths (or none), its failed findings, its open
+    severe CVEs."""
     inst = running(instances)
     if instance_id is not None:
         inst = inst.where(F.col("instance_id") == instance_id)
@@ -210,25 +214,26 @@ def attack_chains(
         "account_id", "resource_arn",
     )
     matches = role_risk_matches(inst, iam_risks)
-    inst_paths = inst.join(
+    paths = inst.join(
         matches,
         (inst["account_id"] == matches["_acct"]) & (profile_role(inst["iam_instance_profile"]) == matches["_role"]),
         "left",
-    ).drop("_acct", "_role", "account_id")
-
-    fnd = (
+    ).drop("_acct", "_role", "account_id", "resource_arn")
+    found = (
         failed(findings)
         .select("resource_arn", F.col("check_title").alias("misconfiguration"),
                 F.col("severity").alias("misconfig_severity"), F.col("recommendation").alias("misconfig_fix"))
         .join(inst.select("resource_arn", "instance_id"), "resource_arn")
         .drop("resource_arn")
     )
-    cv = open_severe(cves).select(
+    severe = open_severe(cves).select(
         "instance_id", "cve_id", "cvss_score", "package_name", "fixed_version", F.col("title").alias("cve_title")
     )
-    chains = split_hot_join(inst_paths.drop("resource_arn").join(fnd, "instance_id"), cv, "instance_id",
-                            hot_threshold)
-    return chains.select(
+    return paths, found, severe
+
+
+def _chain_rows(product: DataFrame) -> DataFrame:
+    return product.select(
         "instance_id", "name_tag", "public_ip", "instance_type", "region", "iam_instance_profile",
         "misconfiguration", "misconfig_severity", "misconfig_fix",
         "cve_id", F.col("cvss_score").cast("double").alias("cvss_score"), "package_name", "fixed_version", "cve_title",
@@ -238,6 +243,61 @@ def attack_chains(
     )
 
 
+def _best(df: DataFrame, n: int, by: list[str], first: list, then: list[str]) -> DataFrame:
+    """The n first rows of each ``by`` in the order ``first``, then the columns
+    ``then`` ascending with NULLs last.  The limit is applied in every task
+    before the shuffle."""
+    order = [*first, *[F.col(c).asc_nulls_last() for c in then]]
+    w = Window.partitionBy(*by).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= n).drop("_rank")
+
+
+def best_chains(instances: DataFrame, findings: DataFrame, cves: DataFrame, iam_risks: DataFrame, n: int) -> DataFrame:
+    """Chain rows that hold the ``n`` best of E-6 by (risk_score DESC NULLS LAST,
+    the dashboard list's columns ASC NULLS LAST), also among the chains that
+    reach an admin and among those that do not.
+
+    The score is a sum over the three factors and the tie-break compares their
+    columns, so a row among the n best only uses rows that are among the n best
+    of their factor for the instance (by points, then columns): n of each are
+    joined, never the fan-out.  A chain whose CVE has no score has no score
+    itself; points do not matter there, so those chains are a branch of their
+    own in which every factor is ranked by its columns alone.
+    """
+    paths, found, severe = _chain_factors(instances, findings, cves, iam_risks)
+    admin = F.coalesce("target_is_admin", F.lit(False))
+    paths = paths.withColumn("_admin", admin)
+    path_cols = ["name_tag", "public_ip", "region", "path", "target_name", "target_is_admin"]
+    found_cols, cve_cols = ["misconfiguration", "misconfig_severity"], ["cve_id", "cvss_score", "package_name", "fixed_version"]
+    path_points = severity_points("iam_severity") + F.when(F.col("public_ip").isNotNull(), F.lit(PUBLIC_IP_POINTS)).otherwise(F.lit(0))
+    key = ["instance_id"]
+
+    def product(path_first, found_first, cve_rows, cve_first):
+        p = _best(paths, n, [*key, "_admin"], path_first, path_cols).drop("_admin")
+        f = _best(found, n, key, found_first, found_cols)
+        c = _best(cve_rows, n, key, cve_first, cve_cols)
+        return p.join(f, "instance_id").join(c, "instance_id")
+
+    scored = product([path_points.desc()], [severity_points("misconfig_severity").desc()],
+                     severe.where(F.col("cvss_score").isNotNull()), [F.col("cvss_score").desc()])
+    without = product([], [], severe.where(F.col("cvss_score").isNull()), [])
+    return _chain_rows(scored.unionByName(without))
+
+
+def best_critical_risks(findings: DataFrame, cves: DataFrame, n: int, columns: list[str]) -> DataFrame:
+    """E-1 rows that hold the ``n`` best by (cvss_score DESC NULLS LAST, the other
+    ``columns`` ASC NULLS LAST): of every resource the n first findings and the
+    n first CVEs are joined, never the fan-out."""
+    named = {"exposure": "check_title", "network_severity": "severity", "cve_title": "title"}
+    own = lambda df, skip: [named.get(c, c) for c in columns if named.get(c, c) in df.columns and c not in skip]
+    f, c = failed(findings), open_severe(cves)
+    finding_cols = own(f.select("account_id", "region", "resource_arn", "check_title", "severity"), ())
+    cve_cols = own(c.drop("account_id", "region", "resource_arn", "severity"), ("cvss_score",))
+    f = _best(f, n, ["resource_arn"], [], finding_cols)
+    c = _best(c, n, ["resource_arn"], [F.col("cvss_score").desc_nulls_last()], cve_cols)
+    return critical_risks(f, c, hot_threshold=None)
+
+
 def instances_with_sg(instances: DataFrame, groups: DataFrame,
                       hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
     """E-7: running instances left-joined to every security group of their VPC
@@ -262,7 +322,8 @@ def scannable_instances(instances: DataFrame, online: DataFrame) -> DataFrame:
 
 
 def alerts_gate(risks: DataFrame, chains: DataFrame) -> DataFrame:
-    """E-9: the risk rows, only when there is no chain at all (uncorrelated NOT EXISTS).
+    """E-9: the risk rows, only when ``chains`` is empty (uncorrelated NOT
+    EXISTS).  The gate belongs on the alert list (``ranking.alert_chains``).
 
     A left-anti join against a one-row "any chain" flag: the chain side is
     reduced to at most one row (limit 1) before the join, so nothing grows.

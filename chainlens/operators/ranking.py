@@ -3,7 +3,9 @@
 NULL order is always stated: the reference sorts ASC NULLS LAST and
 DESC NULLS FIRST unless told otherwise, Spark the opposite.  Every limited
 list gets a deterministic tie-break on its remaining output columns, so the
-set of rows returned is a function of the data alone.  ``orderBy().limit(n)``
+set of rows returned is a function of the data alone; the full sorts get it
+too, so that a sort on few distinct values still has range boundaries inside a
+value.  ``orderBy().limit(n)``
 plans as TakeOrderedAndProject: each partition keeps its own top n and only
 n x partitions rows reach the final merge.
 """
@@ -43,7 +45,7 @@ OPEN_FAILURE_COLS = ["account_id", "region", "service", "severity", "check_title
 def open_failures(findings: DataFrame) -> DataFrame:
     """H-1 ``v_open_failures``: FAIL, 5 named levels ELSE 6, newest first."""
     f = failed(findings).select(*OPEN_FAILURE_COLS)
-    return f.orderBy(sev_rank("severity", 5).asc(), F.col("ingested_at").desc_nulls_first())
+    return top_k(f, [sev_rank("severity", 5).asc(), F.col("ingested_at").desc_nulls_first()], None, ["ingested_at"])
 
 
 OPEN_CVE_COLS = ["account_id", "region", "instance_id", "resource_arn", "severity", "cvss_score", "cve_id",
@@ -54,7 +56,7 @@ def open_cves(cves: DataFrame) -> DataFrame:
     """H-2 ``v_open_cves``: OPEN, 4 named levels ELSE 5, cvss DESC NULLS LAST."""
     c = cves.where(F.col("status") == "OPEN").select(*OPEN_CVE_COLS)
     c = c.withColumn("cvss_score", F.col("cvss_score").cast("double"))
-    return c.orderBy(sev_rank("severity", 4).asc(), F.col("cvss_score").desc_nulls_last())
+    return top_k(c, [sev_rank("severity", 4).asc(), F.col("cvss_score").desc_nulls_last()], None, ["cvss_score"])
 
 
 ADMIN_PATH_COLS = ["account_id", "source_name", "source_type", "target_name", "path", "hops", "methods",
@@ -64,7 +66,7 @@ ADMIN_PATH_COLS = ["account_id", "source_name", "source_type", "target_name", "p
 def admin_escalation_paths(iam_risks: DataFrame) -> DataFrame:
     """H-3 ``v_admin_escalation_paths``: admin targets, 3 levels ELSE 4, hops ASC."""
     r = iam_risks.where(F.col("target_is_admin") == F.lit(True)).select(*ADMIN_PATH_COLS)
-    return r.orderBy(sev_rank("severity", 3).asc(), F.col("hops").asc_nulls_last())
+    return top_k(r, [sev_rank("severity", 3).asc(), F.col("hops").asc_nulls_last()], None, ["hops"])
 
 
 # -- dashboard lists -----------------------------------------------------------------
@@ -174,7 +176,7 @@ def report_cves(cves: DataFrame) -> DataFrame:
     cols = ["instance_id", "cve_id", "severity", "cvss_score", "package_name", "installed_version",
             "fixed_version", "title"]
     c = open_severe(cves).select(*cols).withColumn("cvss_score", F.col("cvss_score").cast("double"))
-    return c.orderBy(F.col("cvss_score").desc_nulls_first())
+    return top_k(c, [F.col("cvss_score").desc_nulls_first()], None, ["cvss_score"])
 
 
 def report_buckets(buckets: DataFrame) -> DataFrame:
