@@ -312,7 +312,8 @@ def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
         part, order = LAYOUT[name]
         path = scratch_path(spark, f"table-{name}")
-        (df.repartition(*part).sortWithinPartitions(*part, *order)
+        # by ranges of (account, key): a large account is written and read by many tasks
+        (df.repartitionByRange(*part, *order).sortWithinPartitions(*part, *order)
          .write.partitionBy(*part).parquet(path))
         _STORED[key] = path
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
