@@ -10,9 +10,10 @@ that is their probability Jaccard similarity.
 
 Equal word sequences form one class.  Classes that share a band of registers
 are candidates.  Groups are found without listing all pairs of a band: each
-class is verified against its band's first class; whoever is then not
-connected to that class is verified against every other class of the band
-that is not in its group.  So no link between different texts that share a
+class is verified against its band's centres, the classes that meet the most
+others (an original meets more than its copies do); whoever is then not
+connected to most of the band is verified against every other class of the
+band that is not in its group.  So no link between different texts that share a
 band is lost for the grouping, and a band of n copies costs n verifications.
 
 A pair is a link if its exact probability Jaccard or its exact set Jaccard on
@@ -44,6 +45,8 @@ THRESHOLD = 0.8
 #: At similarity 0.8 a pair shares one of 20 bands of 4 registers but for 2e-5 of cases.
 BANDS, ROWS = 20, 4
 REGISTERS = BANDS * ROWS
+#: Classes of a band that are tried as its centre, one after the other.
+CENTRES = 3
 RUN_BYTES = 4 << 20
 CACHE_WORDS = 400_000
 _U = np.uint64
@@ -223,32 +226,48 @@ def find_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rank = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("at"), "row")
     classes = stored(signed.groupBy("words_hash").agg(F.min(rank).alias("first")).select("words_hash", F.col("first.row").alias("node")), "dup-classes")
 
-    # members of bands that two classes or more share
+    # members of bands that two classes or more share, with the number of classes they meet
     first = has_words.join(classes.select(F.col("node").alias("row")), "row", "left_semi")
     member = first.select(F.col("row").alias("node"), F.explode("bands").alias("band"))
-    shared = member.groupBy("band").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where(F.col("n") > 1)
-    member = stored(member.join(shared.select("band", "pivot"), "band"), "dup-bands")
-    star = stored(member.where(F.col("node") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "dup-star")
-
-    wanted = star.select(F.col("a").alias("row")).union(star.select(F.col("b").alias("row"))).distinct()
+    shared = member.groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    member = stored(member.join(shared, "band"), "dup-bands")
+    met_by = member.groupBy("node").agg(F.sum("n").alias("meets"))
+    # an original meets more than each of its copies does: the first CENTRES of a band are tried as its centre
+    place = Window.partitionBy("band").orderBy(F.desc("meets"), "node")
+    centres = member.join(met_by, "node").withColumn("place", F.row_number().over(place)).where(F.col("place") <= CENTRES)
+    centres = stored(centres.select("band", F.col("node").alias("centre"), "place"), "dup-centres")
+    member = member.select("band", "node")
+
+    wanted = member.select(F.col("node").alias("row")).distinct()
     nodes = signed.join(wanted, "row", "left_semi").select(F.col("row").alias("node"), "doc_id", "text_hash")
     same = rows.doc_id.eqNullSafe(nodes.doc_id) & (rows.text_hash == nodes.text_hash)
     texts = rows.join(nodes.select("doc_id", "text_hash"), same, "left_semi")
     sets = texts.mapInArrow(_sets, SETS).alias("s").join(nodes.alias("n"), F.expr("s.doc_id <=> n.doc_id AND s.text_hash = n.text_hash"))
     sets = stored(sets.select("n.node", "s.n", "s.shingles", "s.weights").dropDuplicates(["node"]), "dup-sets")
 
-    links = stored(_linked(star, sets, threshold), "dup-links")
-    label = connected_components(links)
-    # whoever of a band is not connected to its first class meets all others of the band
-    named = (member.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
-    pivots = label.select(F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
-    named = named.join(pivots, "pivot", "left").withColumn("pivot_label", F.coalesce("pivot_label", "pivot"))
-    named = stored(named, "dup-named")
-    outside = named.where(F.col("label") != F.col("pivot_label")).select("band", F.col("node").alias("o"), F.col("label").alias("o_label"), "pivot")
-    met = outside.join(named.select("band", "node", "label"), "band").where(
-        (F.col("label") != F.col("o_label")) & (F.col("node") != F.col("pivot")))
+    links = tried = None
+    label = member.select("node", F.col("node").alias("label")).limit(0)
+    for k in range(1, CENTRES + 1):
+        named = member.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        c = centres.where(F.col("place") == k).join(label.withColumnRenamed("node", "centre"), "centre", "left")
+        c = c.select("band", "centre", F.coalesce("label", "centre").alias("centre_label"))
+        apart = named.join(c, "band").where(F.col("label") != F.col("centre_label"))
+        star = apart.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
+        star = stored(star if tried is None else star.join(tried, ["a", "b"], "left_anti"), "dup-star")
+        found = stored(_linked(star, sets, threshold), "dup-links")
+        tried = star if tried is None else tried.unionByName(star)
+        links = found if links is None else links.unionByName(found)
+        label = connected_components(links)
+
+    # most of a band have one label; whoever has another meets all others of the band
+    named = stored(member.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")), "dup-named")
+    of_label = named.groupBy("band", "label").agg(F.count("*").alias("n"))
+    main = of_label.groupBy("band").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels"))
+    outside = named.join(main.where(F.col("labels") > 1), "band").where(F.col("label") != F.col("main")).select(
+        "band", F.col("node").alias("o"), F.col("label").alias("o_label"))
+    met = outside.join(named.select("band", "node", "label"), "band").where(F.col("label") != F.col("o_label"))
     more = met.select(F.least("o", "node").alias("a"), F.greatest("o", "node").alias("b")).distinct()
-    more = stored(more, "dup-more")
+    more = stored(more.join(tried, ["a", "b"], "left_anti"), "dup-more")
     links = links.unionByName(_linked(more, sets, threshold))
     label = connected_components(links)
 
