@@ -9,20 +9,32 @@ from chainlens.llm.common import stored
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, label) for every node of the edges (a, b): label is the least node
-    of its component.  Every round takes the least label among neighbours
-    (min is combined before the shuffle, so a node with very many edges is no
-    hot group) and then the label's own label; rounds grow with the logarithm
-    of the longest path.  An empty edge list gives no rows; self loops and
-    repeated edges do no harm."""
-    both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "cc-edges")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-                    .select("node", F.least("node", "m").alias("label")), "cc-labels")
+    """(node, label) for every node of the edges (a, b): label is one of the
+    component's nodes, the same for all of them.
+
+    Every level maps a node to whichever of itself and its neighbours comes
+    first in an order drawn anew by hash, and contracts the edges by that map;
+    edges inside one image go.  The rest shrinks by a constant factor a level,
+    on long paths too, so what is exchanged is little more than the first level.
+    The first neighbour is found before the shuffle, so a node with very many
+    edges is no hot group.  An empty edge list gives no rows; self loops keep
+    their node, repeated edges do no harm."""
+    edges = stored(edges.select("a", "b").distinct(), "cc-edges")
+    maps = []
     while True:
-        near = (both.join(labels, both.b == labels.node).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near")))
-        step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("to"))
-        jump = labels.select(F.col("node").alias("to"), F.col("label").alias("further"))
-        nxt = stored(step.join(jump, "to", "left").select("node", "old", F.least("to", "further").alias("label")), "cc-labels")
-        if nxt.where(F.col("old") != F.col("label")).isEmpty():
-            return nxt.select("node", "label")
-        labels = nxt.select("node", "label")
+        level = F.lit(len(maps))
+        ends = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        best = F.min(F.struct(F.xxhash64(level, "b").alias("place"), F.col("b").alias("to")))
+        own = F.struct(F.xxhash64(level, "node").alias("place"), F.col("node").alias("to"))
+        step = ends.groupBy(F.col("a").alias("node")).agg(best.alias("best"))
+        step = stored(step.select("node", F.least("best", own).getField("to").alias("to")), "cc-map")
+        maps.append(step)
+        image = edges.join(step.toDF("a", "x"), "a").join(step.toDF("b", "y"), "b")
+        edges = stored(image.where(F.col("x") != F.col("y")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "cc-edges")
+        if edges.isEmpty():
+            break
+    label = maps.pop().select("node", F.col("to").alias("label"))
+    for step in reversed(maps):
+        further = label.select(F.col("node").alias("to"), "label")
+        label = step.join(further, "to", "left").select("node", F.coalesce("label", "to").alias("label"))
+    return stored(label, "cc-labels")

@@ -19,7 +19,6 @@ of their own, but never for a query of that id; an empty table gives no rows.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
