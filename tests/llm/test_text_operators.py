@@ -265,6 +265,55 @@ def test_line_dedup_links_by_edit_similarity(spark):
     assert line_dedup.duplicate_lines(docs.where("doc_id > 9")).count() == 0
 
 
+def planted_line_pairs(spark, pairs, seed=5):
+    """(kind, length): share of pairs at edit similarity 0.8 or more that are in one group."""
+    import random
+
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 10)))
+    vocab = [word() for _ in range(5000)]
+
+    def edited(kind, line):
+        words = line.split()
+        if kind in ("one word", "fifth of words"):
+            for at in rng.sample(range(len(words)), 1 if kind == "one word" else max(1, len(words) // 5)):
+                words[at] = rng.choice(vocab)
+            return " ".join(words)
+        out = list(line)
+        for at in sorted(rng.sample(range(len(out)), max(1, int(len(out) * {"1 in 20 letters": 0.05, "1 in 10 letters": 0.1}[kind]))), reverse=True):
+            out[at:at + 1] = rng.choice(([], ["q"], [out[at], "z"]))
+        return "".join(out)
+
+    cases = []
+    for kind in ("one word", "fifth of words", "1 in 20 letters", "1 in 10 letters"):
+        for n in (3, 6, 10, 27, 60, 100):
+            for _ in range(pairs):
+                a = " ".join(rng.choice(vocab) for _ in range(n))
+                cases.append((len(cases), kind, n, a, edited(kind, a)))
+    for kind in ("1 in 20 letters", "1 in 10 letters"):  # a script without spaces
+        for _ in range(pairs):
+            a = "".join(rng.choice(vocab) for _ in range(10))
+            cases.append((len(cases), kind, 1, a, edited(kind, a)))
+    df = spark.createDataFrame(cases, "k long, kind string, n int, a string, b string")
+    norm = lambda c: F.array_join(line_dedup.line_words(F.col(c)), " ")
+    most = F.floor(F.greatest(F.length(norm("a")), F.length(norm("b"))) * 0.2 + 1e-9)
+    near = df.where(F.levenshtein(norm("a"), norm("b")) <= most).select("k", "kind", "n").collect()
+    lines = [(2 * c[0], c[3]) for c in cases] + [(2 * c[0] + 1, c[4]) for c in cases]
+    group = {r.doc_id: r.group for r in line_dedup.duplicate_lines(spark.createDataFrame(lines, "doc_id long, text string")).collect()}
+    found = defaultdict(list)
+    for r in near:
+        found[r.kind, r.n].append(group[2 * r.k] == group[2 * r.k + 1])
+    return {k: (sum(v) / len(v), len(v)) for k, v in found.items()}
+
+
+def test_line_dedup_recall_against_edit_similarity(spark):
+    recall = planted_line_pairs(spark, 40)
+    assert all(recall["one word", n][0] >= 0.9 for n in (6, 10, 27, 60, 100))
+    assert all(recall["fifth of words", n][0] >= 0.85 for n in (6, 10, 27, 60, 100))
+    assert all(recall["1 in 20 letters", n][0] >= 0.85 for n in (1, 3, 6))
+    assert all(recall["1 in 20 letters", n][0] >= 0.6 for n in (10, 27, 60, 100))
+
+
 def test_simhash_equals_definition(spark, monkeypatch):
     import random
 
