@@ -1,7 +1,8 @@
 """Benchmark decontamination by CGK embedding and bit-sampling LSH.
 
 Documents and benchmark items are sequences of lower-cased words (runs of
-letters and digits).  Windows of an item's length slide over every document.
+letters and digits).  Windows of an item's length slide over every document,
+and overhang its ends by as many words as the item may lose.
 The CGK random walk copies a sequence, symbol by symbol, to one three times as
 long; a random bit of (step, symbol) says whether it moves on.  Sequences at a
 small edit distance then agree in most places, so samples of a few places,
@@ -134,8 +135,8 @@ class Items:
                 tables.append((keys[order, walk], np.array(members)[order]))
             self.classes[n] = (most_edits(n, threshold), bool((self.need[members] <= 0).any()), tables)
 
-    def _windows(self, ids: np.ndarray) -> dict[int, np.ndarray]:
-        """Starts, by window length, of the windows that meet the rare-word bound of some item."""
+    def _windows(self, ids: np.ndarray, doc: np.ndarray, first: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """Starts and documents, by window length, of the windows that meet the rare-word bound of some item."""
         at = np.flatnonzero(self.rare[ids])  # id -1 reads the last place: not rare
         many = self.word_first[ids[at] + 1] - self.word_first[ids[at]]
         place = np.repeat(at, many)
@@ -147,16 +148,22 @@ class Items:
         near, far = np.flatnonzero(good), far[good]
         fits = (item[far] == item[near]) & (place[far] - place[near] < self.size[item[near]])
         near, far = near[fits], far[fits]
-        n = self.size[item[near]]
-        lo, hi = np.maximum(place[far] - n + 1, 0), np.minimum(place[near], len(ids) - n)
+        fits = doc[place[far]] == doc[place[near]]
+        near, far = near[fits], far[fits]
+        n, d = self.size[item[near]], doc[place[near]]
         out = {}
         for length in np.unique(n).tolist():
-            own = (n == length) & (lo <= hi)
-            ranges = set(zip(lo[own].tolist(), hi[own].tolist()))
-            out[length] = np.array(sorted({s for a, b in ranges for s in range(a, b + 1)}), np.int64)
-        for length, (_, weak, _) in self.classes.items():
-            if weak and len(ids) >= length:
-                out[length] = np.arange(len(ids) - length + 1)
+            e, own = self.classes[length][0], n == length
+            lo = np.maximum(place[far[own]] - length + 1, first[d[own]] - e)
+            hi = np.minimum(place[near[own]], first[d[own] + 1] - length + e)
+            ranges = set(zip(d[own].tolist(), lo.tolist(), hi.tolist()))
+            found = np.array(sorted({(k, s) for k, a, b in ranges for s in range(a, b + 1)}), np.int64).reshape(-1, 2)
+            out[length] = (found[:, 1], found[:, 0])
+        for length, (e, weak, _) in self.classes.items():
+            if weak:
+                lo, many = first[:-1] - e, np.maximum(np.diff(first) - length + 2 * e + 1, 0)
+                d = np.repeat(np.arange(len(many)), many)
+                out[length] = (lo[d] + np.arange(len(d)) - np.repeat(np.cumsum(many) - many, many), d)
         return out
 
     def find(self, texts: list[str]) -> list[tuple[int, int, float, int]]:
@@ -171,22 +178,25 @@ class Items:
         first = np.r_[0, np.cumsum(start)]
         held = np.r_[0, np.cumsum(ids >= 0)]
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for n, at in self._windows(ids).items():
+        for n, (at, of) in self._windows(ids, doc, first).items():
             e, _, tables = self.classes[n]
-            at = at[(held[at + n] - held[at] >= n - e) & (doc[at] == doc[at + n - 1])]
+            inside = held[np.minimum(at + n, first[of + 1])] - held[np.maximum(at, first[of])]
+            at, of = at[inside >= n - e], of[inside >= n - e]
             pairs = set()
             for lo in range(0, len(at), WINDOW_ROWS):
-                part = at[lo:lo + WINDOW_ROWS]
-                own = embedded_samples(ids[part[:, None] + np.arange(n)])
+                part, low, high = (x[lo:lo + WINDOW_ROWS, None] for x in (at, first[of], first[of + 1]))
+                place = part + np.arange(n)
+                # what overhangs a document is no word of any item
+                own = embedded_samples(np.where((place >= low) & (place < high), ids[np.clip(place, low, high - 1)], -1))
                 for walk, (keys, members) in enumerate(tables):
                     a, b = np.searchsorted(keys, own[:, walk], "left"), np.searchsorted(keys, own[:, walk], "right")
                     for w in np.flatnonzero(b > a).tolist():
                         pairs.update((lo + w, m) for m in members[a[w]:b[w]].tolist())
             for w, m in sorted(pairs):
-                s, d = int(at[w]), int(doc[at[w]])
+                s, d = int(at[w]), int(of[w])
                 if best.get((d, m), (e + 1, 0))[0] == 0:
                     continue
-                own, count = np.unique(ids[s:s + n], return_counts=True)
+                own, count = np.unique(ids[max(first[d], s):min(first[d + 1], s + n)], return_counts=True)
                 words, most = self.sets[m]
                 place = np.minimum(np.searchsorted(words, own), len(words) - 1)
                 if np.minimum(count, most[place])[words[place] == own].sum() < n - e:
@@ -194,7 +204,7 @@ class Items:
                 region = ids[max(first[d], s - e):min(first[d + 1], s + n + e)]
                 dist, _ = edit_distance_inside(self.seqs[m], region)
                 if dist <= e and dist < best.get((d, m), (e + 1, 0))[0]:
-                    best[d, m] = (dist, s - int(first[d]))
+                    best[d, m] = (dist, max(0, s - int(first[d])))
         return [(d, m, 1 - dist / len(self.seqs[m]), s) for (d, m), (dist, s) in sorted(best.items())]
 
 

@@ -54,6 +54,23 @@ def test_decontaminate_recall_at_the_threshold_and_no_false_hits():
     assert set(got) <= want and min(got.values()) >= 0.8 - 1e-9
 
 
+def test_decontaminate_recall_at_document_ends():
+    rng = random.Random(4)
+    for n in (10, 15, 30, 55):
+        items = [(i, prose(rng, n)) for i in range(40)]
+        found = decontaminate.Items(items, 0.8, 5)
+        for kind in ("whole", "end", "start"):
+            for lost in (1, n // 5):
+                texts = []
+                for _, text in items:
+                    gone = set(rng.sample(range(n), lost))
+                    body = " ".join(w for k, w in enumerate(text.split()) if k not in gone)
+                    texts.append({"whole": body, "end": prose(rng, 40) + " " + body, "start": body + " " + prose(rng, 40)}[kind])
+                hits = found.find(texts)
+                assert sum(d == m for d, m, _, _ in hits) >= (0.95 if lost == 1 else 0.8) * len(items), (n, kind, lost)
+                assert all(first >= 0 and s >= 0.8 - 1e-9 for _, _, s, first in hits)
+
+
 def test_edit_distance_inside_equals_brute_force():
     rng = random.Random(3)
 
