@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from chainlens.llm import chat_format, decontaminate, langid, line_dedup, lm_score, mixing, near_dedup, suffix_dedup, token_counts, topk_search
+from chainlens.llm import (
+    chat_format, decontaminate, langid, line_dedup, lm_score, mixing, near_dedup, runs, secrets, suffix_dedup, token_counts, topk_search, whitening,
+)
 from chainlens.llm.common import stored, table
 
 LLM_QUERIES: dict = {}
@@ -116,4 +118,63 @@ def op10(spark, sf_dir):
     return token_counts.limit_table(histogram)
 
 
+@query("op11_periodic_runs")
+def op11(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return runs.run_digests(runs.run_table(docs, ["doc_id"], rewrite="doc_id", with_text=False))
+
+
+@query("op12_secret_scan", r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+pat(kind, role, pat) AS (VALUES
+  (0, 's', '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+  (1, 'i', 'AKIA[A-Z0-9]+'),
+  (2, 's', '[0-9a-f]+'),
+  (3, 'e', '(?:https?|ftp|s3|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\x00-\x20"''<>]+'),
+  (4, 'i', '(?:[Uu][Ss][Ee][Rr]_?[Nn][Aa][Mm][Ee]|[Uu][Ss][Ee][Rr]_?[Ii][Dd]|[Uu][Ss][Ee][Rr]|[Ll][Oo][Gg][Ii][Nn]|[Cc][Ll][Ii][Ee][Nn][Tt]_?[Ii][Dd]|[Aa][Cc][Cc][Ee][Ss][Ss]_?[Kk][Ee][Yy]_?[Ii][Dd])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9@._+-]{3,}'),
+  (5, 's', '[A-Za-z0-9+/_=-]{20,}')),
+cut AS (
+  SELECT row, kind, role, unnest(regexp_extract_all(text, pat)) AS hit,
+         unnest(string_split_regex(text, pat)[:-2]) AS gap, unnest(range(len(string_split_regex(text, pat)) - 1)) AS k
+  FROM d, pat),
+hits AS (
+  SELECT row, kind, role, hit, sum(length(gap) + length(hit)) OVER (PARTITION BY row, kind ORDER BY k) AS e FROM cut),
+every AS (SELECT row, kind, role, hit, (e - length(hit))::BIGINT AS s, e::BIGINT AS e FROM hits),
+base AS (
+  SELECT row, kind, role, s, e FROM every
+  WHERE kind = 0 AND length(regexp_extract(hit, '["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)) >= 6
+     OR kind = 1 AND e - s >= 20 OR kind = 2 AND e - s >= 24),
+endpoints AS (SELECT row, kind, role, s, e FROM every x WHERE kind = 3
+  AND NOT EXISTS (FROM base t WHERE t.row = x.row AND t.s < x.e AND x.s < t.e)),
+idents AS (SELECT row, kind, role, s, e FROM every x WHERE kind = 4
+  AND NOT EXISTS (FROM (FROM base UNION ALL FROM endpoints) t WHERE t.row = x.row AND t.s < x.e AND x.s < t.e)),
+strings AS (SELECT row, kind, role, s, e FROM every x
+  WHERE kind = 5 AND regexp_matches(hit, '[A-Z]') AND regexp_matches(hit, '[a-z]') AND regexp_matches(hit, '[0-9]')
+  AND NOT EXISTS (FROM (FROM base UNION ALL FROM endpoints UNION ALL FROM idents) t WHERE t.row = x.row AND t.s < x.e AND x.s < t.e)),
+part AS (FROM base UNION ALL FROM endpoints UNION ALL FROM idents UNION ALL FROM strings),
+near AS (
+  SELECT x.row, x.kind, x.role, x.s, x.e, bool_or(o.role = 's') AS sec, bool_or(o.role = 'i') AS idn, bool_or(o.role = 'e') AS ept
+  FROM part x JOIN part o ON o.row = x.row AND o.role <> x.role
+       AND (o.s - x.e BETWEEN 0 AND 200 OR x.s - o.e BETWEEN 0 AND 200)
+  WHERE x.kind >= 3 GROUP BY ALL),
+linked AS (SELECT row, kind, s, e FROM near WHERE CASE role WHEN 's' THEN idn OR ept WHEN 'i' THEN sec ELSE sec AND idn END),
+span AS (SELECT row, kind, s, e FROM base UNION ALL FROM linked),
+name AS (SELECT *, ['assign', 'access', 'hex', 'endpoint', 'ident', 'key'][kind + 1] || ':' || s || ':' || e AS label FROM span),
+said AS (
+  SELECT row, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+         count(*) FILTER (WHERE kind = 2) AS n_hex, string_agg(label, ',' ORDER BY s, kind) FILTER (WHERE kind < 3) AS base,
+         string_agg(label, ',' ORDER BY s, kind) AS spans, count(*) FILTER (WHERE kind > 2) AS n_linked
+  FROM name GROUP BY row)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_linked, 0) AS n_linked
+FROM d LEFT JOIN said USING (row)""")
+def op12(spark, sf_dir):
+    return secrets.secret_report(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
+@query("op13_embedding_whitening")
+def op13(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4).drop("deviations")
+
+
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
