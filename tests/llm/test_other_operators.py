@@ -281,8 +281,11 @@ def test_pipeline_stages_keep_columns_and_decide(spark, tmp_path):
 
     rng = random.Random(9)
     lang = lambda k: ("en", "de")[k % 2]
-    word = {"en": [f"the{c}ing" for c in "abcdefghijklmnop"], "de": [f"üb{c}ung" for c in "abcdefghijklmnop"]}
-    make = lambda k, n: " ".join(rng.choice(word[lang(k)]) + rng.choice("abcdefgh") for _ in range(n))
+    # words of few common letters, so that lines of different documents are no near copies of each other
+    spell = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    word = {"en": [spell("bcdfghjklmnpqrstvwxyz", 3) + "ea" + spell("aeioulnrst", 3) for _ in range(300)],
+            "de": [spell("bcdfghjklmnpqrstvwxyz", 3) + "üß" + spell("äöünrst", 3) for _ in range(300)]}
+    make = lambda k, n: " ".join(rng.choice(word[lang(k)]) for _ in range(n))
     item = make(0, 30)
     rows = [(k, make(k, 80), lang(k), f"s{k % 3}") for k in range(60)]
     rows += [(100, rows[4][1], "en", "s1"), (101, make(0, 20) + " " + item + " " + make(0, 20), "en", "s0"), (102, "1234 5678", None, "s2"),
