@@ -8,10 +8,11 @@ the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from chainlens.functions.scalar import PUBLIC_IP_POINTS, profile_role, risk_score, severity_points, substring_match
+from chainlens.operators.role_match import match_roles, running_roles
 
 FAIL = "FAIL"
 OPEN = "OPEN"
@@ -20,6 +21,7 @@ SEVERE = ("CRITICAL", "HIGH")
 HOT_INSTANCE_CVES = 1_000_000   # open severe CVE rows above which an instance's fan-out is split
 HOT_KEY_ROWS = 1_000_000        # rows per key above which other many-to-many joins are split
 HOT_SALT_BUCKETS = 64
+ROW_BYTES = 16                  # a stored row of the joined tables takes more than that (ids, titles, versions)
 
 
 def failed(findings: DataFrame) -> DataFrame:
@@ -97,50 +99,41 @@ def public_s3_findings(buckets: DataFrame, findings: DataFrame) -> DataFrame:
     return b.join(f, "resource_arn").drop("resource_arn")
 
 
-ROLE_SALT_BUCKETS = 64           # split of each account's paths under strategy "salted"
+PATH_COLS = ["path", "hops", "target_name", "target_is_admin"]
 
 
-def role_risk_matches(instances: DataFrame, iam_risks: DataFrame, strategy: str = "plain",
-                      salt_buckets: int = ROLE_SALT_BUCKETS) -> DataFrame:
+def role_risk_matches(instances: DataFrame, iam_risks: DataFrame, strategy: str = "trigram") -> DataFrame:
     """R-5: match each *distinct* (account, role) of running instances to the
     escalation paths whose source_arn contains the role (LIKE '%role%').
 
-    The theta condition is evaluated once per distinct role of an account, not
+    The condition is evaluated on distinct roles and distinct source ARNs, not
     once per instance or per chain row; instances then pick their matches up
     through a plain equi-join on (account_id, role).
 
     ``strategy``:
+      "trigram"    roles meet ARNs under their rarest trigram (``role_match``), so
+                   an account with many roles and paths is no product; paths
+                   follow their ARN through an equi-join;
       "plain"      an equi-join on the account with the match as its condition:
-                   the optimizer broadcasts the role set if it is small when
-                   measured, else both sides shuffle and AQE splits an account
-                   that holds far more paths than others;
-      "salted"     paths are spread over ``salt_buckets`` by a hash of the path
-                   and each role row is repeated per bucket.
-    Nothing is counted while the query is built.
+                   every role of an account meets every path of it.
     """
-    roles = (
-        running(instances)
-        .where(F.col("iam_instance_profile").isNotNull())
-        .select(F.col("account_id").alias("_acct"), profile_role("iam_instance_profile").alias("_role"))
-        .distinct()
-    )
-    r = iam_risks.select(
-        "account_id", "source_arn", "path", "hops", "target_name", "target_is_admin",
-        F.col("severity").alias("iam_severity"),
-    )
+    roles = running_roles(running(instances))
+    r = iam_risks.select("account_id", "source_arn", *PATH_COLS, F.col("severity").alias("iam_severity"))
     if strategy == "plain":
         cond = (r["account_id"] == roles["_acct"]) & substring_match(r["source_arn"], roles["_role"])
         return r.join(roles, cond, "inner").drop("account_id", "source_arn")
-    if strategy != "salted":
+    if strategy != "trigram":
         raise ValueError(f"unknown strategy {strategy!r}")
-    rs = r.withColumn("_salt", F.pmod(F.xxhash64("account_id", "source_arn", "path", "target_name"),
-                                      F.lit(salt_buckets)).cast("int"))
-    ro = roles.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    cond = ((rs["account_id"] == ro["_acct"]) & (rs["_salt"] == ro["_salt"])
-            & substring_match(rs["source_arn"], ro["_role"]))
-    return rs.join(ro, cond, "inner").drop("account_id", "source_arn", "_salt")
+    r = r.withColumnsRenamed({"account_id": "_acct", "source_arn": "_arn"})
+    arns = r.select("_acct", "_arn").where(F.col("_arn").isNotNull()).distinct()
+    return r.join(match_roles(roles, arns), ["_acct", "_arn"]).drop("_arn")
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """The size of what ``df`` reads, by the optimizer's statistics: the bytes of
+    its files, and "very large" for sources that do not say."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
 
 
 def split_hot_join(left: DataFrame, right: DataFrame, key: str, hot_threshold: int | None,
@@ -155,13 +148,14 @@ def split_hot_join(left: DataFrame, right: DataFrame, key: str, hot_threshold: i
     still appears exactly once when it has no partner.
     The hot-key set has at most rows / ``hot_threshold`` entries, a proven
     bound, so it is broadcast.  Other keys keep salt 0: their join is the
-    plain equi-join.
+    plain equi-join.  Input files too small to hold that many rows for a key
+    (``ROW_BYTES`` each) are joined without counting.
     """
-    if hot_threshold is None:
-        return left.join(right, key, how)
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
     split, repeat = (right, left) if how == "inner" else (left, right)
+    if hot_threshold is None or stored_bytes(split) < hot_threshold * ROW_BYTES:
+        return left.join(right, key, how)
     hot = (split.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_threshold)
            .select(key, F.lit(True).alias("_hot")))
     salted = split.join(F.broadcast(hot), key, "left").withColumn(
@@ -196,24 +190,30 @@ def attack_chains(
     An instance with more than ``hot_threshold`` open severe CVEs has its
     fan-out split over many tasks (``split_hot_join``); None turns this off.
     """
-    paths, found, cves = _chain_factors(instances, findings, cves, iam_risks, instance_id)
+    only = None if instance_id is None else [Row(instance_id=instance_id)]
+    paths, found, cves = _chain_factors(instances, findings, cves, iam_risks, only)
     return _chain_rows(split_hot_join(paths.join(found, "instance_id"), cves, "instance_id", hot_threshold))
 
 
 def _chain_factors(instances: DataFrame, findings: DataFrame, cves: DataFrame, iam_risks: DataFrame,
-                   instance_id: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+                   only: list[Row] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """What a chain is the product of, each keyed by instance_id: the running
     instance with its escalation paths (or none), its failed findings, its open
-    severe CVEs."""
+    severe CVEs.  ``only`` names a few instances (instance_id, account_id,
+    resource_arn): their keys are pushed into every scan."""
     inst = running(instances)
-    if instance_id is not None:
-        inst = inst.where(F.col("instance_id") == instance_id)
-        cves = cves.where(F.col("instance_id") == instance_id)
+    strategy = "trigram"
+    if only is not None:
+        some = lambda c: F.col(c).isin(sorted({r[c] for r in only if r[c] is not None}))
+        inst, cves = inst.where(some("instance_id")), cves.where(some("instance_id"))
+        if only and "resource_arn" in only[0]:
+            findings, iam_risks = findings.where(some("resource_arn")), iam_risks.where(some("account_id"))
+        strategy = "plain"  # a path meets the roles of a few instances at most
     inst = inst.select(
         "instance_id", "name_tag", "public_ip", "instance_type", "region", "iam_instance_profile",
         "account_id", "resource_arn",
     )
-    matches = role_risk_matches(inst, iam_risks)
+    matches = role_risk_matches(instances if only is None else inst.withColumn("instance_state", F.lit("running")), iam_risks, strategy)
     paths = inst.join(
         matches,
         (inst["account_id"] == matches["_acct"]) & (profile_role(inst["iam_instance_profile"]) == matches["_role"]),
@@ -252,36 +252,71 @@ def _best(df: DataFrame, n: int, by: list[str], first: list, then: list[str]) ->
     return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= n).drop("_rank")
 
 
+def chain_bounds(instances: DataFrame, findings: DataFrame, cves: DataFrame, iam_risks: DataFrame) -> DataFrame:
+    """One row per running instance that has a chain: instance_id, account_id,
+    resource_arn, best (the score of its best chain, NULL if no CVE of it has a
+    score), admin (whether a path of it reaches an admin) and best_admin (the best
+    of those).  The score is a sum over the factors of a chain, so the best chain
+    is the best of every factor: one partial aggregate a table, no fan-out."""
+    inst = running(instances)
+    f = failed(findings).groupBy("resource_arn").agg(F.max(severity_points("severity")).alias("_f"))
+    c = open_severe(cves).groupBy("instance_id").agg(F.max("cvss_score").alias("_c"))
+    is_admin, points = F.col("target_is_admin") == F.lit(True), severity_points("iam_severity")
+    m = role_risk_matches(instances, iam_risks).groupBy("_acct", "_role").agg(
+        F.max(points).alias("_p"), F.max(F.when(is_admin, points)).alias("_a"))
+    inst = inst.select("instance_id", "account_id", "resource_arn", "public_ip", profile_role("iam_instance_profile").alias("_role"))
+    all_ = (inst.join(f, "resource_arn").join(c, "instance_id")
+            .join(m.withColumnRenamed("_acct", "account_id"), ["account_id", "_role"], "left"))
+    base = F.col("_c") + F.col("_f") + F.when(F.col("public_ip").isNotNull(), F.lit(PUBLIC_IP_POINTS)).otherwise(F.lit(0))
+    return all_.select("instance_id", "account_id", "resource_arn", (base + F.coalesce("_p", F.lit(0))).alias("best"),
+                       F.col("_a").isNotNull().alias("admin"), (base + F.col("_a")).alias("best_admin"))
+
+
+def leading_instances(bounds: DataFrame, n: int) -> list[Row]:
+    """The instances that can hold one of the ``n`` best chains of all, or of those
+    that reach an admin: the n first by (best chain's score DESC NULLS LAST,
+    instance_id), of either kind.  Each of them has a chain with that score, so n
+    chains come before any chain of another instance.  At most 2n rows, which the
+    driver gets; each task keeps n of a kind before they are exchanged."""
+    kinds = F.array(F.struct(F.lit(0).alias("kind"), F.col("best").alias("score")),
+                    F.struct(F.when(F.col("admin"), F.lit(1)).alias("kind"), F.col("best_admin").alias("score")))
+    each = bounds.select("instance_id", "account_id", "resource_arn", F.inline(kinds)).where(F.col("kind").isNotNull())
+    first = _best(each, n, ["kind"], [F.col("score").desc_nulls_last()], ["instance_id"])
+    return first.select("instance_id", "account_id", "resource_arn").distinct().collect()
+
+
+def _leaders(df: DataFrame, n: int, by: list[str], points: Column, then: list[str]) -> DataFrame:
+    """The rows that are among the n first of their ``by`` by points, then the
+    columns ``then`` (_scored), or by the columns alone (_plain)."""
+    order = [F.col(c).asc_nulls_last() for c in then]
+    rank = lambda *first: F.row_number().over(Window.partitionBy(*by).orderBy(*first, *order)) <= n
+    out = df.withColumn("_points", points).withColumn("_scored", rank(F.col("_points").desc())).withColumn("_plain", rank())
+    return out.where(F.col("_scored") | F.col("_plain")).drop("_points")
+
+
 def best_chains(instances: DataFrame, findings: DataFrame, cves: DataFrame, iam_risks: DataFrame, n: int) -> DataFrame:
     """Chain rows that hold the ``n`` best of E-6 by (risk_score DESC NULLS LAST,
     the dashboard list's columns ASC NULLS LAST), also among the chains that
-    reach an admin and among those that do not.
-
-    The score is a sum over the three factors and the tie-break compares their
-    columns, so a row among the n best only uses rows that are among the n best
-    of their factor for the instance (by points, then columns): n of each are
-    joined, never the fan-out.  A chain whose CVE has no score has no score
-    itself; points do not matter there, so those chains are a branch of their
-    own in which every factor is ranked by its columns alone.
+    reach an admin.  Only instances that can hold one are looked at
+    (``leading_instances``, a first job over the tables' bounds).
+
+    Within those instances the score is a sum over the three factors and the
+    tie-break compares their columns, so a row among the n best only uses rows
+    that are among the n best of their factor: n of each are joined, never the
+    fan-out.  A chain whose CVE has no score has no score itself; points do not
+    matter there, and every factor is ranked by its columns alone.
     """
-    paths, found, severe = _chain_factors(instances, findings, cves, iam_risks)
-    admin = F.coalesce("target_is_admin", F.lit(False))
-    paths = paths.withColumn("_admin", admin)
-    path_cols = ["name_tag", "public_ip", "region", "path", "target_name", "target_is_admin"]
-    found_cols, cve_cols = ["misconfiguration", "misconfig_severity"], ["cve_id", "cvss_score", "package_name", "fixed_version"]
-    path_points = severity_points("iam_severity") + F.when(F.col("public_ip").isNotNull(), F.lit(PUBLIC_IP_POINTS)).otherwise(F.lit(0))
-    key = ["instance_id"]
-
-    def product(path_first, found_first, cve_rows, cve_first):
-        p = _best(paths, n, [*key, "_admin"], path_first, path_cols).drop("_admin")
-        f = _best(found, n, key, found_first, found_cols)
-        c = _best(cve_rows, n, key, cve_first, cve_cols)
-        return p.join(f, "instance_id").join(c, "instance_id")
-
-    scored = product([path_points.desc()], [severity_points("misconfig_severity").desc()],
-                     severe.where(F.col("cvss_score").isNotNull()), [F.col("cvss_score").desc()])
-    without = product([], [], severe.where(F.col("cvss_score").isNull()), [])
-    return _chain_rows(scored.unionByName(without))
+    leading = leading_instances(chain_bounds(instances, findings, cves, iam_risks), n)
+    paths, found, severe = _chain_factors(instances, findings, cves, iam_risks, leading)
+    path_points = severity_points("iam_severity")
+    p = _leaders(paths.withColumn("_admin", F.coalesce("target_is_admin", F.lit(False))), n, ["instance_id", "_admin"], path_points,
+                 ["name_tag", "public_ip", "region", "path", "target_name", "target_is_admin"]).drop("_admin")
+    f = _leaders(found, n, ["instance_id"], severity_points("misconfig_severity"), ["misconfiguration", "misconfig_severity"])
+    c = _best(severe.withColumn("_has", F.col("cvss_score").isNotNull()), n, ["instance_id", "_has"], [F.col("cvss_score").desc()],
+              ["cve_id", "cvss_score", "package_name", "fixed_version"])
+    f = f.withColumnsRenamed({"_scored": "_f_scored", "_plain": "_f_plain"})
+    fits = F.when(F.col("_has"), F.col("_scored") & F.col("_f_scored")).otherwise(F.col("_plain") & F.col("_f_plain"))
+    return _chain_rows(p.join(f, "instance_id").join(c, "instance_id").where(fits))
 
 
 def best_critical_risks(findings: DataFrame, cves: DataFrame, n: int, columns: list[str]) -> DataFrame:

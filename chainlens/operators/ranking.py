@@ -37,6 +37,8 @@ def top_k(df: DataFrame, order: list[Column], n: int | None, used: list[str] = (
 
 
 # -- sorted views --------------------------------------------------------------------
+# The *_COLS lists and the ``cols`` of each list below are the output
+# columns of SURVEY §2.14, in its order.
 
 OPEN_FAILURE_COLS = ["account_id", "region", "service", "severity", "check_title", "resource_arn",
                      "description", "recommendation", "ingested_at"]
