@@ -35,6 +35,7 @@ HEADLINE = [
     "severity_summary",
     "services_breakdown",
     "admin_escalation_paths",
+    "role_path_matches",
 ]
 
 # timed once: they write files or parse JSON row by row

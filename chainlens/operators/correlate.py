@@ -8,7 +8,9 @@ the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainlens.functions.scalar import PUBLIC_IP_POINTS, profile_role, risk_score, severity_points, substring_match
@@ -99,10 +101,11 @@ def public_s3_findings(buckets: DataFrame, findings: DataFrame) -> DataFrame:
     return b.join(f, "resource_arn").drop("resource_arn")
 
 
+PLAIN_PAIRS = 500_000_000        # pairs of an instance and a path that may be compared one by one: seconds of one core's time
 PATH_COLS = ["path", "hops", "target_name", "target_is_admin"]
 
 
-def role_risk_matches(instances: DataFrame, iam_risks: DataFrame, strategy: str = "trigram") -> DataFrame:
+def role_risk_matches(instances: DataFrame, iam_risks: DataFrame, strategy: str = "auto") -> DataFrame:
     """R-5: match each *distinct* (account, role) of running instances to the
     escalation paths whose source_arn contains the role (LIKE '%role%').
 
@@ -115,8 +118,13 @@ def role_risk_matches(instances: DataFrame, iam_risks: DataFrame, strategy: str
                    an account with many roles and paths is no product; paths
                    follow their ARN through an equi-join;
       "plain"      an equi-join on the account with the match as its condition:
-                   every role of an account meets every path of it.
+                   every role of an account meets every path of it;
+      "auto"       plain where the files of both tables are too small for more
+                   than ``PLAIN_PAIRS`` pairs, whatever the accounts; else trigram.
     """
+    if strategy == "auto":
+        pairs = (stored_bytes(instances) // ROW_BYTES) * (stored_bytes(iam_risks) // ROW_BYTES)
+        strategy = "plain" if pairs <= PLAIN_PAIRS else "trigram"
     roles = running_roles(running(instances))
     r = iam_risks.select("account_id", "source_arn", *PATH_COLS, F.col("severity").alias("iam_severity"))
     if strategy == "plain":
@@ -125,8 +133,14 @@ def role_risk_matches(instances: DataFrame, iam_risks: DataFrame, strategy: str
     if strategy != "trigram":
         raise ValueError(f"unknown strategy {strategy!r}")
     r = r.withColumnsRenamed({"account_id": "_acct", "source_arn": "_arn"})
-    arns = r.select("_acct", "_arn").where(F.col("_arn").isNotNull()).distinct()
-    return r.join(match_roles(roles, arns), ["_acct", "_arn"]).drop("_arn")
+    return r.join(role_arn_pairs(instances, iam_risks), ["_acct", "_arn"]).drop("_arn")
+
+
+def role_arn_pairs(instances: DataFrame, iam_risks: DataFrame) -> DataFrame:
+    """Distinct (_acct, _role, _arn) of running instances' roles and the source ARNs
+    of their account that hold them, by the trigram index."""
+    arns = iam_risks.select(F.col("account_id").alias("_acct"), F.col("source_arn").alias("_arn"))
+    return match_roles(running_roles(running(instances)), arns.where(F.col("_arn").isNotNull()).distinct())
 
 
 def stored_bytes(df: DataFrame) -> int:
@@ -190,30 +204,25 @@ def attack_chains(
     An instance with more than ``hot_threshold`` open severe CVEs has its
     fan-out split over many tasks (``split_hot_join``); None turns this off.
     """
-    only = None if instance_id is None else [Row(instance_id=instance_id)]
-    paths, found, cves = _chain_factors(instances, findings, cves, iam_risks, only)
+    paths, found, cves = _chain_factors(instances, findings, cves, iam_risks, instance_id)
     return _chain_rows(split_hot_join(paths.join(found, "instance_id"), cves, "instance_id", hot_threshold))
 
 
+INSTANCE_COLS = ["instance_id", "name_tag", "public_ip", "instance_type", "region", "iam_instance_profile", "account_id", "resource_arn"]
+
+
 def _chain_factors(instances: DataFrame, findings: DataFrame, cves: DataFrame, iam_risks: DataFrame,
-                   only: list[Row] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+                   instance_id: str | None = None, strategy: str = "auto") -> tuple[DataFrame, DataFrame, DataFrame]:
     """What a chain is the product of, each keyed by instance_id: the running
     instance with its escalation paths (or none), its failed findings, its open
-    severe CVEs.  ``only`` names a few instances (instance_id, account_id,
-    resource_arn): their keys are pushed into every scan."""
+    severe CVEs."""
     inst = running(instances)
-    strategy = "trigram"
-    if only is not None:
-        some = lambda c: F.col(c).isin(sorted({r[c] for r in only if r[c] is not None}))
-        inst, cves = inst.where(some("instance_id")), cves.where(some("instance_id"))
-        if only and "resource_arn" in only[0]:
-            findings, iam_risks = findings.where(some("resource_arn")), iam_risks.where(some("account_id"))
-        strategy = "plain"  # a path meets the roles of a few instances at most
-    inst = inst.select(
-        "instance_id", "name_tag", "public_ip", "instance_type", "region", "iam_instance_profile",
-        "account_id", "resource_arn",
-    )
-    matches = role_risk_matches(instances if only is None else inst.withColumn("instance_state", F.lit("running")), iam_risks, strategy)
+    if instance_id is not None:
+        inst = inst.where(F.col("instance_id") == instance_id)
+        cves = cves.where(F.col("instance_id") == instance_id)
+        strategy = "plain"  # one role
+    matches = role_risk_matches(inst, iam_risks, strategy)
+    inst = inst.select(*INSTANCE_COLS)
     paths = inst.join(
         matches,
         (inst["account_id"] == matches["_acct"]) & (profile_role(inst["iam_instance_profile"]) == matches["_role"]),
@@ -253,36 +262,40 @@ def _best(df: DataFrame, n: int, by: list[str], first: list, then: list[str]) ->
 
 
 def chain_bounds(instances: DataFrame, findings: DataFrame, cves: DataFrame, iam_risks: DataFrame) -> DataFrame:
-    """One row per running instance that has a chain: instance_id, account_id,
-    resource_arn, best (the score of its best chain, NULL if no CVE of it has a
-    score), admin (whether a path of it reaches an admin) and best_admin (the best
-    of those).  The score is a sum over the factors of a chain, so the best chain
-    is the best of every factor: one partial aggregate a table, no fan-out."""
-    inst = running(instances)
-    f = failed(findings).groupBy("resource_arn").agg(F.max(severity_points("severity")).alias("_f"))
-    c = open_severe(cves).groupBy("instance_id").agg(F.max("cvss_score").alias("_c"))
+    """One row per running instance that has a chain: its columns, best (the score
+    of its best chain, NULL if no CVE of it has a score), admin (whether a path of
+    it reaches an admin), best_admin (the best of those) and the number of its
+    findings, CVEs and paths.  The score is a sum over the factors of a chain, so
+    the best chain is the best of every factor: one partial aggregate a table, no
+    fan-out."""
+    rows = F.count(F.lit(1))
+    f = failed(findings).groupBy("resource_arn").agg(F.max(severity_points("severity")).alias("_f"), rows.alias("n_found"))
+    c = open_severe(cves).groupBy("instance_id").agg(F.max("cvss_score").alias("_c"), rows.alias("n_severe"))
     is_admin, points = F.col("target_is_admin") == F.lit(True), severity_points("iam_severity")
-    m = role_risk_matches(instances, iam_risks).groupBy("_acct", "_role").agg(
-        F.max(points).alias("_p"), F.max(F.when(is_admin, points)).alias("_a"))
-    inst = inst.select("instance_id", "account_id", "resource_arn", "public_ip", profile_role("iam_instance_profile").alias("_role"))
-    all_ = (inst.join(f, "resource_arn").join(c, "instance_id")
-            .join(m.withColumnRenamed("_acct", "account_id"), ["account_id", "_role"], "left"))
+    m = role_risk_matches(instances, iam_risks).groupBy(F.col("_acct").alias("account_id"), "_role").agg(
+        F.max(points).alias("_p"), F.max(F.when(is_admin, points)).alias("_a"), rows.alias("n_paths"))
+    inst = running(instances).select(*INSTANCE_COLS, profile_role("iam_instance_profile").alias("_role"))
+    each = inst.join(f, "resource_arn").join(c, "instance_id").join(m, ["account_id", "_role"], "left")
     base = F.col("_c") + F.col("_f") + F.when(F.col("public_ip").isNotNull(), F.lit(PUBLIC_IP_POINTS)).otherwise(F.lit(0))
-    return all_.select("instance_id", "account_id", "resource_arn", (base + F.coalesce("_p", F.lit(0))).alias("best"),
-                       F.col("_a").isNotNull().alias("admin"), (base + F.col("_a")).alias("best_admin"))
+    return each.select(*INSTANCE_COLS, (base + F.coalesce("_p", F.lit(0))).alias("best"), F.col("_a").isNotNull().alias("admin"),
+                       (base + F.col("_a")).alias("best_admin"), "n_found", "n_severe", F.coalesce("n_paths", F.lit(0)).alias("n_paths"))
 
 
-def leading_instances(bounds: DataFrame, n: int) -> list[Row]:
+def leading_instances(bounds: DataFrame, n: int) -> pa.Table:
     """The instances that can hold one of the ``n`` best chains of all, or of those
     that reach an admin: the n first by (best chain's score DESC NULLS LAST,
     instance_id), of either kind.  Each of them has a chain with that score, so n
-    chains come before any chain of another instance.  At most 2n rows, which the
-    driver gets; each task keeps n of a kind before they are exchanged."""
+    chains come before any chain of another instance.  The driver gets 2n rows
+    (more only if an instance_id is stored twice); each task keeps n of a kind
+    before they are exchanged."""
     kinds = F.array(F.struct(F.lit(0).alias("kind"), F.col("best").alias("score")),
                     F.struct(F.when(F.col("admin"), F.lit(1)).alias("kind"), F.col("best_admin").alias("score")))
-    each = bounds.select("instance_id", "account_id", "resource_arn", F.inline(kinds)).where(F.col("kind").isNotNull())
-    first = _best(each, n, ["kind"], [F.col("score").desc_nulls_last()], ["instance_id"])
-    return first.select("instance_id", "account_id", "resource_arn").distinct().collect()
+    each = bounds.select(*INSTANCE_COLS, "n_found", "n_severe", "n_paths", F.inline(kinds)).where(F.col("kind").isNotNull())
+    w = Window.partitionBy("kind").orderBy(F.col("score").desc_nulls_last(), F.col("instance_id"))
+    got = each.withColumn("_rank", F.rank().over(w)).where(F.col("_rank") <= n).drop("_rank", "score").toArrow()
+    first = set(got.filter(pc.equal(got["kind"], 0))["instance_id"].to_pylist())
+    again = pa.array([k == 1 and i in first for k, i in zip(got["kind"].to_pylist(), got["instance_id"].to_pylist())], pa.bool_())
+    return got.filter(pc.invert(again)).drop_columns(["kind"])
 
 
 def _leaders(df: DataFrame, n: int, by: list[str], points: Column, then: list[str]) -> DataFrame:
@@ -294,23 +307,38 @@ def _leaders(df: DataFrame, n: int, by: list[str], points: Column, then: list[st
     return out.where(F.col("_scored") | F.col("_plain")).drop("_points")
 
 
-def best_chains(instances: DataFrame, findings: DataFrame, cves: DataFrame, iam_risks: DataFrame, n: int) -> DataFrame:
+DIRECT_ROWS = 1_000_000  # chains of the leading instances up to which they are joined without ranking their factors
+
+
+def best_chains(instances: DataFrame, findings: DataFrame, cves: DataFrame, iam_risks: DataFrame, n: int,
+                direct_rows: int = DIRECT_ROWS) -> DataFrame:
     """Chain rows that hold the ``n`` best of E-6 by (risk_score DESC NULLS LAST,
     the dashboard list's columns ASC NULLS LAST), also among the chains that
-    reach an admin.  Only instances that can hold one are looked at
-    (``leading_instances``, a first job over the tables' bounds).
-
-    Within those instances the score is a sum over the three factors and the
-    tie-break compares their columns, so a row among the n best only uses rows
-    that are among the n best of their factor: n of each are joined, never the
-    fan-out.  A chain whose CVE has no score has no score itself; points do not
-    matter there, and every factor is ranked by its columns alone.
+    reach an admin.
+
+    A first job finds the instances that can hold one (``leading_instances``);
+    their keys are pushed into the scans of the factors.  If they have few chains
+    (counted by that job), these are joined as they are, the counted factors
+    broadcast.  Else n rows of each factor are joined, never the fan-out: the score
+    is a sum over the factors and the tie-break compares their columns, so a row
+    among the n best only uses rows that are among the n best of their factor.  A
+    chain whose CVE has no score has no score itself; points do not matter there,
+    and every factor is ranked by its columns alone.
     """
+    spark = instances.sparkSession
     leading = leading_instances(chain_bounds(instances, findings, cves, iam_risks), n)
-    paths, found, severe = _chain_factors(instances, findings, cves, iam_risks, leading)
-    path_points = severity_points("iam_severity")
-    p = _leaders(paths.withColumn("_admin", F.coalesce("target_is_admin", F.lit(False))), n, ["instance_id", "_admin"], path_points,
-                 ["name_tag", "public_ip", "region", "path", "target_name", "target_is_admin"]).drop("_admin")
+    held = lambda c: leading[c].unique().drop_null().to_pylist()
+    inst = spark.createDataFrame(leading.select(INSTANCE_COLS)).withColumn("instance_state", F.lit("running"))
+    chains = sum(f * c * max(p, 1) for f, c, p in zip(*(leading[k].to_pylist() for k in ("n_found", "n_severe", "n_paths"))))
+    paths, found, severe = _chain_factors(
+        F.broadcast(inst), findings.where(F.col("resource_arn").isin(held("resource_arn"))),
+        cves.where(F.col("instance_id").isin(held("instance_id"))), iam_risks.where(F.col("account_id").isin(held("account_id"))), strategy="plain")
+    if chains <= direct_rows:
+        return _chain_rows(severe.join(F.broadcast(found), "instance_id").join(F.broadcast(paths), "instance_id"))
+    # dealt by instance once: the windows and the joins below find their rows in place
+    paths, found, severe = (x.repartition("instance_id") for x in (paths, found, severe))
+    p = _leaders(paths.withColumn("_admin", F.coalesce("target_is_admin", F.lit(False))), n, ["instance_id", "_admin"],
+                 severity_points("iam_severity"), ["name_tag", "public_ip", "region", "path", "target_name", "target_is_admin"]).drop("_admin")
     f = _leaders(found, n, ["instance_id"], severity_points("misconfig_severity"), ["misconfiguration", "misconfig_severity"])
     c = _best(severe.withColumn("_has", F.col("cvss_score").isNotNull()), n, ["instance_id", "_has"], [F.col("cvss_score").desc()],
               ["cve_id", "cvss_score", "package_name", "fixed_version"])

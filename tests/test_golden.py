@@ -218,8 +218,8 @@ def test_best_chains_hold_the_top_lists(spark):
     rows = lambda df: [tuple(x) for x in df.collect()]
     for cves in (c, c.where("cvss_score is null")):
         whole = E.attack_chains(i, f, cves, r).cache()
-        for n in (1, 7, 20):
-            best = E.best_chains(i, f, cves, r, n)
+        for n, direct in ((1, 10**6), (7, 0), (20, 0), (20, 10**6)):  # factors ranked first, and not
+            best = E.best_chains(i, f, cves, r, n, direct_rows=direct)
             assert rows(H.top_attack_chains(best, n)) == rows(H.top_attack_chains(whole, n))
             assert rows(H.alert_chains(best, n=n)) == rows(H.alert_chains(whole, n=n))
         whole.unpersist()
