@@ -62,24 +62,62 @@ def _conform(batch: DataFrame, current: DataFrame, stamp: str, stamp_value: Colu
     return batch.select(*cols, *[c for c in ("_b", "_seq") if c in batch.columns])
 
 
-def _merge(cur: DataFrame, bat: DataFrame, spec: UpsertSpec, cols: list[str]) -> DataFrame:
-    key = list(spec.key)
+def _merged_columns(spec: UpsertSpec, cols: list[str]) -> tuple[list[str], list[str], list[Column]]:
+    """Kept columns, overwritten columns, and the aggregates _k and _u over the rows
+    of a key (tagged _b, _seq) that pick them."""
     updated = [c for c in cols if c in spec.updated or c == spec.stamp]
-    kept = [c for c in cols if c not in key and c not in updated]
-    both = cur.unionByName(bat)
-    nk = _null_key(key)
-    keyed = both.where(~nk)
+    kept = [c for c in cols if c not in spec.key and c not in updated]
     aggs = []
     if kept:
         # earliest source first (current has _b = 0), then the last row of that batch
         aggs.append(F.max_by(F.struct(*[F.col(c) for c in kept]), F.struct(-F.col("_b"), F.col("_seq"))).alias("_k"))
     aggs.append(F.max_by(F.struct(*[F.col(c) for c in updated]), F.struct(F.col("_b"), F.col("_seq"))).alias("_u"))
+    return kept, updated, aggs
+
+
+def _merge(cur: DataFrame, bat: DataFrame, spec: UpsertSpec, cols: list[str]) -> DataFrame:
+    key = list(spec.key)
+    kept, _, aggs = _merged_columns(spec, cols)
+    both = cur.unionByName(bat)
+    nk = _null_key(key)
+    keyed = both.where(~nk)
     merged = keyed.groupBy(*key).agg(*aggs)
     merged = merged.select(*key, *(["_k.*"] if kept else []), "_u.*").select(*cols)
     appended = both.where(nk).select(*cols)
     return merged.unionByName(appended)
 
 
+def _tagged(current: DataFrame, batch: DataFrame, spec: UpsertSpec, as_of, seq: str | None) -> tuple[DataFrame, DataFrame]:
+    """Both sides in the table's columns, with _b (0: stored, 1: batch) and _seq."""
+    cols = current.columns
+    stamp_value = F.current_timestamp() if as_of is None else (as_of if isinstance(as_of, Column) else F.lit(as_of))
+    # with no order given, the row's own content decides: the same winner however rows are dealt out
+    seq_c = F.col(seq) if seq and seq in batch.columns else F.to_json(F.struct(*batch.columns))
+    bat = _conform(batch.withColumn("_b", F.lit(1)).withColumn("_seq", seq_c), current, spec.stamp, stamp_value)
+    bat = bat.select(*cols, F.col("_b").cast("int").alias("_b"), F.col("_seq"))
+    seq_type = bat.schema["_seq"].dataType
+    return current.select(*cols, F.lit(0).alias("_b"), F.lit(None).cast(seq_type).alias("_seq")), bat
+
+
+def upsert_feed(current: DataFrame, batch: DataFrame, spec: UpsertSpec, as_of=None, seq: str | None = "_seq") -> DataFrame:
+    """The change feed of an upsert: (old, new), structs of the table's columns, one
+    row for each key of the batch and each batch row with a NULL in its key.  old is
+    NULL for what is inserted.  Only stored rows of the batch's keys are read into
+    the one merge pass; ``current`` holds a key once."""
+    cols, key = current.columns, list(spec.key)
+    cur, bat = _tagged(current, batch, spec, as_of, seq)
+    nk = _null_key(key)
+    touched = cur.join(bat.where(~nk).select(*key).distinct(), key, "left_semi").select(*cols, "_b", "_seq")
+    kept, updated, aggs = _merged_columns(spec, cols)
+    row = F.struct(*cols)
+    old = F.first(F.when(F.col("_b") == 0, row), ignorenulls=True).alias("old")
+    merged = touched.unionByName(bat.where(~nk)).groupBy(*key).agg(*aggs, old)
+    value = lambda c: F.col(c) if c in key else F.col(f"_k.{c}" if c in kept else f"_u.{c}").alias(c)
+    merged = merged.select("old", F.struct(*[value(c).alias(c) for c in cols]).alias("new"))
+    appended = bat.where(nk).select(F.lit(None).cast(merged.schema["old"].dataType).alias("old"), row.alias("new"))
+    return merged.unionByName(appended)
+
+
 def upsert(
     current: DataFrame,
     batch: DataFrame,
@@ -112,14 +150,7 @@ def upsert(
         dup = batch.where(~_null_key(key)).groupBy(*key).count().where("count > 1").limit(1).collect()
         if dup:
             raise ValueError(f"{spec.name}: batch holds key {tuple(dup[0][k] for k in key)} more than once")
-    stamp_value = F.current_timestamp() if as_of is None else (as_of if isinstance(as_of, Column) else F.lit(as_of))
-    # with no order given, the row's own content decides: the same winner however rows are dealt out
-    seq_c = F.col(seq) if seq and seq in batch.columns else F.to_json(F.struct(*batch.columns))
-    bat = _conform(batch.withColumn("_b", F.lit(1)).withColumn("_seq", seq_c), current, spec.stamp, stamp_value)
-    bat = bat.select(*cols, F.col("_b").cast("int").alias("_b"), F.col("_seq"))
-    seq_type = bat.schema["_seq"].dataType
-    cur_tagged = current.select(*cols, F.lit(0).alias("_b"), F.lit(None).cast(seq_type).alias("_seq"))
-
+    cur_tagged, bat = _tagged(current, batch, spec, as_of, seq)
     if strategy == "auto":
         strategy = "touched" if batch.count() <= broadcast_rows else "merge"
     if strategy == "merge":
