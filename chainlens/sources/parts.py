@@ -4,7 +4,7 @@ A table is a folder::
 
     data/v=N/part=K/*.parquet    rows of part K as version N wrote them
     changes/v=N/*.parquet        the change feed (old, new) of version N
-    version=N[-batch=B]/         the parts of version N: part, low, folder, rows
+    version=N[-batch=B]/         the schema, and the parts of version N: part, low, folder, rows
 
 A part holds a range of keys (``low`` up to the next part's low), so the rows of
 one account, whose keys or ARNs sort together, lie in few parts, and a large
@@ -20,10 +20,12 @@ file listing, and is the only thing the driver holds.
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from chainlens.operators.upsert import upsert_feed
 from chainlens.schemas import UpsertSpec
@@ -32,14 +34,18 @@ from chainlens.sources.store import _folders, _fs
 PART_ROWS = 1_000_000
 
 
-def _list(spark: SparkSession, root: str, version: int | None = None) -> tuple[int, list[dict]]:
-    """(version, its parts in key order); the newest committed version by default."""
+LIST = "place long, part long, low string, folder string, rows long"
+_SCHEMA = -1  # the place of the row that holds the table's schema
+
+
+def _list(spark: SparkSession, root: str, version: int | None = None) -> tuple[int, StructType, list[dict]]:
+    """(version, schema, its parts in key order); the newest committed version by default."""
     done = [(v, folder) for v, _, folder, ok in _folders(spark, root) if ok and version in (None, v)]
     if not done:
         raise FileNotFoundError(f"no committed version {'' if version is None else version} under {root}")
     v, folder = done[-1]
-    rows = [r.asDict(recursive=True) for r in spark.read.parquet(folder).collect()]
-    return v, sorted(rows, key=lambda r: r["place"])
+    rows = sorted((r.asDict() for r in spark.read.schema(LIST).parquet(folder).collect()), key=lambda r: r["place"])
+    return v, StructType.fromJson(json.loads(rows[0]["low"])), [r | {"low": json.loads(r["low"])} for r in rows[1:]]
 
 
 def _next_version(spark: SparkSession, root: str) -> int:
@@ -47,12 +53,7 @@ def _next_version(spark: SparkSession, root: str) -> int:
     return folders[-1][0] + 1 if folders else 0
 
 
-def _schema(spark: SparkSession, root: str):
-    return spark.read.parquet(f"{root}/schema").schema
-
-
-def _read_parts(spark: SparkSession, root: str, parts: list[dict]) -> DataFrame:
-    schema = _schema(spark, root)
+def _read_parts(spark: SparkSession, root: str, schema: StructType, parts: list[dict]) -> DataFrame:
     if not parts:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(*[f"{root}/{p['folder']}" for p in parts])
@@ -60,51 +61,60 @@ def _read_parts(spark: SparkSession, root: str, parts: list[dict]) -> DataFrame:
 
 def read(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     """The table as of a version (the newest by default)."""
-    return _read_parts(spark, root, _list(spark, root, version)[1])
+    return _read_parts(spark, root, *_list(spark, root, version)[1:])
+
+
+def _feed(spark: SparkSession, root: str, schema: StructType, version: int) -> DataFrame:
+    return spark.read.schema(StructType([StructField("old", schema), StructField("new", schema)])).parquet(f"{root}/changes/v={version}")
 
 
 def changes(spark: SparkSession, root: str, version: int) -> DataFrame:
     """(old, new) of the keys that a version touched."""
-    return spark.read.parquet(f"{root}/changes/v={version}")
+    return _feed(spark, root, _list(spark, root, version)[1], version)
+
+
+def _counted(spark: SparkSession, path: str, key: list[str], schema: StructType) -> list:
+    """(part, its least key, rows) of the part folders under ``path``."""
+    fs, folder, jvm = _fs(spark, path)
+    if not fs.exists(folder) or not fs.globStatus(jvm.org.apache.hadoop.fs.Path(path, "part=*")):
+        return []
+    rows = spark.read.schema(StructType([schema[k] for k in key]).add("part", "long")).parquet(path)
+    return rows.groupBy("part").agg(F.min(F.struct(*key)).alias("low"), F.count("*").alias("rows")).collect()
 
 
 def _deal(rows: DataFrame, key: list[str], parts: int, root: str, folder: str, first: int) -> list[dict]:
     """Write rows as ``parts`` key ranges, numbered from ``first``; the parts' list."""
     dealt = rows.repartitionByRange(parts, *key).withColumn("part", F.spark_partition_id() + first).sortWithinPartitions("part", *key)
     dealt.write.mode("overwrite").partitionBy("part").parquet(f"{root}/{folder}")
-    if not _fs(rows.sparkSession, f"{root}/{folder}")[0].globStatus(_fs(rows.sparkSession, f"{root}/{folder}/part=*")[1]):
-        return []
-    got = rows.sparkSession.read.parquet(f"{root}/{folder}").groupBy("part").agg(F.min(F.struct(*key)).alias("low"), F.count("*").alias("rows"))
-    return [{"part": r.part, "low": r.low.asDict(), "folder": f"{folder}/part={r.part}", "rows": r.rows}
-            for r in got.orderBy("low").collect()]
+    got = [{"part": r.part, "low": list(r.low), "folder": f"{folder}/part={r.part}", "rows": r.rows}
+           for r in _counted(rows.sparkSession, f"{root}/{folder}", key, rows.schema)]
+    return sorted(got, key=lambda p: p["part"])  # numbered in key order
 
 
-def _commit(spark: SparkSession, root: str, version: int, key: list[str], parts: list[dict], batch_id: int | None) -> int:
-    kinds = {f.name: f.dataType.simpleString() for f in _schema(spark, root).fields}
-    low = ", ".join(f"{k}: {kinds[k]}" for k in key)
-    rows = [(n, p["part"], p["low"], p["folder"], p["rows"]) for n, p in enumerate(parts)]
-    df = spark.createDataFrame(rows, f"place long, part long, low struct<{low}>, folder string, rows long")
-    df.coalesce(1).write.mode("errorifexists").parquet(f"{root}/version={version}" + ("" if batch_id is None else f"-batch={batch_id}"))
+def _commit(spark: SparkSession, root: str, version: int, schema: StructType, parts: list[dict], batch_id: int | None) -> int:
+    rows = [(_SCHEMA, None, schema.json(), None, 0)]
+    rows += [(n, p["part"], json.dumps(p["low"]), p["folder"], p["rows"]) for n, p in enumerate(parts)]
+    name = f"{root}/version={version}" + ("" if batch_id is None else f"-batch={batch_id}")
+    spark.createDataFrame(rows, LIST).coalesce(1).write.mode("errorifexists").parquet(name)
     return version
 
 
 def create(rows: DataFrame, root: str, spec: UpsertSpec, part_rows: int = PART_ROWS, batch_id: int | None = None) -> int:
     """Store ``rows`` as a new table; its version."""
     spark, key = rows.sparkSession, list(spec.key)
-    rows.limit(0).write.mode("overwrite").parquet(f"{root}/schema")
     version = _next_version(spark, root)
     # counted on what is stored, as rows may be costly: one pass writes them, another deals them
     rows.write.mode("overwrite").parquet(f"{root}/changes/v={version}-given")
     given = spark.read.schema(rows.schema).parquet(f"{root}/changes/v={version}-given")
     parts = _deal(given, key, max(1, math.ceil(given.count() / part_rows)), root, f"data/v={version}", 0)
-    return _commit(spark, root, version, key, parts, batch_id)
+    return _commit(spark, root, version, rows.schema, parts, batch_id)
 
 
 def part_of(key: list[str], parts: list[dict]) -> Column:
     """The number of the part that holds a key: the last whose low is not above it.
     Lows are searched in groups, so a row compares twice the root of their number."""
     size = max(1, math.isqrt(len(parts)))
-    low = lambda p: F.struct(*[F.lit(p["low"][k]).cast("string").alias(k) for k in key])
+    low = lambda p: F.struct(*[F.lit(v).cast("string").alias(k) for k, v in zip(key, p["low"])])
     mine = F.struct(*[F.col(k).cast("string").alias(k) for k in key])
     groups = [parts[k:k + size] for k in range(0, len(parts), size)]
     not_above = lambda lows: F.size(F.filter(lows, lambda x: x <= mine))
@@ -123,24 +133,21 @@ def upsert(spark: SparkSession, root: str, batch: DataFrame, spec: UpsertSpec, a
     if done:
         return done[-1]
     key = list(spec.key)
-    _, parts = _list(spark, root)
+    _, schema, parts = _list(spark, root)
     version = _next_version(spark, root)
-    schema = _schema(spark, root)
-    empty = spark.createDataFrame([], schema)
     touched = {r.part for r in batch.select(part_of(key, parts).alias("part")).distinct().collect()} if parts else set()
-    current = _read_parts(spark, root, [p for p in parts if p["part"] in touched]) if parts else empty
+    current = _read_parts(spark, root, schema, [p for p in parts if p["part"] in touched])
     upsert_feed(current, batch, spec, as_of, seq).write.mode("overwrite").parquet(f"{root}/changes/v={version}")
-    feed = changes(spark, root, version)
-    new = feed.select("new.*").select(*schema.names)
+    new = _feed(spark, root, schema, version).select("new.*").select(*schema.names)
     if not parts:
         dealt = _deal(new, key, max(1, math.ceil(new.count() / part_rows)), root, f"data/v={version}", 0)
-        return _commit(spark, root, version, key, dealt, batch_id)
+        return _commit(spark, root, version, schema, dealt, batch_id)
     rows = current.join(new.select(*key), key, "left_anti").select(*schema.names).unionByName(new)
     folder = f"data/v={version}"
     # a task for each part, which holds its rows and no more than part_rows allow
     (rows.withColumn("part", part_of(key, parts)).repartition("part").sortWithinPartitions("part", *key)
      .write.mode("overwrite").partitionBy("part").parquet(f"{root}/{folder}"))
-    counted = {r.part: r["count"] for r in spark.read.parquet(f"{root}/{folder}").groupBy("part").count().collect()} if touched else {}
+    counted = {r.part: r.rows for r in _counted(spark, f"{root}/{folder}", key, schema)}
     after, number = [], max(p["part"] for p in parts) + 1
     for p in parts:
         if p["part"] not in touched:
@@ -153,7 +160,7 @@ def upsert(spark: SparkSession, root: str, batch: DataFrame, spec: UpsertSpec, a
             after += [split[0] | {"low": p["low"]}, *split[1:]]
         else:
             after.append(p | {"folder": own, "rows": n})
-    return _commit(spark, root, version, key, after, batch_id)
+    return _commit(spark, root, version, schema, after, batch_id)
 
 
 def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
@@ -161,7 +168,7 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     folders deleted."""
     done = [(v, folder) for v, _, folder, ok in _folders(spark, root) if ok]
     stay = done[-max(1, keep):]
-    held = {p["folder"] for v, _ in stay for p in _list(spark, root, v)[1]}
+    held = {p["folder"] for v, _ in stay for p in _list(spark, root, v)[2]}
     fs, _, jvm = _fs(spark, root)
     path = jvm.org.apache.hadoop.fs.Path
     gone = []
