@@ -1,32 +1,41 @@
 """Language-model scoring with a log-frequency Bloom filter of n-gram counts.
 
-Training counts every word and every pair of neighbouring frequent words over
-all training documents.  Counts are quantised on a logarithmic scale: an
-n-gram of level q is put into the filter q times, as (n-gram, 1) ... (n-gram,
-q).  The filter is broadcast, and a scorer reads a count back by probing
-levels 1, 2, ... until a probe misses.  The probabilities are a back-off
-model: absolute discounting for stored pairs, otherwise the context's back-off
-weight times the add-one unigram.
-
-What is broadcast has a proven bound: the filter has a fixed number of bits,
-and it holds n-grams that make up at least 1 / MOST_STORED of all training
-tokens, so there are at most MOST_STORED words and as many pairs.  A pair can
-only be that frequent if both its words are, so pairs of rarer words need no
-counting.  Rarer words keep their exact counts in a distributed table; their
-occurrences are sent to that table's buckets and only sums come back.
+Every text is split and hashed once; its runs of documents are stored as arrays.
+Training counts every word and every pair of neighbouring words over all training
+documents.  Counts are quantised on a logarithmic scale: an n-gram of level q is
+put into the filter q times, as (n-gram, 1) ... (n-gram, q), and a scorer reads it
+back by probing levels 1, 2, ... until a probe misses.  The model is absolute
+discounting, interpolated with the add-one unigram:
+
+    P(w | v) = scale(v) (held(v w) - DISCOUNT) / held(v)  +  rest(v) (held(w) + 1) / z
+
+with held the count that a level stands for, rest(v) what the pairs of v leave of
+1, and scale(v) = 1 unless quantised pairs add up to more than their context.  No
+n-gram is left out, however rare.
+
+The filter grows with the corpus, so it is built in segments, one for each bucket
+of words and of the pairs that they start.  If all segments together are small
+(BROADCAST_BYTES, checked) they are broadcast to the scorers; else the probes of a
+run of documents are sent to the segments and the levels come back.  Both ways
+give the same scores.  A word that starts more than a bucket's share of the pairs
+is spread over SPREAD segments; there are at most as many such words as buckets,
+and only they are known everywhere.
 
 Words are 64-bit hashed (xxh3); two words that collide share a count.  At 10^9
-distinct words the expected number of colliding pairs is 0.03.
-
-Defined results: null or empty text is one end token; rows of equal doc_id
-are scored each by its own text; a document with null doc_id is learned from;
-with no training rows every count is 0; other columns are ignored.
+distinct words the expected number of colliding pairs is 0.03.  A pair that was
+never seen is taken for one seen once in about 0.4 % of cases (the filter).
+
+Defined results: null or empty text is one end token; very long texts are scored
+whole, a text of any length being one entry of its run; rows of equal doc_id are
+scored each by its own text, repeated rows each get a row; a document with null
+doc_id is learned from; with no training rows every count is 0; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -39,15 +48,19 @@ from chainlens.llm.common import by_value, partitions, stored, text_or_empty
 
 by_value(__name__)
 
-MOST_STORED = 1 << 21
-FILTER_BITS = 1 << 28
-SLICES = 4096
 BASE = 2.0 ** 0.125
 PROBES_FIRST, PROBES_NEXT = 6, 2
+#: Filter bits for each bit that is set by a key of its own.
+ROOM = 2
 DISCOUNT = 0.75
 END = b" "  # no word holds a space
-SUB_BATCH = 4 << 20
+#: Bytes of text of a run of documents: more where there are many segments to send probes to.
+RUN_LEAST, RUN_MOST, RUN_PER_BUCKET = 4 << 20, 64 << 20, 16 << 10
 CACHE_WORDS = 400_000
+#: Size of all segments up to which they are broadcast.
+BROADCAST_BYTES = 32 << 20
+#: Segments over which the pairs of a very frequent word are spread.
+SPREAD = 64
 _U = np.uint64
 
 
@@ -74,51 +87,48 @@ def tokens(text: bytes) -> list[bytes]:
     return words
 
 
-class WordIndex(dict):
-    """word -> place among the stored words, or -1; a cache of bounded size."""
+END_HASH = _U(xxhash.xxh3_64_intdigest(END))
+
 
-    def __init__(self, hashes: np.ndarray):
-        self.hashes = hashes
+class WordHash(dict):
+    """word -> hash; a cache of bounded size."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > CACHE_WORDS:
             self.clear()
-        h = _U(xxhash.xxh3_64_intdigest(word))
-        at = int(np.searchsorted(self.hashes, h))
-        at = at if at < len(self.hashes) and self.hashes[at] == h else -1
-        self[word] = at
-        return at
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
 
 
-def added_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, sorted, and the sum of counts of each."""
+def added_up(keys: np.ndarray, counts: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys, sorted, the sum of counts of each, and what else belongs to the key."""
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, int)
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts[:0]
+    return (keys[first], np.add.reduceat(counts, first) if len(first) else counts[:0], *(m[order][first] for m in more))
 
 
 class Sums:
-    """Adds up (key, count) arrays, merging as it grows."""
+    """Adds up (key, count, ...) arrays, merging as it grows."""
 
-    def __init__(self, most: int = 4_000_000):
-        self.keys, self.counts, self.n, self.most, self.floor = [], [], 0, most, 0
+    def __init__(self, more: int = 0, most: int = 4_000_000):
+        self.rows, self.more, self.n, self.most, self.floor = [], more, 0, most, 0
 
-    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        self.keys.append(keys), self.counts.append(counts)
-        self.n += len(keys)
+    def add(self, *arrays: np.ndarray) -> None:
+        self.rows.append(arrays)
+        self.n += len(arrays[0])
         if self.n > self.most + 2 * self.floor:
-            k, c = self.result()
-            self.keys, self.counts, self.n, self.floor = [k], [c], len(k), len(k)
+            got = self.result()
+            self.rows, self.n, self.floor = [got], len(got[0]), len(got[0])
 
-    def result(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.keys:
-            return np.zeros(0, _U), np.zeros(0, np.int64)
-        return added_up(np.concatenate(self.keys), np.concatenate(self.counts))
+    def result(self) -> tuple[np.ndarray, ...]:
+        if not self.rows:
+            return (np.zeros(0, _U), np.zeros(0, np.int64), *[np.zeros(0, _U)] * self.more)
+        return added_up(*(np.concatenate(x) for x in zip(*self.rows)))
 
 
 def pack(a: np.ndarray) -> bytes:
-    return pa.compress(a.tobytes(), codec="zstd", asbytes=True) if len(a) else b""
+    return pa.compress(np.ascontiguousarray(a).tobytes(), codec="zstd", asbytes=True) if len(a) else b""
 
 
 def unpack(b: bytes, n: int, kind) -> np.ndarray:
@@ -134,360 +144,416 @@ def by_group(group: np.ndarray, *arrays: np.ndarray):
         yield int(group[lo]), *(a[order[lo:hi]] for a in arrays)
 
 
-def record(schema: pa.Schema, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-    """Rows as Arrow batches of a few megabytes."""
-    for lo in range(0, len(rows), 256):
-        cols = zip(*rows[lo:lo + 256])
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
-
-
-def text_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-    """Rows (text bytes first) in lists of about SUB_BATCH bytes of text."""
-    run, size = [], 0
-    for b in batches:
-        for row in zip(*b.columns):
-            run.append(tuple(v.as_py() for v in row))
-            size += len(run[-1][0])
-            if size >= SUB_BATCH:
-                yield run
-                run, size = [], 0
-    if run:
-        yield run
-
-
-COUNTS = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("batch", pa.int64()), ("n", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
-COUNTS_DDL = "bucket int, kind int, batch long, n long, a binary, b binary, c binary"
+#: Every exchanged or stored row: numbers, and packed arrays whose meaning goes by ``kind``.
+ROW = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("batch", pa.int64()), ("n", pa.int64()), ("m", pa.int64()),
+                 *[(c, pa.binary()) for c in "abcdef"]])
+ROW_DDL = "bucket int, kind int, batch long, n long, m long, a binary, b binary, c binary, d binary, e binary, f binary"
 
 
-def count_words(texts: DataFrame, buckets: int) -> DataFrame:
-    """Rows of packed (hash, count) arrays, every word in one bucket: kind 0, a = hashes, b = counts, n words."""
-
-    def local(batches):
-        total = Sums()
-
-        def flush():
-            h, c = total.result()
-            return record(COUNTS, [(g, 0, 0, len(x), pack(x), pack(y), b"") for g, x, y in by_group((h % _U(buckets)).astype(np.int32), h, c)])
-        for run in text_runs(batches):
-            seen = Counter()
-            for (t,) in run:
-                seen.update(tokens(t))
-            total.add(np.array([xxhash.xxh3_64_intdigest(w) for w in seen], dtype=_U), np.fromiter(seen.values(), np.int64, len(seen)))
-        yield from flush()
-
-    def merge(batches):
-        for bucket, rows in bucket_groups(batches):
-            total = Sums()
-            for r in rows:
-                total.add(unpack(r["a"], r["n"], _U), unpack(r["b"], r["n"], np.int64))
-            h, c = total.result()
-            yield from record(COUNTS, [(bucket, 0, int(c.sum()), len(h), pack(h), pack(c), b"")])
+def record(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows (missing arrays at the end are empty) as Arrow batches of a few megabytes."""
+    def batch(some):
+        cols = zip(*(r + (b"",) * (len(ROW) - len(r)) for r in some))
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, ROW)], schema=ROW)
+    some, size = [], 0
+    for r in rows:
+        some.append(r)
+        size += sum(len(x) for x in r if isinstance(x, bytes))
+        if size > 8 << 20 or len(some) == 256:
+            yield batch(some)
+            some, size = [], 0
+    if some:
+        yield batch(some)
 
-    part = texts.mapInArrow(local, COUNTS_DDL)
-    return part.repartition(partitions(texts.sparkSession), "bucket").sortWithinPartitions("bucket").mapInArrow(merge, COUNTS_DDL)
 
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for b in batches:
+        names = b.schema.names
+        for row in zip(*b.columns):
+            yield dict(zip(names, (v.as_py() for v in row)))
 
-def bucket_groups(batches: Iterator[pa.RecordBatch], column: str = "bucket"):
-    """(key, iterator of its rows as dicts) of rows sorted by the key."""
-    from itertools import groupby
 
-    def rows():
-        for b in batches:
-            names = b.schema.names
-            for row in zip(*b.columns):
-                yield dict(zip(names, (v.as_py() for v in row)))
-    return groupby(rows(), key=lambda r: r[column])
+def groups_of(batches: Iterator[pa.RecordBatch], column: str):
+    """(key, iterator of its rows) of rows sorted by the key."""
+    return groupby(rows_of(batches), key=lambda r: r[column])
 
 
-def levels(counts: np.ndarray, least: float) -> np.ndarray:
-    """1 + floor(log_b(count / least)) for counts of at least ``least``."""
-    return 1 + np.floor(np.log(counts / least) / np.log(BASE) + 1e-9).astype(np.int64)
+def levels(counts: np.ndarray) -> np.ndarray:
+    """1 + floor(log_b(count)) for counts of at least 1."""
+    return 1 + np.floor(np.log(counts) / np.log(BASE) + 1e-9).astype(np.int64)
 
 
-def level_count(q: np.ndarray, least: float) -> np.ndarray:
-    """The count that a level stands for: its middle on the logarithmic scale."""
-    return least * BASE ** (q - 0.5)
+def level_count(q: np.ndarray) -> np.ndarray:
+    """The count that a level stands for, its middle on the logarithmic scale; 0 for level 0."""
+    return np.where(q > 0, BASE ** (q - 0.5), 0.0)
 
 
-def positions(keys: np.ndarray, level: int) -> list[np.ndarray]:
-    """Bit positions of (key, level) inside the key's slice."""
-    width = FILTER_BITS // SLICES
-    a, b = keys >> _U(12), mixed(keys ^ _U(0xD6E8FEB86659FD93)) | _U(1)
+def positions(keys: np.ndarray, level: int, bits: int) -> list[np.ndarray]:
+    """Places of (key, level) in a segment of so many bits."""
+    a, b = mixed(keys), mixed(keys ^ _U(0xD6E8FEB86659FD93)) | _U(1)
     start = 0 if level == 1 else PROBES_FIRST + (level - 2) * PROBES_NEXT
-    return [((a + _U(start + t) * b) >> _U(7)) % _U(width) for t in range(PROBES_FIRST if level == 1 else PROBES_NEXT)]
+    return [(((a + _U(start + t) * b) >> _U(7)) % _U(bits)).astype(np.int64) for t in range(PROBES_FIRST if level == 1 else PROBES_NEXT)]
 
 
-def filter_slices(slices: list[int], keys: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """The packed bits of some slices, a row each, with every (key, 1..q) of theirs in it."""
-    width, level = FILTER_BITS // SLICES, 1
-    bits = np.zeros(len(slices) * width, dtype=np.uint8)
-    row = np.searchsorted(slices, (keys % _U(SLICES)).astype(np.int64)) * width  # slices ascend
+def segment(keys: np.ndarray, q: np.ndarray) -> tuple[int, bytes]:
+    """A filter segment with every (key, 1..q) in it: its number of bits and the bits."""
+    size = max(64, ROOM * int((PROBES_FIRST + (q - 1) * PROBES_NEXT).sum()))
+    bits, level = np.zeros(size, dtype=np.uint8), 1
     while len(keys):
-        for p in positions(keys, level):
-            bits[row + p.astype(np.int64)] = 1
+        for p in positions(keys, level, size):
+            bits[p] = 1
         level += 1
         more = q >= level
-        keys, q, row = keys[more], q[more], row[more]
-    return np.packbits(bits.reshape(len(slices), width), axis=1)
+        keys, q = keys[more], q[more]
+    return size, np.packbits(bits).tobytes()
 
 
-def probe(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Levels read back from the filter: probe 1, 2, ... until one misses."""
+def probe(bits: np.ndarray, size: int, keys: np.ndarray) -> np.ndarray:
+    """Levels read back from a segment: probe 1, 2, ... until one misses."""
     found, live, level = np.zeros(len(keys), dtype=np.int64), np.arange(len(keys)), 1
-    offset = (keys % _U(SLICES)) * _U(FILTER_BITS // SLICES)
     while len(live):
         hit = np.ones(len(live), dtype=bool)
-        for p in positions(keys[live], level):
-            at = offset[live] + p
-            hit &= (bits[(at >> _U(3)).astype(np.int64)] >> (_U(7) - (at & _U(7))).astype(np.uint8)) & 1 == 1
+        for p in positions(keys[live], level, size):
+            hit &= (bits[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1
         live = live[hit]
         found[live] = level
         level += 1
     return found
 
 
-def train(texts: DataFrame) -> dict:
-    """Count and build the model from a DataFrame with one binary text column.
-    Holds the exact word counts as a stored table (``words``) and the broadcast
-    part: stored word hashes and counts, back-off weights, filter bits."""
-    spark = texts.sparkSession
-    buckets = partitions(spark) * 4
-    words = stored(count_words(texts, buckets), "lm-words")
-    sums = words.agg(F.sum("batch").alias("n"), F.sum("n").alias("v")).first()
-    n, v = int(sums.n or 0), int(sums.v or 0)
-    least = max(1.0, n / MOST_STORED)
+# -- the corpus as arrays --------------------------------------------------------------------
+
+def hashed_runs(docs: DataFrame, buckets: int) -> DataFrame:
+    """Runs of documents (columns text, doc_id, text_hash, train): kind 0, batch, n
+    documents, m tokens; a = ids, b = id is null and training flags, c = token
+    numbers of each document, d = hashes of the run's words, e = words of the
+    tokens, f = how many words."""
+    most = min(max(RUN_LEAST, buckets * RUN_PER_BUCKET), RUN_MOST)
+
+    def run(batches):
+        seen, seq = WordHash(), 0
+        texts, ids, train, size = [], [], [], 0
 
-    def frequent(batches):
+        def flush():
+            nonlocal texts, ids, train, size, seq
+            number = {}
+            words, lengths = [], []
+            for t in texts:
+                w = tokens(t)
+                words += w
+                lengths.append(len(w))
+            at = np.fromiter((number.setdefault(w, len(number)) for w in words), np.uint32, len(words))
+            hashes = np.fromiter((seen[w] for w in number), _U, len(number))
+            null = np.array([i is None for i in ids], np.int8) + 2 * np.array([bool(x) for x in train], np.int8)
+            batch = (TaskContext.get().partitionId() << 32) + seq
+            row = (0, 0, batch, len(ids), len(words), pack(np.array([i or 0 for i in ids], np.int64)), pack(null),
+                   pack(np.array(lengths, np.int32)), pack(hashes), pack(at), len(hashes).to_bytes(8, "little"))
+            texts, ids, train, size = [], [], [], 0
+            seq += 1
+            return record([row])
         for b in batches:
-            for r in zip(*b.columns):
-                r = dict(zip(b.schema.names, (x.as_py() for x in r)))
-                h, c = unpack(r["a"], r["n"], _U), unpack(r["b"], r["n"], np.int64)
-                keep = c >= least
-                yield from record(COUNTS, [(r["bucket"], 0, 0, int(keep.sum()), pack(h[keep]), pack(c[keep]), b"")])
-
-    rows = words.mapInArrow(frequent, COUNTS_DDL).collect()  # at most MOST_STORED words
-    hashes = np.concatenate([np.zeros(0, _U), *(unpack(bytes(r.a), r.n, _U) for r in rows)])
-    counts = np.concatenate([np.zeros(0, np.int64), *(unpack(bytes(r.b), r.n, np.int64) for r in rows)])
-    order = np.argsort(hashes)
-    hashes, counts = hashes[order], counts[order]
-    q = levels(counts, least) if len(counts) else np.zeros(0, np.int64)
-    held = level_count(q, least)
-    rare_words, rare_tokens = v - len(counts), n - int(counts.sum())
-    z = held.sum() + len(counts) + rare_tokens + rare_words + 1  # the unigram's total mass
-    model = {"n": n, "v": v, "least": least, "hashes": hashes, "counts": counts, "z": float(z)}
-    shared = spark.sparkContext.broadcast(model)
+            for t, i, x in zip(*b.columns):
+                texts.append(t.as_py())
+                ids.append(i.as_py())
+                train.append(x.as_py())
+                size += len(texts[-1])
+                if size >= most:
+                    yield from flush()
+        if texts:
+            yield from flush()
+    return docs.select("text", "doc_id", "train").mapInArrow(run, ROW_DDL)
+
+
+class Run:
+    """A run of documents, unpacked: words (hashes), the word before and the word of
+    every token, and the first token of each document."""
+
+    def __init__(self, r: dict):
+        n, m = r["n"], r["m"]
+        self.batch, self.ids, flags = r["batch"], unpack(r["a"], n, np.int64), unpack(r["b"], n, np.int8)
+        self.null, self.train = flags & 1 == 1, flags & 2 == 2
+        self.lengths = unpack(r["c"], n, np.int32).astype(np.int64)
+        self.words = unpack(r["d"], int.from_bytes(r["f"], "little"), _U)
+        self.next = unpack(r["e"], m, np.uint32).astype(np.int64)
+        self.first = np.r_[0, np.cumsum(self.lengths)[:-1]]
+        end = int(np.flatnonzero(self.words == END_HASH)[0])
+        self.context = np.r_[end, self.next[:-1]]  # a document starts after an end
+
+    def pairs(self, chosen=slice(None)) -> tuple[np.ndarray, ...]:
+        """Distinct (context, word) of the chosen tokens as word numbers, each token's
+        place among them, and how often each occurs."""
+        code = self.context[chosen] * len(self.words) + self.next[chosen]
+        code, inverse, count = np.unique(code, return_inverse=True, return_counts=True)
+        return code // len(self.words), code % len(self.words), inverse, count
+
+
+def bucket_of(context: np.ndarray, keys: np.ndarray, buckets: int, spread: np.ndarray) -> np.ndarray:
+    """The segment of each pair: its context's, or one of SPREAD for contexts in ``spread``."""
+    wide = spread[np.minimum(np.searchsorted(spread, context), max(len(spread) - 1, 0))] == context if len(spread) else np.zeros(len(context), bool)
+    return ((context + np.where(wide, keys % _U(SPREAD), _U(0))) % _U(buckets)).astype(np.int32)
+
+
+# -- training -------------------------------------------------------------------------------------
+
+def count_words(runs: DataFrame, buckets: int) -> DataFrame:
+    """A row for each bucket: kind 0, n words; a = hashes, b = counts of training tokens."""
 
-    def pairs(batches):
-        """Pairs of stored words, added up by task: kind 1, a = pair codes, b = counts, in the filter's slices."""
-        m = shared.value
-        index, size = WordIndex(m["hashes"]), len(m["hashes"])
+    def local(batches):
         total = Sums()
-        for run in text_runs(batches):
-            words_ = [END]
-            for (t,) in run:
-                words_ += tokens(t)
-            ids = np.fromiter(map(index.__getitem__, words_), np.int64, len(words_))
-            both = (ids[:-1] >= 0) & (ids[1:] >= 0)
-            code = (ids[:-1][both] * size + ids[1:][both]).astype(_U)
-            total.add(*np.unique(code, return_counts=True))
-        code, c = total.result()
-        if len(code):
-            key = pair_key(m["hashes"][(code // _U(size)).astype(np.int64)], m["hashes"][(code % _U(size)).astype(np.int64)])
-            yield from record(COUNTS, [(g, 1, 0, len(x), pack(np.diff(x, prepend=_U(0))), pack(y.astype(np.int32)), b"")
-                                       for g, x, y in by_group((key % _U(SLICES)).astype(np.int32), code, c)])
+        for r in rows_of(batches):
+            x = Run(r)
+            of = np.bincount(x.next[np.repeat(x.train, x.lengths)], minlength=len(x.words))
+            total.add(x.words[of > 0], of[of > 0].astype(np.int64))
+        h, c = total.result()
+        yield from record([(g, 0, 0, len(x), 0, pack(x), pack(y)) for g, x, y in by_group((h % _U(buckets)).astype(np.int32), h, c)])
 
-    def build(batches):
-        """One row per slice: its bits (a), and what its pairs take of their contexts: codes (b), levels (c)."""
-        m = shared.value
-        h, size = m["hashes"], len(m["hashes"])
-        own = mixed(h)
-        own_slice = (own % _U(SLICES)).astype(np.int64)
-        order = np.argsort(own_slice, kind="stable")
-        starts = np.searchsorted(own_slice[order], np.arange(SLICES + 1))
-        own_q = levels(m["counts"], m["least"]) if size else np.zeros(0, np.int64)
-
-        def flush(found):
-            bits = filter_slices([f[0] for f in found], np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found]))
-            return record(COUNTS, [(g, 2, 0, len(code), x.tobytes(), pack(code), pack(pq.astype(np.int32)))
-                                   for (g, _, _, code, pq), x in zip(found, bits)])
-
-        found = []
-        for g, rows_ in bucket_groups(batches):
+    def merge(batches):
+        for bucket, rows in groups_of(batches, "bucket"):
             total = Sums()
-            for r in rows_:
-                total.add(np.cumsum(unpack(r["a"], r["n"], _U), dtype=_U), unpack(r["b"], r["n"], np.int32).astype(np.int64))
-            code, c = total.result()
-            code, c = code[c >= m["least"]], c[c >= m["least"]]
-            at = order[starts[g]:starts[g + 1]]
-            keys, qs = [own[at]], [own_q[at]]
-            pq = levels(c, m["least"]) if len(code) else np.zeros(0, np.int64)
-            if len(code):
-                keys.append(pair_key(h[(code // _U(size)).astype(np.int64)], h[(code % _U(size)).astype(np.int64)]))
-                qs.append(pq)
-            found.append((g, np.concatenate(keys), np.concatenate(qs), code, pq))
-            if len(found) == 256:
-                yield from flush(found)
-                found = []
-        if found:
-            yield from flush(found)
-
-    every = spark.range(SLICES).select(F.col("id").cast("int").alias("bucket"), F.lit(1).alias("kind"), F.lit(0).cast("long").alias("batch"),
-                                       F.lit(0).cast("long").alias("n"), *[F.lit(b"").alias(x) for x in "abc"])
-    parts = texts.mapInArrow(pairs, COUNTS_DDL).unionByName(every)
-    built = parts.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket").mapInArrow(build, COUNTS_DDL).collect()
-    bits = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
-    width = FILTER_BITS // SLICES // 8
-    size, uni = len(hashes), (held + 1) / z
-    p_sum, u_sum = np.zeros(size), np.zeros(size)
-    for r in built:  # fixed filter size; at most MOST_STORED pairs
-        bits[r.bucket * width:(r.bucket + 1) * width] = np.frombuffer(bytes(r.a), np.uint8)
-        code, pq = unpack(bytes(r.b), r.n, _U), unpack(bytes(r.c), r.n, np.int32)
-        if r.n:
-            ctx, nxt = (code // _U(size)).astype(np.int64), (code % _U(size)).astype(np.int64)
-            np.add.at(p_sum, ctx, np.maximum(level_count(pq, least) - DISCOUNT, 0.1) / held[ctx])
-            np.add.at(u_sum, ctx, uni[nxt])
-    scale = np.minimum(1.0, 0.99 / np.maximum(p_sum, 1e-9))  # quantised counts may add up to more than the context's
-    back = (1 - p_sum * scale) / np.maximum(1 - u_sum, 1e-6)
-    shared.unpersist()
-    model |= {"bits": bits, "log_scale": np.log10(scale).astype(np.float32), "log_back": np.log10(back).astype(np.float32)}
-    return {"words": words, "buckets": buckets, "shared": spark.sparkContext.broadcast(model), "n": n, "v": v}
-
-
-def rare_sums(docs: DataFrame, model: dict) -> DataFrame:
-    """(doc_id, text_hash, known, log_sum): for the words that are not stored,
-    occurrences with a training count and the sum of log10(count + 1).  ``docs``
-    has text (binary), doc_id, text_hash."""
-    shared, buckets, spark = model["shared"], model["buckets"], docs.sparkSession
-
-    def post(batches):
-        """kind 1: a = hashes, b = places in the batch, c = occurrences; kind 2: the batch's documents."""
-        index = WordIndex(shared.value["hashes"])
-        task, seq = TaskContext.get().partitionId(), 0
-        for run in text_runs(batches):
-            batch, hs, at, tf = (task << 32) + seq, [], [], []
-            seq += 1
-            for k, (t, _, _) in enumerate(run):
-                rare = [w for w in tokens(t) if index[w] < 0]
-                if rare:
-                    c = Counter(rare)
-                    hs += [xxhash.xxh3_64_intdigest(w) for w in c]
-                    at += [k] * len(c)
-                    tf += c.values()
-            if not hs:
-                continue
-            h = np.array(hs, dtype=_U)
-            rows = [(g, 1, batch, len(x), pack(x), pack(y), pack(z)) for g, x, y, z in by_group(
-                (h % _U(buckets)).astype(np.int32), h, np.array(at, np.int32), np.array(tf, np.int32))]
-            ids = np.array([0 if i is None else i for _, i, _ in run], np.int64)
-            null = np.array([i is None for _, i, _ in run], np.int8)
-            rows.append((-1, 2, batch, len(run), pack(ids), pack(np.array([x for _, _, x in run], np.int64)), pack(null)))
-            yield from record(COUNTS, rows)
+            for r in rows:
+                total.add(unpack(r["a"], r["n"], _U), unpack(r["b"], r["n"], np.int64))
+            h, c = total.result()
+            yield from record([(bucket, 0, 0, len(h), int(c.sum()), pack(h), pack(c))])
+
+    n = partitions(runs.sparkSession)
+    return runs.mapInArrow(local, ROW_DDL).repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, ROW_DDL)
+
+
+def frequent_words(words: DataFrame, total: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words, sorted by hash, that make up a bucket's share of all tokens or more: at most as
+    many as buckets; and their counts."""
+    def pick(batches):
+        for r in rows_of(batches):
+            h, c = unpack(r["a"], r["n"], _U), unpack(r["b"], r["n"], np.int64)
+            keep = c * buckets >= total
+            if keep.any():
+                yield from record([(0, 0, 0, int(keep.sum()), 0, pack(h[keep]), pack(c[keep]))])
+    got = words.mapInArrow(pick, ROW_DDL).collect()
+    h = np.concatenate([np.zeros(0, _U), *(unpack(bytes(r.a), r.n, _U) for r in got)])
+    c = np.concatenate([np.zeros(0, np.int64), *(unpack(bytes(r.b), r.n, np.int64) for r in got)])
+    order = np.argsort(h)
+    return h[order], c[order]
+
+
+def weights(taken: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(scale / held, rest) of contexts, of which pairs take so much (discounted)."""
+    share = np.minimum(taken / held, 0.99)
+    return share / np.maximum(taken, 1e-300), 1 - share
+
+
+def train(runs: DataFrame, buckets: int) -> dict:
+    """Count and build the segments.  ``model``: a stored row for each bucket: kind
+    0, n words, m filter bits; a = word hashes, b = counts, c = scale / held of the
+    word as context, d = rest, e = the segment.  For words in ``spread`` c and d are
+    in ``spread_c``, ``spread_d``."""
+    spark = runs.sparkSession
+    words = stored(count_words(runs, buckets), "lm-words")
+    sums = words.agg(F.sum("m").alias("n"), F.sum("n").alias("v")).first()
+    n, v = int(sums.n or 0), int(sums.v or 0)
+    spread, spread_counts = frequent_words(words, max(n, 1), buckets)
 
-    def answer(batches):
-        """kind 3 to the batch: a = places, b = sums of log10(count + 1), c = known occurrences."""
-        for _, rows in bucket_groups(batches):
-            h = c = None
-            for r in rows:  # the bucket's words come first
+    def pairs(batches):
+        """kind 1: pairs by context: n pairs, m contexts; a = contexts, b = pairs of each, c = keys, d = counts."""
+        total = Sums(more=1)
+
+        def flush():
+            key, c, context = total.result()
+            for g, k, count, ctx in by_group(bucket_of(context, key, buckets, spread), key, c, context):
+                order = np.argsort(ctx, kind="stable")
+                names, size = np.unique(ctx, return_counts=True)
+                yield (g, 1, 0, len(k), len(names), pack(names), pack(size.astype(np.int32)), pack(k[order]), pack(count[order].astype(np.int32)))
+        for r in rows_of(batches):
+            x = Run(r)
+            a, b, _, count = x.pairs(np.repeat(x.train, x.lengths))
+            total.add(pair_key(x.words[a], x.words[b]), count.astype(np.int64), x.words[a])
+        yield from record(flush())
+
+    def build(batches):
+        for bucket, rows in groups_of(batches, "bucket"):
+            h, c, total = np.zeros(0, _U), np.zeros(0, np.int64), Sums(more=1)
+            for r in rows:
                 if r["kind"] == 0:
                     h, c = unpack(r["a"], r["n"], _U), unpack(r["b"], r["n"], np.int64)
-                elif h is not None and len(h):
-                    x, at, tf = unpack(r["a"], r["n"], _U), unpack(r["b"], r["n"], np.int32), unpack(r["c"], r["n"], np.int32)
-                    i = np.minimum(np.searchsorted(h, x), len(h) - 1)
-                    hit = h[i] == x
-                    if hit.any():
-                        at, tf, cnt = at[hit], tf[hit].astype(np.int64), c[i[hit]]
-                        place, known = added_up(at, tf)
-                        _, logs = added_up(at, tf * np.log10(cnt + 1))
-                        yield from record(COUNTS, [(0, 3, r["batch"], len(place), pack(place), pack(logs), pack(known))])
-
-    def settle(batches):
-        out = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("known", pa.int64()), ("log_sum", pa.float64())])
-        for _, rows in bucket_groups(batches, "batch"):
-            ids = None
-            for r in rows:  # the batch's documents come first
-                if r["kind"] == 2:
-                    n = r["n"]
-                    ids, th, null = unpack(r["a"], n, np.int64), unpack(r["b"], n, np.int64), unpack(r["c"], n, np.int8) == 1
-                    known, logs = np.zeros(n, np.int64), np.zeros(n)
                 else:
-                    at = unpack(r["a"], r["n"], np.int32)
-                    logs[at] += unpack(r["b"], r["n"], np.float64)
-                    known[at] += unpack(r["c"], r["n"], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64(), mask=null), pa.array(th), pa.array(known), pa.array(logs)], schema=out)
+                    context = np.repeat(unpack(r["a"], r["m"], _U), unpack(r["b"], r["m"], np.int32))
+                    total.add(unpack(r["c"], r["n"], _U), unpack(r["d"], r["n"], np.int32).astype(np.int64), context)
+            key, count, context = total.result()
+            q = levels(count) if len(count) else count
+            order = np.argsort(context, kind="stable")
+            names, first = np.unique(context[order], return_index=True)
+            taken = np.add.reduceat(level_count(q)[order] - DISCOUNT, first) if len(first) else np.zeros(0)
+            own_q = levels(c) if len(c) else c
+            mine = np.zeros(len(h))
+            at = np.searchsorted(h, names)
+            hit = at < len(h)
+            hit[hit] = h[at[hit]] == names[hit]  # contexts of other buckets are spread words
+            mine[at[hit]] = taken[hit]
+            gain, rest = weights(mine, np.maximum(level_count(own_q), 1.0))
+            bits, body = segment(np.concatenate([mixed(h), key]), np.concatenate([own_q, q]))
+            wide = np.isin(names, spread)
+            yield from record([(bucket, 0, 0, len(h), bits, pack(h), pack(c), pack(gain), pack(rest), body),
+                               (bucket, 2, 0, int(wide.sum()), 0, pack(names[wide]), pack(taken[wide]))])
+
+    counted = runs.mapInArrow(pairs, ROW_DDL).unionByName(words)
+    model = stored(counted.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(build, ROW_DDL), "lm-model")
+    taken = np.zeros(len(spread))
+    for r in model.where((F.col("kind") == 2) & (F.col("n") > 0)).orderBy("bucket").toLocalIterator():  # SPREAD rows a spread word
+        taken[np.searchsorted(spread, unpack(bytes(r.a), r.n, _U))] += unpack(bytes(r.b), r.n, np.float64)
+    gain, rest = weights(taken, np.maximum(level_count(levels(spread_counts)), 1.0)) if len(spread) else (taken, taken)
+
+    def mass(batches):
+        for r in rows_of(batches):
+            held = level_count(levels(unpack(r["b"], r["n"], np.int64))).sum() if r["n"] else 0.0
+            yield pa.RecordBatch.from_arrays([pa.array([r["bucket"]], pa.int32()), pa.array([float(held)])], names=["bucket", "held"])
+    # added up in a fixed order, so reruns agree to the last bit
+    held = words.mapInArrow(mass, "bucket int, held double").agg(F.sum(F.col("held").cast("decimal(38,6)")).alias("h")).first().h
+    return {"model": model.where(F.col("kind") == 0), "n": n, "v": v, "z": float(held or 0) + v + 1, "buckets": buckets,
+            "spread": spread, "spread_c": gain, "spread_d": rest}
+
+
+# -- scoring ----------------------------------------------------------------------------------------
+
+class Segment:
+    """One bucket of the model, unpacked."""
+
+    def __init__(self, r: dict | None):
+        n = r["n"] if r else 0
+        self.words, self.counts = (unpack(r[c], n, kind) if r else np.zeros(0, kind) for c, kind in (("a", _U), ("b", np.int64)))
+        self.gain, self.rest = (unpack(r[c], n, np.float64) if r else np.zeros(0) for c in "cd")
+        self.size, self.bits = (r["m"], np.frombuffer(r["e"], np.uint8)) if r else (64, np.zeros(8, np.uint8))
+
+    def of_words(self, hashes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Level, count, gain and rest of words; 0, 0, 0 and 1 for unknown ones."""
+        q, count, gain, rest = probe(self.bits, self.size, mixed(hashes)), np.zeros(len(hashes), np.int64), np.zeros(len(hashes)), np.ones(len(hashes))
+        at = np.minimum(np.searchsorted(self.words, hashes), max(len(self.words) - 1, 0))
+        hit = np.flatnonzero(self.words[at] == hashes) if len(self.words) else []
+        count[hit], gain[hit], rest[hit] = self.counts[at[hit]], self.gain[at[hit]], self.rest[at[hit]]
+        q[count == 0] = 0
+        return q, count, gain, rest
+
+    def of_pairs(self, keys: np.ndarray) -> np.ndarray:
+        return probe(self.bits, self.size, keys)
+
+
+def questions(x: Run, buckets: int, spread: np.ndarray):
+    """What a run asks: its distinct pairs (a, b, each token's), and for each bucket
+    the places of words and of pairs, in a fixed order."""
+    a, b, inverse, _ = x.pairs()
+    keys = pair_key(x.words[a], x.words[b])
+    words = {g: at for g, at in by_group((x.words % _U(buckets)).astype(np.int32), np.arange(len(x.words)))}
+    pairs = {g: at for g, at in by_group(bucket_of(x.words[a], keys, buckets, spread), np.arange(len(keys)))}
+    return a, b, inverse, keys, words, pairs
+
+
+SCORES = "doc_id long, n_tokens long, known long, log_sum double, score double"
+
+
+def scored(x: Run, asked, answers, m: dict) -> pa.RecordBatch:
+    """The documents' scores, from answers by bucket: (levels, counts, gains, rests of words; levels of pairs)."""
+    a, b, inverse, _, words, pairs = asked
+    q, count, gain, rest = np.zeros(len(x.words), np.int64), np.zeros(len(x.words), np.int64), np.zeros(len(x.words)), np.ones(len(x.words))
+    pair_q = np.zeros(len(a), np.int64)
+    for g, (of_words, of_pairs) in answers:
+        if g in words:
+            q[words[g]], count[words[g]], gain[words[g]], rest[words[g]] = of_words
+        if g in pairs:
+            pair_q[pairs[g]] = of_pairs
+    at = np.searchsorted(m["spread"], x.words)
+    hit = at < len(m["spread"])
+    hit[hit] = m["spread"][at[hit]] == x.words[hit]
+    gain[hit], rest[hit] = m["spread_c"][at[hit]], m["spread_d"][at[hit]]
+    uni = (level_count(q) + 1) / m["z"]
+    p = gain[a] * np.maximum(level_count(pair_q) - DISCOUNT, 0) + rest[a] * uni[b]
+    log_p, known = np.log10(np.minimum(p, 1.0))[inverse], count[x.next] > 0
+    logs = np.log10(count + 1.0)[x.next]
+    sums = [np.add.reduceat(v, x.first) for v in (known.astype(np.int64), logs, log_p)]
+    return pa.RecordBatch.from_arrays([pa.array(x.ids, pa.int64(), mask=x.null), pa.array(x.lengths), *map(pa.array, sums)],
+                                      names=["doc_id", "n_tokens", "known", "log_sum", "score"])
+
+
+def scores_by_broadcast(runs: DataFrame, m: dict) -> DataFrame:
+    """The whole model goes to the workers."""
+    rows = [r.asDict() for r in m["model"].collect()]  # at most BROADCAST_BYTES, checked
+    small = {k: m[k] for k in ("z", "buckets", "spread", "spread_c", "spread_d")}
+    shared = runs.sparkSession.sparkContext.broadcast(({r["bucket"]: {k: bytes(v) if isinstance(v, bytearray) else v for k, v in r.items()}
+                                                        for r in rows}, small))
 
-    posts = stored(docs.mapInArrow(post, COUNTS_DDL), "lm-posts")
+    def run(batches):
+        packed, m = shared.value
+        segments = {}
+        for r in rows_of(batches):
+            x = Run(r)
+            asked = questions(x, m["buckets"], m["spread"])
+            keys, words, pairs = asked[3:]
+            answers = []
+            for g in sorted(words.keys() | pairs.keys()):
+                if g not in segments:
+                    segments[g] = Segment(packed.get(g))
+                answers.append((g, (segments[g].of_words(x.words[words[g]]) if g in words else None,
+                                    segments[g].of_pairs(keys[pairs[g]]) if g in pairs else None)))
+            yield scored(x, asked, answers, m)
+    return runs.mapInArrow(run, SCORES)
+
+
+def scores_by_segments(runs: DataFrame, m: dict) -> DataFrame:
+    """Probes go to the segments, levels come back to the runs."""
+    spark = runs.sparkSession
+    shared = spark.sparkContext.broadcast({k: m[k] for k in ("z", "buckets", "spread", "spread_c", "spread_d")})
     n = partitions(spark)
-    asked = posts.where(F.col("kind") == 1).unionByName(model["words"])
-    replies = asked.repartition(n, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(answer, COUNTS_DDL)
-    # replies are added up in a fixed order, so reruns agree to the last bit
-    both = posts.where(F.col("kind") == 2).unionByName(replies).repartition(n, "batch").sortWithinPartitions("batch", "kind", "a", "b")
-    return both.mapInArrow(settle, "doc_id long, text_hash long, known long, log_sum double")
 
+    def ask(batches):
+        """kind 1 to a bucket: n words, m pairs; a = hashes, b = keys."""
+        m = shared.value
+        for r in rows_of(batches):
+            x = Run(r)
+            *_, keys, words, pairs = questions(x, m["buckets"], m["spread"])
+            none = np.zeros(0, np.int64)
+            yield from record([(g, 1, x.batch, len(words.get(g, none)), len(pairs.get(g, none)), pack(x.words[words.get(g, none)]),
+                                pack(keys[pairs.get(g, none)])) for g in sorted(words.keys() | pairs.keys())])
 
-def stored_scores(docs: DataFrame, model: dict) -> DataFrame:
-    """Per row what the broadcast model gives: n_tokens, known occurrences of
-    stored words, their exact sum of log10(count + 1), occurrences of other
-    words, and the model's log10 probability but for the others' counts."""
-    shared = model["shared"]
-    kind = "doc_id long, text_hash long, n_tokens long, known long, log_sum double, rare long, model double"
+    def answer(batches):
+        """kind 3 to a run: a to d = levels, counts, gains and rests of its words, e = levels of its pairs."""
+        for bucket, rows in groups_of(batches, "bucket"):
+            own = None
+            for r in rows:  # the model's row comes first
+                if r["kind"] == 0:
+                    own = Segment(r)
+                    continue
+                own = own or Segment(None)
+                q, count, gain, rest = own.of_words(unpack(r["a"], r["n"], _U))
+                pair_q = own.of_pairs(unpack(r["b"], r["m"], _U))
+                yield from record([(bucket, 3, r["batch"], r["n"], r["m"], pack(q.astype(np.int16)), pack(count), pack(gain), pack(rest),
+                                    pack(pair_q.astype(np.int16)))])
 
-    def run(batches):
+    def settle(batches):
         m = shared.value
-        index, size, least = WordIndex(m["hashes"]), len(m["hashes"]), m["least"]
-        log_count = np.log10(m["counts"] + 1.0)
-        for part in text_runs(batches):
-            words, n = [END], []
-            for row in part:
-                t = tokens(row[0])
-                words += t
-                n.append(len(t))
-            ids = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-            ctx, nxt = ids[:-1], ids[1:]
-            lp = np.full(len(nxt), -np.log10(m["z"]))  # of a word not stored: its count is added later
-            lp[ctx >= 0] += m["log_back"][ctx[ctx >= 0]] if size else 0
-            if size:
-                known = nxt >= 0
-                u, inv = np.unique(nxt[known], return_inverse=True)
-                held = level_count(np.maximum(probe(m["bits"], mixed(m["hashes"][u])), 1), least)
-                lp[known] += np.log10(held + 1)[inv]
-                both = np.flatnonzero((ctx >= 0) & known)
-                code, inv = np.unique(ctx[both] * size + nxt[both], return_inverse=True)
-                q = probe(m["bits"], pair_key(m["hashes"][code // size], m["hashes"][code % size]))
-                at = np.flatnonzero(q)
-                cx = code[at] // size
-                cu, ci = np.unique(cx, return_inverse=True)
-                held_ctx = level_count(np.maximum(probe(m["bits"], mixed(m["hashes"][cu])), 1), least)[ci]
-                value = np.zeros(len(code))
-                value[at] = np.log10(np.maximum(level_count(q[at], least) - DISCOUNT, 0.1) / held_ctx) + m["log_scale"][cx]
-                hit = (q > 0)[inv]
-                lp[both[hit]] = np.minimum(value[inv][hit], 0.0)
-            first = np.r_[0, np.cumsum(n)[:-1]]
-            exact = np.where(nxt >= 0, log_count[np.maximum(nxt, 0)], 0.0) if size else np.zeros(len(nxt))
-            sums = [np.add.reduceat(x, first) for x in ((nxt >= 0).astype(np.int64), exact, lp)]
-            n = np.array(n, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[1] for r in part], pa.int64()), pa.array([r[2] for r in part], pa.int64()), pa.array(n),
-                 pa.array(sums[0]), pa.array(sums[1]), pa.array(n - sums[0]), pa.array(sums[2])],
-                names=["doc_id", "text_hash", "n_tokens", "known", "log_sum", "rare", "model"])
-    return docs.mapInArrow(run, kind)
-
-
-def score_documents(docs: DataFrame, is_training: Column) -> DataFrame:
+        for _, rows in groups_of(batches, "batch"):
+            x = asked = None
+            answers = []
+            for r in rows:  # the run comes first
+                if r["kind"] == 0:
+                    x = Run(r)
+                    asked = questions(x, m["buckets"], m["spread"])
+                else:
+                    words = [unpack(r[c], r["n"], kind) for c, kind in (("a", np.int16), ("b", np.int64), ("c", np.float64), ("d", np.float64))]
+                    answers.append((r["bucket"], (words, unpack(r["e"], r["m"], np.int16))))
+            yield scored(x, asked, answers, m)
+
+    asked = runs.mapInArrow(ask, ROW_DDL).unionByName(m["model"])
+    replies = asked.repartition(n, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(answer, ROW_DDL)
+    both = runs.unionByName(replies).repartition(n, "batch").sortWithinPartitions("batch", "kind", "bucket")
+    return both.mapInArrow(settle, SCORES)
+
+
+def score_documents(docs: DataFrame, is_training: Column, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Learn from the rows where ``is_training`` holds and score all rows:
     doc_id, n_tokens, n_known, train_tokens, base_score, score."""
-    rows = docs.select(text_or_empty().cast("binary").alias("text"), F.col("doc_id").cast("long").alias("doc_id"),
-                       F.xxhash64(text_or_empty()).alias("text_hash"), is_training.alias("train"))
-    model = train(rows.where("train").select("text"))
-    rows = rows.drop("train")
-    main = stored_scores(rows, model).withColumn("copies", F.lit(1).cast("long"))
-    rare = rare_sums(rows, model).select("doc_id", "text_hash", F.lit(0).cast("long").alias("n_tokens"), "known", "log_sum",
-                                         F.lit(0).cast("long").alias("rare"), F.col("log_sum").alias("model"), F.lit(0).cast("long").alias("copies"))
-    # equal rows (same id and text) have equal results: add up, then divide
-    x = main.unionByName(rare).groupBy("doc_id", "text_hash").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "known", "log_sum", "model", "copies")])
-    whole = lambda c: F.expr(f"{c} div copies")
-    bottom = float(np.log10(model["n"] + 1 * (model["v"] + 1)))
-    return (x.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-            .select("doc_id", whole("n_tokens").alias("n_tokens"), whole("known").alias("n_known"),
-                    F.lit(model["n"]).cast("long").alias("train_tokens"),
-                    (F.col("log_sum") / F.col("copies") - whole("n_tokens") * F.lit(bottom)).alias("base_score"),
-                    (F.col("model") / F.col("copies")).alias("score")))
+    buckets = partitions(docs.sparkSession)
+    rows = docs.select(text_or_empty().cast("binary").alias("text"), F.col("doc_id").cast("long").alias("doc_id"), is_training.alias("train"))
+    runs = stored(hashed_runs(rows, buckets), "lm-runs")
+    m = train(runs, buckets)
+    size = m["model"].agg(F.sum(sum(F.octet_length(c) for c in "abcde"))).first()[0] or 0
+    got = (scores_by_broadcast if size <= broadcast_bytes else scores_by_segments)(runs, m)
+    bottom = float(np.log10(m["n"] + 1 * (m["v"] + 1)))
+    return got.select("doc_id", "n_tokens", F.col("known").alias("n_known"), F.lit(m["n"]).cast("long").alias("train_tokens"),
+                      (F.col("log_sum") - F.col("n_tokens") * F.lit(bottom)).alias("base_score"), "score")
