@@ -125,15 +125,17 @@ def part_of(key: list[str], parts: list[dict]) -> Column:
 
 
 def upsert(spark: SparkSession, root: str, batch: DataFrame, spec: UpsertSpec, as_of=None, seq: str | None = "_seq",
-           batch_id: int | None = None, part_rows: int = PART_ROWS) -> int:
+           batch_id: int | None = None, part_rows: int = PART_ROWS, new_schema: StructType | None = None) -> int:
     """Upsert ``batch`` (B-1 ... B-8) into the table: a new version, in which only
     the parts that the batch's keys fall into are written.  A batch id that was
-    committed before changes nothing.  Returns the version."""
+    committed before changes nothing.  A table that does not exist yet begins empty,
+    with ``new_schema``.  Returns the version."""
     done = [v for v, b, _, ok in _folders(spark, root) if ok and batch_id is not None and b == batch_id]
     if done:
         return done[-1]
     key = list(spec.key)
-    _, schema, parts = _list(spark, root)
+    begun = new_schema is None or any(ok for *_, ok in _folders(spark, root))
+    schema, parts = _list(spark, root)[1:] if begun else (new_schema, [])
     version = _next_version(spark, root)
     touched = {r.part for r in batch.select(part_of(key, parts).alias("part")).distinct().collect()} if parts else set()
     current = _read_parts(spark, root, schema, [p for p in parts if p["part"] in touched])

@@ -54,7 +54,7 @@ def commit(spark: SparkSession, root: str, batch_id: int, batches: dict[str, Cal
 
     A step that fails keeps its table as it was and is logged, as in a nightly run
     over all scanners; ``on_error="raise"`` lets it end the batch without a record.
-    The first batch of a table creates it, of its rows in the spec's order."""
+    The first batch of a table creates it."""
     for v, b, _ in records(spark, root):
         if b == batch_id:
             return v
@@ -63,13 +63,11 @@ def commit(spark: SparkSession, root: str, batch_id: int, batches: dict[str, Cal
     for name, give in batches.items():
         t0, path = time.time(), f"{root}/{name}"
         try:
-            if name not in now and not any(ok for *_, ok in _folders(spark, path)):
-                batch = give()
-                empty = batch.drop("_seq").limit(0)
-                if specs[name].stamp not in empty.columns:
-                    empty = empty.withColumn(specs[name].stamp, F.lit(None).cast("timestamp"))
-                parts.create(empty, path, specs[name], part_rows)
-            version = parts.upsert(spark, path, give(), specs[name], as_of, batch_id=batch_id, part_rows=part_rows)
+            batch = give()
+            empty = batch.drop("_seq")
+            if specs[name].stamp not in empty.columns:
+                empty = empty.withColumn(specs[name].stamp, F.lit(None).cast("timestamp"))
+            version = parts.upsert(spark, path, batch, specs[name], as_of, batch_id=batch_id, part_rows=part_rows, new_schema=empty.schema)
             n = parts.changes(spark, path, version).count()
             rows[name] = (version, n, int((time.time() - t0) * 1000), "success", None, None)
         except Exception as exc:

@@ -58,7 +58,8 @@ def _bundle_rows(files: DataFrame, name: str) -> DataFrame:
 def tables_of(files: DataFrame, batch_id: int) -> dict[str, Callable[[], DataFrame]]:
     """Stored table -> a function that gives a batch's normalised rows for it, of the
     kinds that the batch has files of.  ``files`` has path and value."""
-    kinds = {r[0] for r in files.select(_kind()).distinct().collect()}
+    held = [F.bool_or(F.get_json_object("value", f"$.{name}[0]").isNotNull()).alias(name) for name in BUNDLES]
+    kinds = {r.kind: r for r in files.groupBy(_kind().alias("kind")).agg(*held).collect()}
     of = lambda kind: files.where(_kind() == kind)
 
     def readable(kind: str) -> DataFrame:
@@ -85,8 +86,9 @@ def tables_of(files: DataFrame, batch_id: int) -> dict[str, Callable[[], DataFra
         if kind in kinds:
             out[table] = give
     if "inventory" in kinds:
-        for name, (table, _) in BUNDLES.items():
-            out[table] = lambda name=name: _bundle_rows(readable("inventory"), name)
+        bundled = [n for n in BUNDLES if kinds["inventory"][n]]  # tables that are absent or empty are passed over
+        for name in bundled or list(BUNDLES)[:1]:  # an unreadable bundle fails as the first table's step
+            out[BUNDLES[name][0]] = lambda name=name: _bundle_rows(readable("inventory"), name)
     return out
 
 
