@@ -27,6 +27,7 @@ no rows; other columns are kept by ``clean``.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -34,6 +35,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -228,7 +230,8 @@ def _blocks(benchmark: DataFrame, threshold: float, min_words: int):
     blocks = max(1, -(-items.count() // ITEM_BLOCK))
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
-        yield benchmark.sparkSession.sparkContext.broadcast(Items([(r.item_id, r.text) for r in rows], threshold, min_words))
+        # as bytes that hold the class by value: executors need no copy of the package
+        yield benchmark.sparkSession.sparkContext.broadcast(cloudpickle.dumps(Items([(r.item_id, r.text) for r in rows], threshold, min_words)))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
@@ -236,7 +239,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, threshold: float =
     out = None
     for shared in _blocks(benchmark, threshold, min_words):
         def run(batches, shared=shared):
-            items = shared.value
+            items = pickle.loads(shared.value)
             for part, texts in _runs(batches, 1):
                 hits = items.find(texts)
                 yield pa.RecordBatch.from_pydict({
@@ -255,7 +258,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, m
     at = docs.columns.index("text")
     for shared in _blocks(benchmark, threshold, min_words):
         def run(batches, shared=shared):
-            items = shared.value
+            items = pickle.loads(shared.value)
             for part, texts in _runs(batches, at):
                 keep = np.ones(len(texts), bool)
                 keep[[h[0] for h in items.find(texts)]] = False

@@ -16,7 +16,6 @@ the text is an input of a prediction, other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +34,6 @@ DIM = 1 << BITS
 SLICES = 16
 #: Code points of a text that are hashed at a time; every text is read whole.
 CHUNK = 1 << 20
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def ngram_counts(text: str) -> np.ndarray:
@@ -54,7 +52,7 @@ def ngram_counts(text: str) -> np.ndarray:
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    return bool(text) and any(map(str.isalpha, text))
 
 
 def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:

@@ -33,6 +33,8 @@ by_value(__name__)
 #: Words in a block, unless the source has fewer than SOURCE_BLOCKS such blocks.
 BLOCK_WORDS = 512
 SOURCE_BLOCKS = 256
+#: Blocks of all sources together: a hypergeometric draw takes fewer than 10^9.
+MOST_BLOCKS = 250_000_000
 SHARDS = 64
 
 CATALOGUE = ("source string, source_size long, target double, block_words long, n_blocks long, quota long, "
@@ -84,7 +86,8 @@ def catalogue(sizes: pd.DataFrame, weights: tuple, share: float, most: float, sh
     total = [int(x) for x in sizes.source_size]
     target = water_fill(total, [weights[i % len(weights)] for i in range(len(total))], share, most)
     rng = np.random.default_rng(seed)
-    block = [min(block_words, max(1, s // SOURCE_BLOCKS)) for s in total]
+    least = -(-sum(total) // MOST_BLOCKS)  # the draws of the tree are bounded
+    block = [max(least, min(block_words, max(1, s // SOURCE_BLOCKS))) for s in total]
     n_blocks = [-(-s // b) for s, b in zip(total, block)]
     quota = [min(round(t / b), int(most * n)) for t, b, n in zip(target, block, n_blocks)]
     step, shift = [], []
@@ -105,9 +108,9 @@ def word_spans(docs: DataFrame) -> DataFrame:
     word stream.  Running sums are taken inside range partitions and shifted by
     the partition totals, so a source of any size is spread over many tasks."""
     sizes = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_hash"), "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    dealt = sizes.repartitionByRange("source", "doc_id", "size").withColumn("part", F.spark_partition_id())
+    dealt = sizes.repartitionByRange("source", "doc_id", "size", "text_hash").withColumn("part", F.spark_partition_id())
     dealt = stored(dealt, "mix-sizes")
-    here = Window.partitionBy("part", "source").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    here = Window.partitionBy("part", "source").orderBy("doc_id", "size", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (dealt.groupBy("part", "source").agg(F.sum("size").alias("n"))
                .select("part", "source", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))

@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -184,6 +185,31 @@ def sentence(rng, lang, n=60):
     return "".join(rng.choice(ALPHABETS[lang]) for _ in range(n))
 
 
+def test_sources_of_any_size_can_be_dealt():
+    sizes = pd.DataFrame({"source": ["a", "b", None], "source_size": [10 ** 13, 3, 6 * 10 ** 12]})
+    plan = mixing.catalogue(sizes, (3, 1, 2), 1.5, 2, 8, mixing.BLOCK_WORDS, 1)
+    assert plan.quota.sum() < 10 ** 9 and [e[-1] for e in plan.shard_ends] == plan.quota.tolist()
+    assert abs(plan.quota[0] * plan.block_words[0] / plan.target[0] - 1) < 1e-3
+
+
+def test_items_reach_workers_without_the_package(tmp_path):
+    """The broadcast items are read where the package cannot be imported."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    with open(tmp_path / "items", "wb") as fh:
+        fh.write(cloudpickle.dumps(decontaminate.Items([(7, "one two three four five six seven")], 0.8, 5)))
+    code = "import pickle, sys; i = pickle.load(open('items', 'rb')); print(i.find(['zero one two three four five six seven'])); assert 'chainlens' not in sys.modules"
+    got = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={}, capture_output=True, text=True, timeout=120)
+    assert got.stdout.startswith("[(0, 0, 1.0"), got.stderr
+
+
+def test_only_letters_make_a_language():
+    assert not any(langid.has_letter(t) for t in ("½ ②", "12 ³", "", None, "_ - ")) and all(langid.has_letter(t) for t in ("é", "1ª", "漢"))
+
+
 def test_language_id_held_out_accuracy_and_defined_cases(spark):
     rng = random.Random(1)
     rows = [(i, sentence(rng, lang), lang if i % 10 else None, lang) for i in range(400) for lang in [rng.choice(list(ALPHABETS))]]
