@@ -279,9 +279,9 @@ def find_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def deduplicate(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` (all its columns) that find_groups keeps."""
-    kept = find_groups(docs, threshold).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
-    own = docs.withColumn("kept_hash_", F.xxhash64(text_or_empty()))
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("kept_hash_") == F.col("kept_hash"))
-    w = Window.partitionBy("doc_id", "kept_hash_").orderBy(F.lit(0))  # equal rows: one stays
-    out = own.join(kept.hint("merge"), same, "left_semi").withColumn("kept_place_", F.row_number().over(w)).where("kept_place_ = 1")
-    return out.select(*docs.columns)
+    kept = find_groups(docs, threshold).where("kept").select(F.col("doc_id").cast("long").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+    # a row is carried as one struct, so its columns may have any name
+    own = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").cast("long").alias("own_id"), F.xxhash64(text_or_empty()).alias("own_hash"))
+    same = F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_hash") == F.col("kept_hash"))
+    out = own.join(kept.hint("merge"), same, "left_semi").groupBy("own_id", "own_hash").agg(F.first("doc").alias("doc"))  # equal rows: one stays
+    return out.select("doc.*")

@@ -5,7 +5,8 @@ import random
 WORDS = [f"w{i}x" for i in range(400)]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Column names that operators use inside, as extra columns of an input.
-CLASHING = ["row", "node", "label", "run", "bucket", "start", "size", "group", "sim", "score", "lang_pred", "removed", "part", "target"]
+CLASHING = ["row", "node", "label", "run", "bucket", "start", "size", "group", "sim", "score", "lang_pred", "removed", "part", "target",
+            "kept_id", "kept_hash", "kept_hash_", "kept_place_", "gone_", "gone_id", "gone_hash", "gone_copy", "line_hash_", "line_copy_", "own_id", "doc"]
 
 
 def prose(rng, n):
