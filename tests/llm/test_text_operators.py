@@ -337,7 +337,7 @@ def test_line_dedup_recall_against_edit_similarity(spark):
 def test_simhash_equals_definition(spark, monkeypatch):
     import random
 
-    monkeypatch.setattr(line_dedup, "LANE_WORDS", 126)  # several runs without a huge line
+    monkeypatch.setattr(line_dedup, "LANE_WORDS", 200)  # several runs without a huge line
 
     rng = random.Random(1)
     texts = [[f"w{rng.randrange(50)}" for _ in range(n)] for n in (1, 2, 5, 126, 127, 253, 1000)]
@@ -350,5 +350,7 @@ def test_simhash_equals_definition(spark, monkeypatch):
 
 
 def test_line_dedup_is_native(spark, docs):
-    plan = line_dedup.line_table(docs)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+    lines = line_dedup.line_table(docs)
+    for df in (lines, line_dedup.class_table(docs, lines), line_dedup.piece_table(docs), line_dedup.duplicate_lines(docs)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
