@@ -149,3 +149,42 @@ def test_unreadable_documents_are_errors_or_counted(spark):
         S.read_inventory_bundle(spark, os.path.join(d, "i-2.json"))
     with pytest.raises(Exception, match="not a JSON document"):
         S.read_iam_paths(spark, os.path.join(d, "i-2.json"), "a", "r").collect()
+
+
+def test_folders_that_spark_jobs_leave(spark):
+    d = _local(spark, "landed")
+    spark.createDataFrame([("i-7.nightly.json", json.dumps(samples.CVE_REPORT))], "scan string, value string") \
+        .write.mode("append").partitionBy("scan").text(os.path.join(d, "reports"))
+    rows = S.read_cve_reports(spark, os.path.join(d, "reports"), samples.ACCOUNT, samples.REGION).collect()
+    assert rows and {r.instance_id for r in rows} == {"i-7"}
+    files = [(f'accounts:\n  - {{"id": {k}, "name": "n{k}"}}\n  - {{"id": "x{k}", "session_duration": 900}}',) for k in range(5)] + [("accounts: []",)]
+    spark.createDataFrame(files, "value string").repartition(3).write.option("maxRecordsPerFile", 1).text(os.path.join(d, "registry"))
+    acc = {r.id: r for r in S.read_accounts(spark, os.path.join(d, "registry")).collect()}
+    assert set(acc) == {*"01234", *(f"x{k}" for k in range(5))}
+    assert acc["3"].name == "n3" and acc["3"].session_duration is None and acc["x3"].session_duration == 900
+
+
+def test_files_of_no_bytes_are_no_documents(spark):
+    d = _local(spark, "no-bytes")
+    os.makedirs(os.path.join(d, "sub"))
+    for name in ("i-1.json", "sub/i-2.json"):
+        open(os.path.join(d, name), "w").close()
+    with open(os.path.join(d, "i-3.json"), "w") as fh:
+        fh.write("[]")
+    flat = S.count_unreadable(spark, os.path.join(d, "*.json")).first()
+    assert (flat["files"], flat.unreadable) == (2, 1)
+    with pytest.raises(ValueError, match="not a JSON document"):
+        S.read_documents(spark, os.path.join(d, "sub"))
+
+
+def test_landed_files_hold_bounded_rows(spark, monkeypatch):
+    from chainlens.sources import landing
+
+    sf = "/root/testdata/sf0.001"
+    paths = {}
+    for size in (4096, 64):
+        monkeypatch.setattr(landing, "BLOCK", size)
+        path = landing.write_accounts(spark, sf)
+        paths[size] = spark.read.format("binaryFile").load(path).count()
+        assert S.read_accounts(spark, path).count() == spark.read.parquet(f"{sf}/customer.parquet").count()
+    assert paths[64] > paths[4096] == 1
