@@ -1,9 +1,10 @@
 """Aggregations.
 
 All are hash aggregates with partial (map-side) combine, so a hot key is
-pre-reduced in every task before the shuffle.  Multi-scalar summaries are one
-conditional aggregate per base table (R-6), combined without a cross join by
-a 2-level global aggregate over the union of the one-row results.
+pre-reduced in every task before the shuffle.  Multi-scalar summaries take their
+scalars from the keyed aggregates that also give the factors of the chain
+counts, so findings and CVEs are read once; one-row results are combined without
+a cross join by a global aggregate over their union.
 
 Counting attack chains never builds the chain rows: the chain count of an
 instance is (#failed findings) x (#open severe CVEs) x max(1, #matching paths),
@@ -12,11 +13,11 @@ so the count is a sum of per-instance products over three small aggregates.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainlens.functions.scalar import fmt_minute_utc, profile_role
-from chainlens.operators.correlate import failed, open_severe, public_running, role_risk_matches, running
+from chainlens.operators.correlate import FAIL, failed, open_severe, role_risk_matches, running
 
 
 def severity_summary(findings: DataFrame) -> DataFrame:
@@ -71,28 +72,39 @@ def last_scan(findings: DataFrame) -> DataFrame:
 
 # -- attack-chain counts without the fan-out -----------------------------------------
 
-def chain_counts_per_instance(instances, findings, cves, iam_risks) -> DataFrame:
-    """Per running instance: chains, and chains whose path reaches an admin."""
-    inst = running(instances).select("instance_id", "account_id", "resource_arn", "iam_instance_profile")
-    f_cnt = (
-        failed(findings).groupBy("resource_arn").agg(F.count(F.lit(1)).alias("nf"))
-        .join(inst.select("resource_arn", "instance_id"), "resource_arn")
-        .groupBy("instance_id").agg(F.sum("nf").alias("nf"))
-    )
-    c_cnt = open_severe(cves).groupBy("instance_id").agg(F.count(F.lit(1)).alias("nc"))
-    m = role_risk_matches(inst, iam_risks).groupBy("_acct", "_role").agg(
-        F.count(F.lit(1)).alias("nm"), F.count_if(F.col("target_is_admin") == F.lit(True)).alias("nadm")
-    )
-    i_m = inst.join(
-        m, (inst["account_id"] == m["_acct"]) & (profile_role(inst["iam_instance_profile"]) == m["_role"]), "left"
-    ).select("instance_id", F.coalesce("nm", F.lit(0)).alias("nm"), F.coalesce("nadm", F.lit(0)).alias("nadm"))
-    j = i_m.join(f_cnt, "instance_id").join(c_cnt, "instance_id")
-    pairs = F.col("nf") * F.col("nc")
-    return j.select(
-        "instance_id",
-        (pairs * F.greatest(F.col("nm"), F.lit(1))).alias("chains"),
-        (pairs * F.col("nadm")).alias("admin_chains"),
-    )
+def chain_totals(instances, findings, cves, iam_risks) -> DataFrame:
+    """One row: the scalars of findings, open severe CVEs and running instances,
+    and the number of chains and of chains whose path reaches an admin.
+
+    Findings and CVEs are read once: one aggregate by resource and one by
+    instance carry the scalars and the factors of the chains.  A chain count is a
+    product over an instance, so it is summed by resource as failures of the
+    resource times the weight (CVEs times paths) of the instances that have it.
+    Keys without a partner stay (full outer joins), for the scalars."""
+    inst = running(instances).select("instance_id", "account_id", "resource_arn", "iam_instance_profile", F.col("public_ip").isNotNull().alias("public"))
+    m = role_risk_matches(instances, iam_risks).groupBy("_acct", "_role").agg(
+        F.count(F.lit(1)).alias("nm"), F.count_if(F.col("target_is_admin") == F.lit(True)).alias("nadm"))
+    # paths of all rows of an instance id; rn marks one of them
+    w = Window.partitionBy("instance_id")
+    paths = inst.join(m, (inst["account_id"] == m["_acct"]) & (profile_role(inst["iam_instance_profile"]) == m["_role"]), "left").select(
+        "instance_id", "resource_arn", "public",
+        F.sum(F.greatest(F.coalesce("nm", F.lit(0)), F.lit(1))).over(w).alias("paths"), F.sum(F.coalesce("nadm", F.lit(0))).over(w).alias("admin"),
+        F.row_number().over(w.orderBy("resource_arn")).alias("rn"))
+    severe = open_severe(cves).groupBy("instance_id").agg(F.count(F.lit(1)).alias("nc"))
+    weight = severe.join(paths, "instance_id", "full_outer").groupBy("resource_arn").agg(
+        F.sum(F.col("nc") * F.col("paths")).alias("chains"), F.sum(F.col("nc") * F.col("admin")).alias("admin"),
+        F.sum(F.when(F.coalesce("rn", F.lit(1)) == 1, F.col("nc"))).alias("nc"),
+        F.count("rn").alias("running"), F.count_if("public").alias("public"))
+    fail, sev = F.col("status") == FAIL, F.col("severity")
+    by_resource = findings.groupBy("resource_arn").agg(
+        F.count_if(fail).alias("nf"), F.count_if(fail & (sev == "CRITICAL")).alias("critical"), F.count_if(fail & (sev == "HIGH")).alias("high"),
+        F.max("ingested_at").alias("last"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return by_resource.join(weight, "resource_arn", "full_outer").agg(
+        total("nf").alias("failures"), total("critical").alias("critical_findings"), total("high").alias("high_findings"),
+        fmt_minute_utc(F.max("last")).alias("last_scan"), total("nc").alias("critical_cves"),
+        total("running").alias("running_instances"), total("public").alias("public_instances"),
+        total(F.col("nf") * F.col("chains")).alias("chains"), total(F.col("nf") * F.col("admin")).alias("admin_chains"))
 
 
 def _one_row(**parts: tuple[DataFrame, str]) -> DataFrame:
@@ -120,12 +132,14 @@ def _one_row(**parts: tuple[DataFrame, str]) -> DataFrame:
     return rows.agg(*[F.max(n).alias(n) for n in names])
 
 
+def _admin_paths(iam_risks: DataFrame) -> DataFrame:
+    return iam_risks.agg(F.count_if(F.col("target_is_admin") == F.lit(True)).alias("v"))
+
+
 def admin_path_counts(iam_risks, instances, findings, cves) -> DataFrame:
     """G-6: admin paths; chains whose path reaches an admin."""
-    a = iam_risks.agg(F.count_if(F.col("target_is_admin") == F.lit(True)).alias("v"))
-    c = chain_counts_per_instance(instances, findings, cves, iam_risks).agg(
-        F.coalesce(F.sum("admin_chains"), F.lit(0)).cast("bigint").alias("v"))
-    return _one_row(admin_paths=(a, "v"), admin_chains=(c, "v"))
+    c = chain_totals(instances, failed(findings), cves, iam_risks)
+    return _one_row(admin_paths=(_admin_paths(iam_risks), "v"), admin_chains=(c, "admin_chains"))
 
 
 def inventory_counts(instances, buckets, users, groups, vpcs) -> DataFrame:
@@ -141,43 +155,25 @@ def inventory_counts(instances, buckets, users, groups, vpcs) -> DataFrame:
 
 
 def posture_summary(findings, cves, iam_risks, instances, buckets) -> DataFrame:
-    """G-8: the dashboard's 11 scalars, one conditional aggregate per table."""
-    fa = findings.agg(
-        F.count_if(F.col("status") == "FAIL").alias("failures"),
-        F.count_if((F.col("status") == "FAIL") & (F.col("severity") == "CRITICAL")).alias("critical_findings"),
-        F.count_if((F.col("status") == "FAIL") & (F.col("severity") == "HIGH")).alias("high_findings"),
-        fmt_minute_utc(F.max("ingested_at")).alias("last_scan"),
-    )
-    ca = open_severe(cves).agg(F.count(F.lit(1)).alias("v"))
-    ra = iam_risks.agg(F.count_if(F.col("target_is_admin") == F.lit(True)).alias("v"))
-    ch = chain_counts_per_instance(instances, findings, cves, iam_risks).agg(
-        F.coalesce(F.sum("chains"), F.lit(0)).cast("bigint").alias("v"))
-    ia = instances.agg(
-        F.count_if(F.col("instance_state") == "running").alias("running_instances"),
-        F.count_if((F.col("instance_state") == "running") & F.col("public_ip").isNotNull()).alias("public_instances"),
-    )
+    """G-8: the dashboard's 11 scalars."""
+    t = chain_totals(instances, findings, cves, iam_risks)
     ba = buckets.agg(
         F.count(F.lit(1)).alias("s3_buckets"),
         F.count_if(F.col("public_access_blocked") == F.lit(False)).alias("public_buckets"),
     )
     return _one_row(
-        failures=(fa, "failures"), critical_findings=(fa, "critical_findings"), high_findings=(fa, "high_findings"),
-        critical_cves=(ca, "v"), admin_paths=(ra, "v"), attack_chains=(ch, "v"),
-        running_instances=(ia, "running_instances"), public_instances=(ia, "public_instances"),
-        s3_buckets=(ba, "s3_buckets"), public_buckets=(ba, "public_buckets"), last_scan=(fa, "last_scan"),
+        failures=(t, "failures"), critical_findings=(t, "critical_findings"), high_findings=(t, "high_findings"),
+        critical_cves=(t, "critical_cves"), admin_paths=(_admin_paths(iam_risks), "v"), attack_chains=(t, "chains"),
+        running_instances=(t, "running_instances"), public_instances=(t, "public_instances"),
+        s3_buckets=(ba, "s3_buckets"), public_buckets=(ba, "public_buckets"), last_scan=(t, "last_scan"),
     )
 
 
 def report_counts(findings, cves, iam_risks, instances) -> DataFrame:
     """G-9: the report's 5 scalars."""
-    fa = findings.agg(F.count_if(F.col("status") == "FAIL").alias("v"))
-    ca = open_severe(cves).agg(F.count(F.lit(1)).alias("v"))
-    ra = iam_risks.agg(F.count_if(F.col("target_is_admin") == F.lit(True)).alias("v"))
-    ia = public_running(instances).agg(F.count(F.lit(1)).alias("v"))
-    ch = chain_counts_per_instance(instances, findings, cves, iam_risks).agg(
-        F.coalesce(F.sum("chains"), F.lit(0)).cast("bigint").alias("v"))
-    return _one_row(failures=(fa, "v"), critical_cves=(ca, "v"), admin_paths=(ra, "v"),
-                    public_instances=(ia, "v"), full_attack_chains=(ch, "v"))
+    t = chain_totals(instances, failed(findings), cves, iam_risks)
+    return _one_row(failures=(t, "failures"), critical_cves=(t, "critical_cves"), admin_paths=(_admin_paths(iam_risks), "v"),
+                    public_instances=(t, "public_instances"), full_attack_chains=(t, "chains"))
 
 
 def step_summary(sync_log: DataFrame) -> DataFrame:

@@ -93,6 +93,25 @@ def test_posture_summary(t):
     assert row.last_scan == "2025-03-01 12:30 UTC"
 
 
+def test_chain_totals_keep_rows_without_a_partner(t):
+    i, f, c = t["i"], t["f"], t["c"]
+    # a second instance with the same ARN, one without an ARN; findings and CVEs that meet nothing
+    i = i.unionByName(i.withColumn("instance_id", F.concat(F.lit("twin-"), "instance_id"))) \
+        .unionByName(i.limit(1).withColumn("instance_id", F.lit("bare")).withColumn("resource_arn", F.lit(None).cast("string")))
+    f = f.unionByName(f.withColumn("resource_arn", F.lit(None).cast("string"))).unionByName(f.withColumn("resource_arn", F.lit("arn:none")))
+    c = c.unionByName(c.withColumn("instance_id", F.lit("nowhere"))).unionByName(c.withColumn("instance_id", F.concat(F.lit("twin-"), "instance_id")))
+    chains = E.attack_chains(i, f, c, t["r"])
+    row = G.posture_summary(f, c, t["r"], i, t["b"]).first()
+    assert row.attack_chains == chains.count() > 8
+    assert G.admin_path_counts(t["r"], i, f, c).first().admin_chains == chains.where("target_is_admin").count() > 0
+    assert row.failures == E.failed(f).count() == 18 and row.critical_cves == E.open_severe(c).count() == 6
+    assert row.running_instances == E.running(i).count() and row.public_instances == E.public_running(i).count()
+    counts = G.report_counts(f, c, t["r"], i).first()
+    assert (counts.failures, counts.critical_cves, counts.full_attack_chains) == (18, 6, row.attack_chains)
+    none = G.posture_summary(f.limit(0), c.limit(0), t["r"], i.limit(0), t["b"]).first()
+    assert (none.failures, none.attack_chains, none.running_instances, none.last_scan) == (0, 0, 0, None)
+
+
 def test_plan_shape(t):
     """The flagship never plans a cartesian product or a nested-loop join."""
     plan = E.attack_chains(t["i"], t["f"], t["c"], t["r"])._jdf.queryExecution().executedPlan().toString()
