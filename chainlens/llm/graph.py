@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from chainlens.llm.common import stored
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, distinct: bool = False) -> DataFrame:
     """(node, label) for every node of the edges (a, b): label is one of the
     component's nodes, the same for all of them.
 
@@ -18,8 +18,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     on long paths too, so what is exchanged is little more than the first level.
     The first neighbour is found before the shuffle, so a node with very many
     edges is no hot group.  An empty edge list gives no rows; self loops keep
-    their node, repeated edges do no harm."""
-    edges = stored(edges.select("a", "b").distinct(), "cc-edges")
+    their node, repeated edges do no harm.  ``distinct`` says that the edges are a
+    stored table without repeats, which is then read as it is."""
+    if not distinct:
+        edges = stored(edges.select("a", "b").distinct(), "cc-edges")
     maps = []
     while True:
         level = F.lit(len(maps))
