@@ -33,20 +33,27 @@ def _id(prefix: str, key: str) -> Column:
 
 
 def write_cve_reports(spark: SparkSession, sf_dir: str) -> str:
-    """One report for each supplier (the instance) and block of orders, named
-    ``i-<supplier>.<block>.json``; odd blocks are bare lists, even ones objects."""
+    """Reports of each supplier (the instance), of about BLOCK line items at most,
+    named ``i-<supplier>.b<number>.json``; odd numbers are bare lists, even ones
+    objects.  A supplier has as many as its line items ask for.  They are packed
+    into archives, as a file or folder for each would be more than a store can list."""
     line = A.read(spark, sf_dir, "lineitem")
     score = F.when(F.col("l_linenumber") % 2 == 0, F.struct(F.struct((F.col("l_linenumber") / 2).alias("V3Score")).alias("nvd")))
     item = F.to_json(F.struct(
         F.concat_ws("-", F.lit("CVE"), "l_orderkey", "l_linenumber").alias("VulnerabilityID"),
         F.when(F.col("l_linenumber") == 1, "high").otherwise("LOW").alias("Severity"),
         _id("pkg-", "l_partkey").alias("PkgName"), score.alias("CVSS")))
-    reports = line.select("l_suppkey", block("l_orderkey").alias("block"), item.alias("item")).groupBy("l_suppkey", "block").agg(_list("item").alias("items"))
+    held = line.groupBy(F.col("l_suppkey").alias("_supp")).agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    dealt = line.join(held, F.col("l_suppkey").eqNullSafe(F.col("_supp")))
+    # every other supplier begins with an odd number
+    number = F.col("l_suppkey") + F.pmod(F.xxhash64(*line.columns), F.col("parts"))
+    number = F.when(F.col("l_orderkey").isNotNull(), F.coalesce(number, F.lit(0)))
+    reports = dealt.select("l_suppkey", number.alias("block"), item.alias("item")).groupBy("l_suppkey", "block").agg(_list("item").alias("items"))
     results = F.concat(F.lit('[{"Vulnerabilities":'), "items", F.lit('},{"Vulnerabilities":null}]'))
     doc = F.when(F.col("block") % 2 == 1, results).otherwise(F.concat(F.lit('{"Results":'), results, F.lit("}")))
     name = F.concat(_id("i-", "l_suppkey"), F.lit(".b"), F.col("block").cast("string"), F.lit(".json"))
     path = scratch_path(spark, "cve-reports")
-    reports.select(name.alias("scan"), doc.alias("value")).write.partitionBy("scan").text(path)
+    reports.select(name.alias("scan"), doc.alias("value")).write.parquet(path)
     return path
 
 
