@@ -194,7 +194,7 @@ def raw_iam_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inventory-service instance rows (input of C-12) from customer."""
-    c = A.read(spark, sf_dir, "customer")
+    c = A.spread(A.read(spark, sf_dir, "customer"))
     key, nat, ck = _s("c_custkey"), _s("c_nationkey"), F.col("c_custkey")
     state = (F.when(ck % 13 == 0, F.lit("terminated")).when(ck % 17 == 0, F.lit(None).cast("string"))
              .when(F.col("c_mktsegment") == "BUILDING", F.lit("stopped")).otherwise(F.lit("running")))
@@ -221,7 +221,7 @@ def raw_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inventory-service bucket rows (input of C-13) from part."""
-    p = A.read(spark, sf_dir, "part")
+    p = A.spread(A.read(spark, sf_dir, "part"))
     key, size, pk = _s("p_partkey"), F.col("p_size"), F.col("p_partkey")
     acct = (pk % 25).cast("string")
     return p.select(
@@ -240,7 +240,7 @@ def raw_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_iam_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inventory-service user rows (input of C-14) from customer."""
-    c = A.read(spark, sf_dir, "customer")
+    c = A.spread(A.read(spark, sf_dir, "customer"))
     key, nat, ck = _s("c_custkey"), _s("c_nationkey"), F.col("c_custkey")
     dev = F.struct(F.concat(F.lit("mfa-"), key).alias("SerialNumber"))
     return c.select(
@@ -265,7 +265,7 @@ def raw_security_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     rule B: port 22 from 10.1.0.0/16, plus 0.0.0.0/0 when p % 4 = 0
     rule C: port 3389 with no ranges, only when p % 5 = 0
     """
-    p = A.read(spark, sf_dir, "part")
+    p = A.spread(A.read(spark, sf_dir, "part"))
     pk, size = F.col("p_partkey"), F.col("p_size")
     null_port = pk % 11 == 0
     frm = F.when(~null_port, ((size - 1) * 100).cast("int"))

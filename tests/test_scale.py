@@ -60,3 +60,69 @@ def test_broken_report_of_an_archive(spark):
     with pytest.raises(Exception, match="not a JSON document"):
         files.read_cve_reports(spark, path, "a", "r", archive=True).collect()
     assert [r.instance_id for r in files.read_cve_reports(spark, path, "a", "r", "skip", archive=True).collect()] == ["i-1"]
+
+
+def test_wide_rows_are_dealt_to_bounded_tasks(spark, monkeypatch):
+    from chainlens.sources import adapters as A
+    monkeypatch.setattr(A, "TASK_ROWS", 100)
+    rows = A.spread(spark.range(1000, numPartitions=1).selectExpr("id", "cast(null as string) empty"))
+    sizes = [len(x) for x in rows.rdd.glom().collect()]
+    assert len(sizes) == 10 and sum(sizes) == 1000 and max(sizes) < 200
+    few = spark.range(50)
+    assert A.spread(few) is few
+
+
+def _chains_sides(spark, paths):
+    from chainlens.sources import adapters as A
+    i, f, c, r = A.load(spark, "/root/testdata/sf0.001", "instances", "findings", "cves", "iam_risks")
+    from pyspark.sql import functions as F
+    copies = r.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(paths))))
+    return i, f, c, copies.withColumn("path", F.concat("path", F.lit(" #"), "n")).drop("n")
+
+
+def _exchanged(df):
+    """Rows that the exchanges of a plan wrote, with broadcasts off."""
+    df.collect()
+    plan, rows, todo = df._jdf.queryExecution().executedPlan(), 0, []
+    todo.append(plan)
+    while todo:
+        p = todo.pop()
+        kind = p.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(p.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(p.plan())
+        if kind == "ShuffleExchangeExec":
+            rows += p.metrics().apply("shuffleRecordsWritten").value()
+        children = p.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return rows
+
+
+def test_exchanges_do_not_hold_instances_times_paths(spark):
+    from chainlens.operators import correlate as E
+    few, many = (_exchanged(E.attack_chains(*_chains_sides(spark, n), hot_threshold=None)) for n in (1, 40))
+    sides = _chains_sides(spark, 40)
+    assert many - few <= 3 * sides[3].count()
+
+
+def test_copies_of_a_group_are_not_joined_one_by_one(spark):
+    from chainlens.operators import correlate as E
+    i = spark.sql("SELECT 'i-1' instance_id, 'n' name_tag, 't' instance_type, 'running' instance_state, 'ip' public_ip, 'r' region, 'p' iam_instance_profile, 'v1' vpc_id UNION ALL "
+                  "SELECT 'i-2', 'n', 't', 'running', 'ip', 'r', 'p', 'v2' UNION ALL SELECT 'i-3', 'n', 't', 'running', 'ip', 'r', 'p', NULL")
+    g = spark.range(1000).selectExpr("'v1' vpc_id", "id % 2 = 0 allows_all_ingress", "cast(null as boolean) allows_ssh_public")
+    got = E.instances_with_sg(i, g)
+    assert {(r[0], r[1]): r[2] for r in got.groupBy("instance_id", "allows_all_ingress").count().collect()} == \
+        {("i-1", True): 500, ("i-1", False): 500, ("i-2", None): 1, ("i-3", None): 1}
+    assert "Generate" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_report_lines_from_the_tables_are_those_of_the_context(spark):
+    from chainlens.operators import reports as K
+    from chainlens.sources import adapters as A
+    i, g, c = A.load(spark, "/root/testdata/sf0.001", "instances", "security_groups", "cves")
+    i = i.unionByName(i.limit(5).selectExpr(*["cast(NULL as string) vpc_id" if x == "vpc_id" else x for x in i.columns]))
+    ctx = K.public_instance_context(i, g)
+    for made, plain in ((K.instance_lines(i, g), K.instance_block(ctx)), (K.cve_lines(i, g, c), K.instance_cve_block(ctx, c))):
+        assert made.columns == plain.columns and made.count() > 0
+        assert sorted(map(str, made.collect())) == sorted(map(str, plain.collect()))
