@@ -29,12 +29,17 @@ from chainlens.schemas import UpsertSpec
 BROADCAST_ROWS = 2_000_000  # batch rows up to which the key set is broadcast (checked by a count)
 
 
-def dedup_last(df: DataFrame, key: list[str] | tuple[str, ...], seq: str | Column) -> DataFrame:
+def dedup_last(df: DataFrame, key: list[str] | tuple[str, ...], seq: str | Column | list[str]) -> DataFrame:
     """F-1: the last row per key in ``seq`` order, as a partial hash aggregate.
 
     Rows with a NULL key column are de-duplicated too (the original keeps a
-    Python dict, where None equals None).
+    Python dict, where None equals None).  ``seq`` may be a list of columns, which
+    are compared in turn (NULLs first) and exchanged once; rows that tie are
+    decided by the other columns.
     """
+    if isinstance(seq, list):
+        last = F.max(F.struct(*seq, *[c for c in df.columns if c not in key and c not in seq])).alias("_row")
+        return df.groupBy(*key).agg(last).select(*key, "_row.*").select(*df.columns)
     seq_c = F.col(seq) if isinstance(seq, str) else seq
     rest = [c for c in df.columns if c not in key]
     agg = df.groupBy(*key).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), seq_c).alias("_row"))

@@ -126,3 +126,23 @@ def test_report_lines_from_the_tables_are_those_of_the_context(spark):
     for made, plain in ((K.instance_lines(i, g), K.instance_block(ctx)), (K.cve_lines(i, g, c), K.instance_cve_block(ctx, c))):
         assert made.columns == plain.columns and made.count() > 0
         assert sorted(map(str, made.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_last_by_listed_columns_is_exchanged_once(spark):
+    from pyspark.sql import functions as F
+    from chainlens.operators.upsert import dedup_last
+    rows = spark.createDataFrame([("a", 1, "x", "p"), ("a", 2, None, "q"), ("a", 2, "b", "r"), (None, 1, "c", "s"), (None, None, "d", "t")],
+                                 "k string, n int, m string, other string")
+    listed, plain = (dedup_last(rows, ["k"], s) for s in (["n", "m"], F.struct("n", "m")))
+    assert sorted(map(str, listed.collect())) == sorted(map(str, plain.collect())) == [
+        "Row(k='a', n=2, m='b', other='r')", "Row(k=None, n=1, m='c', other='s')"]
+
+
+def test_large_tables_are_exchanged_before_they_are_widened(spark):
+    from chainlens.sources import adapters as A
+    for name in A.DEALT:
+        table = A.TABLES[name]
+        dealt, plain = table(spark, "/root/testdata/sf0.001", dealt=True), table(spark, "/root/testdata/sf0.001")
+        assert dealt.columns == plain.columns and dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()
+        plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("acct-") < plan.index("RepartitionByExpression")  # the widening stands above the exchange
