@@ -140,8 +140,7 @@ def test_last_by_listed_columns_is_exchanged_once(spark):
 
 def test_large_tables_are_exchanged_before_they_are_widened(spark):
     from chainlens.sources import adapters as A
-    for name in A.DEALT:
-        table = A.TABLES[name]
+    for table in A.DEALT:
         dealt, plain = table(spark, "/root/testdata/sf0.001", dealt=True), table(spark, "/root/testdata/sf0.001")
         assert dealt.columns == plain.columns and dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()
         plan = dealt._jdf.queryExecution().optimizedPlan().toString()
