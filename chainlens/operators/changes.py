@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from chainlens.functions.scalar import profile_role, risk_score
 from chainlens.operators.correlate import PATH_COLS, failed, open_severe, role_arn_pairs, role_risk_matches, running
-from chainlens.session import scratch_path
+from chainlens.session import stored
 
 SIGN = "_sign"
 
@@ -115,13 +115,6 @@ def _severe(cves: DataFrame, *more: str) -> DataFrame:
     return open_severe(cves).select("instance_id", "cve_id", "cvss_score", "package_name", "fixed_version", F.col("title").alias("cve_title"), *more)
 
 
-def stored(rows: DataFrame, name: str) -> DataFrame:
-    """Rows that several joins read, kept as a table of one batch."""
-    path = scratch_path(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def _roles(instances: DataFrame) -> DataFrame:
     return instances.withColumn("_role", profile_role("iam_instance_profile"))
 

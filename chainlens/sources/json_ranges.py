@@ -27,19 +27,25 @@ import json
 import re
 import sys
 from collections.abc import Iterator, Sequence
-from itertools import groupby
+from itertools import groupby, pairwise
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chainlens.session import stored
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CUT = "}"
 OUTSIDE, STRING, ESCAPE = 0, 1, 2
 _STRING_END = re.compile(r'[^"\\]*(?:\\.[^"\\]*)*("|\\?$)', re.S)
 _MARKS = re.compile(r'["{}\[\],]')
+#: Up to the next bracket, over whole strings; stops at a string that the text does not end.
+_TO_BRACKET = re.compile(r'(?:[^"{}\[\]]++|"[^"\\]*+(?:\\.[^"\\]*+)*+")*+', re.S)
+_BETWEEN = re.compile(r"[\s,]*")
 ROWS = 2000
 
 
@@ -58,7 +64,11 @@ def range_function(pieces: list[str]) -> list[tuple[int, int, dict[int, str]]]:
     """For each state a range may begin in: (end state, change of depth, the last
     bracket opened at each depth, from the range's begin, of 0 or less)."""
     out = []
+    first = next((text[0] for text in pieces if text), None)
     for state in (OUTSIDE, STRING, ESCAPE):
+        if state == ESCAPE and first not in (None, '"', "\\"):  # any other first character is the same after a backslash
+            out.append(out[STRING])
+            continue
         depth, opened = 0, {}
         for text in pieces:
             at = 0
@@ -67,22 +77,27 @@ def range_function(pieces: list[str]) -> list[tuple[int, int, dict[int, str]]]:
                     at, state = skip_string(text, at, state == ESCAPE)
                     if state != OUTSIDE:
                         break
-                m = _MARKS.search(text, at)
-                if m is None:
+                at = _TO_BRACKET.match(text, at).end()
+                if at == len(text):
                     break
-                c, at = m.group(), m.end()
+                c, at = text[at], at + 1
                 if c == '"':
                     state = STRING
                 elif c in "{[":
                     if depth <= 0:
                         opened[depth] = c
                     depth += 1
-                elif c != ",":
+                else:
                     depth -= 1
         out.append((state, depth, opened))
     return out
 
 
+def then_cut(function: list[tuple[int, int, dict[int, str]]]) -> list[tuple[int, int, dict[int, str]]]:
+    """``range_function`` of the same pieces with the cut mark after them."""
+    return [(OUTSIDE, depth - 1, opened) if state == OUTSIDE else (STRING, depth, opened) for state, depth, opened in function]
+
+
 def then(begin: tuple[int, int, str], function: list) -> tuple[int, int, str]:
     """(state, depth, top-level bracket) after a range that begins so."""
     state, depth, top = begin
@@ -105,6 +120,8 @@ def fragments(pieces: Iterator[str], begin: tuple[int, int, str]) -> Iterator[tu
                 at, state = skip_string(text, at, state == ESCAPE)
                 if state != OUTSIDE:
                     break
+            if depth != 1 or top != "[":  # commas separate members of top-level arrays alone
+                at = _TO_BRACKET.match(text, at).end()
             m = _MARKS.search(text, at)
             if m is None:
                 break
@@ -156,8 +173,7 @@ def judged_at(value: int, element: int, text: str, closed: bool) -> tuple[str |
 def top_level(text: str) -> tuple[list, int]:
     """The JSON values of a text, between white space and commas, and 1 if anything else is there."""
     read, at, out = json.JSONDecoder().raw_decode, 0, []
-    skip = re.compile(r"[\s,]*")
-    while (at := skip.match(text, at).end()) < len(text):
+    while (at := _BETWEEN.match(text, at).end()) < len(text):
         try:
             value, at = read(text, at)
         except ValueError:
@@ -183,12 +199,19 @@ def _pieces(rows, last_cut: bool):
 
 
 def _ranges(batches: Iterator[pa.RecordBatch]):
-    """((arg, path, block, size), texts) of each range, as the scan gives them."""
+    """((arg, path, block, size), texts) of each range, as the scan gives them; the
+    rows of a batch are put together again, with the cut marks between them."""
     def rows():
         for b in batches:
-            yield from zip(*(c.to_pylist() for c in b.columns))
-    for key, some in groupby(rows(), key=lambda r: r[:4]):
-        yield key, (r[4] for r in some)
+            if not b.num_rows:
+                continue
+            changed = [pc.not_equal(c.slice(1), c.slice(0, b.num_rows - 1)) for c in b.columns[:3]]
+            bounds = pc.indices_nonzero(pc.or_(pc.or_(changed[0], changed[1]), changed[2])).to_pylist()
+            texts = b.column(4).to_pylist()
+            for lo, hi in pairwise([0, *(k + 1 for k in bounds), b.num_rows]):
+                yield tuple(b.column(k)[lo].as_py() for k in range(4)), CUT.join(texts[lo:hi])
+    for key, some in groupby(rows(), key=lambda r: r[0]):
+        yield key, (r[1] for r in some)
 
 
 def read_findings_ranges(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -207,7 +230,8 @@ def read_findings_ranges(spark: SparkSession, paths: str | Sequence[str]) -> Dat
         for (arg, path, block, size), texts in _ranges(batches):
             texts = list(texts)
             held = sum(len(t.encode()) + 1 for t in texts)
-            ends = json.dumps([range_function(list(_pieces(texts, cut))) for cut in (True, False)])
+            open_end = range_function(list(_pieces(texts, False)))
+            ends = json.dumps([then_cut(open_end), open_end])
             yield pa.RecordBatch.from_pylist([{"arg": arg, "path": path, "block": block, "size": size, "held": held, "ends": ends}], schema=pa.schema(
                 [("arg", pa.int32()), ("path", pa.string()), ("block", pa.int64()), ("size", pa.int64()), ("held", pa.int64()), ("ends", pa.string())]))
 
@@ -242,7 +266,7 @@ def read_findings_ranges(spark: SparkSession, paths: str | Sequence[str]) -> Dat
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
             pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.string()))], names=names)
 
-    parts = scan.mapInArrow(cut, kind)
+    parts = stored(scan.mapInArrow(cut, kind), "json-elements")  # read three times below, cut once
     # counts from the start of the file: values and elements that earlier ranges ended
     ended = parts.where("ends").groupBy("arg", "path", "range").agg(
         F.max_by(F.struct("value", "element", "raw"), F.struct("value", "element")).alias("last"))
@@ -276,7 +300,7 @@ def read_findings_ranges(spark: SparkSession, paths: str | Sequence[str]) -> Dat
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(4)), pa.array(docs, pa.string()), pa.array(bad, pa.int32())],
                                              names=["arg", "path", "value", "element", "raw", "bad"])
 
-    tested = every.mapInArrow(judged, "arg int, path string, value int, element int, raw string, bad int")
+    tested = stored(every.mapInArrow(judged, "arg int, path string, value int, element int, raw string, bad int"), "json-judged")
     # an empty member is fine where it is the only one: a value's elements are [ and then its members
     broken = tested.where((F.col("bad") == 1) | ((F.col("bad") == 2) & (F.col("element") > 1))).select("arg", "path", "value")
     cut_off = spark.createDataFrame([(*f, seen.get(f, (0, 0))[0]) for f in sorted(unfinished)], "arg int, path string, value int")

@@ -55,6 +55,22 @@ def test_every_cut_gives_the_whole_file_readers_documents(text):
             assert by_ranges(text, [a, b]) == want, (text, a, b)
 
 
+@pytest.mark.parametrize("text", [t for t in SAMPLES if t])
+def test_the_cut_mark_may_be_put_behind_a_range_function(text):
+    for some in (text, text + "\\", text[1:], "\\" + text, '"' + text):
+        assert J.then_cut(J.range_function([some])) == J.range_function([some + J.CUT])
+        inside = J.range_function(['"' + some])[J.OUTSIDE]                              # a quote before it, and one with a backslash
+        assert J.range_function([some])[J.STRING][:2] == inside[:2]
+        assert J.range_function([some])[J.ESCAPE][:2] == J.range_function(['"\\' + some])[J.OUTSIDE][:2]
+
+
+def test_ranges_are_cut_and_judged_once(spark):
+    path = scratch_path(spark, "once")
+    spark.createDataFrame([("[" + ",".join(DOCS) + "]",)], "value string").write.text(path)
+    got = J.read_findings_ranges(spark, path)
+    assert "MapInArrow" not in got._jdf.queryExecution().optimizedPlan().toString() and got.count() == len(DOCS)
+
+
 def test_random_files_at_random_cuts():
     rng = random.Random(6)
     for _ in range(400):
