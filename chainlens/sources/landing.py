@@ -58,10 +58,15 @@ def write_cve_reports(spark: SparkSession, sf_dir: str) -> str:
 
 
 def write_bundles(spark: SparkSession, sf_dir: str) -> str:
-    """Inventory bundles, one for each account and block of keys, with an empty table in each."""
+    """Inventory bundles, of about BLOCK rows of a table at most, with an empty table
+    in each.  An account has as many as its largest table asks for."""
     def rows(table: str, source: str, account: Column, key: str, prefix: str, key_name: str, name: str) -> DataFrame:
         item = F.to_json(F.struct(_id(prefix, key).alias(key_name), F.col(name).alias("name")))
-        return A.read(spark, sf_dir, source).select(account.alias("account"), block(key).alias("block"), F.lit(table).alias("table"), item.alias("item"))
+        source = A.read(spark, sf_dir, source).withColumn("account", account)
+        held = source.groupBy(F.col("account").alias("_account")).agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+        dealt = source.join(held, F.col("account").eqNullSafe(F.col("_account")))
+        number = F.pmod(F.xxhash64(*source.columns), F.col("parts"))
+        return dealt.select("account", number.alias("block"), F.lit(table).alias("table"), item.alias("item"))
 
     every = (rows("instances", "customer", F.col("c_nationkey"), "c_custkey", "i-", "instance_id", "c_name")
              .unionByName(rows("s3", "part", F.col("p_partkey") % 25, "p_partkey", "bucket-", "bucket_name", "p_name"))
