@@ -53,6 +53,38 @@ def test_reports_are_packed(spark, tables, monkeypatch):
     assert got.count() == 9000 and {r[0] for r in got.select("instance_id").distinct().collect()} == {"i-0", "i-1", "i-2"}
 
 
+@pytest.fixture(scope="module")
+def wide_tables(spark):
+    """Customers, parts and suppliers whose keys lie far apart."""
+    root = scratch_path(spark, "wide-tables").replace("file:", "")
+    spark.range(600).selectExpr("id * 1000 c_custkey", "cast(id % 3 as int) c_nationkey", "'c' || id c_name").write.parquet(f"{root}/customer.parquet")
+    spark.range(300).selectExpr("id * 1000 p_partkey", "'p' || id p_name").write.parquet(f"{root}/part.parquet")
+    spark.range(200).selectExpr("id * 1000 s_suppkey", "cast(id % 3 as int) s_nationkey", "'s' || id s_name",
+                                "cast(id as double) s_acctbal").write.parquet(f"{root}/supplier.parquet")
+    return root
+
+
+def test_bundles_are_bounded_by_rows_not_by_keys(spark, wide_tables, monkeypatch):
+    monkeypatch.setattr(landing, "BLOCK", 100)
+    path = landing.write_bundles(spark, wide_tables)
+    assert 6 <= len(_files(path.replace("file:", ""))) <= 30
+    tables = files.read_inventory_bundle(spark, path)
+    assert {t: rows.count() for t, rows in tables.items()} == {"instances": 600, "s3": 300, "vpcs": 200}
+    assert tables["instances"].distinct().count() == 600
+
+
+def test_path_findings_are_packed(spark, wide_tables):
+    before = set(_folders(spark, "iam-paths"))
+    assert R.QUERIES["scan_iam_paths"](spark, wide_tables).select("s_suppkey").distinct().count() == 200
+    path, = set(_folders(spark, "iam-paths")) - before
+    assert len(_files(path)) <= 8 and spark.read.parquet(path).count() >= 100
+
+
+def _folders(spark, name):
+    root = os.path.dirname(scratch_path(spark, name)).replace("file:", "")
+    return [f"{root}/{d}" for d in os.listdir(root) if d.startswith(name)]
+
+
 def test_broken_report_of_an_archive(spark):
     path = scratch_path(spark, "broken-archive")
     spark.createDataFrame([("i-1.json", '{"Results": [{"Vulnerabilities": [{"VulnerabilityID": "CVE-1"}]}]}'), ("i-2.json", '{"Results": ['), ("i-3.json", None)],
