@@ -13,8 +13,9 @@ are candidates.  Groups are found without listing all pairs of a band: each
 class is verified against its band's centres, the classes that meet the most
 others (an original meets more than its copies do); whoever is then not
 connected to most of the band is verified against every other class of the
-band that is not in its group.  So no link between different texts that share a
-band is lost for the grouping, and a band of n copies costs n verifications.
+band that is not in its group and shares a difference from the centre that a link
+needs (an exact prefix filter, see _apart).  So no link between different texts that share
+a band is lost for the grouping, and a band of n copies costs n verifications.
 
 A pair is a link if its exact probability Jaccard or its exact set Jaccard on
 shingles is at least the threshold.
@@ -35,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chainlens.llm.common import by_value, stored, text_or_empty
+from chainlens.llm.common import by_value, stored, text_or_empty, thinned
 from chainlens.llm.graph import connected_components
 
 by_value(__name__)
@@ -137,7 +138,8 @@ def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
 
 
 SIGNED = "doc_id long, text_hash long, words_hash binary, bands array<long>"
-SETS = "doc_id long, text_hash long, n long, shingles binary, weights binary"
+SETS = "node long, n long, shingles binary, weights binary"
+DIFFS = "centre long, node long, spare double, diff array<long>"
 
 
 def _sign(batches):
@@ -164,9 +166,13 @@ def _sets(batches):
         # weights are mostly 1: a byte string that compresses well
         ws = [pa.compress(weight[lo:hi].astype(np.int32).tobytes(), codec="zstd", asbytes=True) if hi > lo else b"" for lo, hi in zip(at[:-1], at[1:])]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r[1] for r in run], pa.int64()), pa.array([r[2] for r in run], pa.int64()), pa.array(np.diff(at)),
-             pa.array(sets, pa.binary()), pa.array(ws, pa.binary())],
-            names=["doc_id", "text_hash", "n", "shingles", "weights"])
+            [pa.array([r[1] for r in run], pa.int64()), pa.array(np.diff(at)), pa.array(sets, pa.binary()), pa.array(ws, pa.binary())],
+            names=["node", "n", "shingles", "weights"])
+
+
+def _read(shingles: pa.BinaryScalar, weights: pa.BinaryScalar, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles, weights) of a row of SETS with n > 0."""
+    return np.frombuffer(shingles.as_buffer(), _U), np.frombuffer(pa.decompress(weights.as_buffer(), 4 * n, codec="zstd", asbytes=True), np.int32)
 
 
 def similarity(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> tuple[float, float]:
@@ -196,20 +202,98 @@ def _verify(threshold: float):
                 if min(na, nb) == 0:
                     keep.append(False)
                     continue
-                read = lambda s, w, n: (np.frombuffer(s.as_buffer(), _U), np.frombuffer(
-                    pa.decompress(w.as_buffer(), 4 * n, codec="zstd", asbytes=True), np.int32).astype(float))
-                keep.append(max(similarity(*read(sa, wa, na), *read(sb, wb, nb))) >= threshold)
+                a, wa = _read(sa, wa, na)
+                b_, wb = _read(sb, wb, nb)
+                keep.append(max(similarity(a, wa.astype(float), b_, wb.astype(float))) >= threshold)
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
     return run
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) of class numbers that verification accepts."""
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of class numbers with the sets of both."""
     side = lambda x: sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("shingles").alias(f"s{x}"),
                                  F.col("weights").alias(f"w{x}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b")
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of class numbers that verification accepts."""
     # lengths alone rule out a set Jaccard; a probability Jaccard has no such bound, so all pairs are read
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify(threshold), "a long, b long")
+    return _with_sets(pairs, sets).mapInArrow(_verify(threshold), "a long, b long")
+
+
+def _edge(threshold: float) -> float:
+    """A link (x, y) has |x xor y| <= edge * (g(x) + g(y)), where g is twice a set's
+    weight less its size.  For a set Jaccard that is plain, as g is at least the size.
+    A probability Jaccard is at most 1 - W / M: W is the weight of what one set has
+    alone, M the sum of the greater weights; as weights are 1 or more, |x xor y| <= W
+    and 2 M <= W + g(x) + g(y)."""
+    return (1 - threshold) / (1 + threshold)
+
+
+def _differ(threshold: float):
+    """Of rows (centre a, class b) with their sets: how the class differs from the
+    centre (diff), and how many shingles more than its share of a link (spare)."""
+    def run(batches):
+        for b in batches:
+            spare, diff = [], []
+            for na, sa, wa, nb, sb, wb in zip(*(b.column(c) for c in ("na", "sa", "wa", "nb", "sb", "wb"))):
+                nb = nb.as_py()
+                (x, _), (y, w) = _read(sa, wa, na.as_py()), _read(sb, wb, nb)
+                diff.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
+                spare.append(len(diff[-1]) - _edge(threshold) * (2 * int(w.sum(dtype=np.int64)) - nb))
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(spare, pa.float64()), pa.array(diff, pa.list_(pa.int64()))],
+                                             names=["centre", "node", "spare", "diff"])
+    return run
+
+
+def _apart(named: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of classes that share a band and have two labels, all that can
+    be links among them, but for those of a band's own centre.  ``named``: band,
+    centre, node, label.
+
+    Of the classes around a centre most have one label; every such pair has a class
+    of another, and only those meet the rest.  They meet by their differences from
+    the centre, not by the band, so a band of many texts that are alike but below
+    the threshold has few such pairs.  What two sets differ in is what their
+    differences differ in, so a link shares at least half the sum of their spares of
+    them (see _edge), and with the rarest difference it shares come as many that are no
+    rarer (rest).  Pairs whose spares need no shared difference meet on their own."""
+    node = named.groupBy("centre", "node").agg(F.first("label").alias("label"))
+    of_label = node.groupBy("centre", "label").agg(F.count("*").alias("n"))
+    main = of_label.groupBy("centre").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels"))
+    node = node.join(main.where(F.col("labels") > 1), "centre").where(F.col("node") != F.col("centre"))
+    node = stored(node.select("centre", "node", "label", (F.col("label") != F.col("main")).alias("outside")), "dup-around")
+    diffs = _with_sets(node.select(F.col("centre").alias("a"), F.col("node").alias("b")), sets).mapInArrow(_differ(threshold), DIFFS)
+    diffs = stored(diffs.join(node, ["centre", "node"]), "dup-diffs")
+    least = diffs.groupBy("centre").agg(F.min("spare").alias("least"), F.min(F.when(F.col("outside"), F.col("spare"))).alias("least_out"))
+    diffs = diffs.join(least.where(F.col("least_out").isNotNull()), "centre")
+
+    every = diffs.select("centre", "node", "label", "outside", "spare", "least", "least_out", F.explode("diff").alias("shingle"))
+    held = every.groupBy("centre", "shingle").agg(F.count("*").alias("held")).where(F.col("held") > 1)
+    down = Window.partitionBy("centre", "node").orderBy(F.desc("held"), "shingle").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = every.join(held, ["centre", "shingle"]).withColumn("rest", F.count("*").over(down))
+    lowest = F.when(F.col("outside"), F.col("least")).otherwise(F.col("least_out"))
+    first = stored(first.where(F.col("rest") >= (F.col("spare") + lowest) / 2 - 1e-6).drop("held", "least"), "dup-prefixes")
+    beside = lambda df, *by: df.where("outside").select("centre", *by, *[F.col(c).alias(f"o_{c}") for c in ("node", "label", "spare")])
+    other = (F.col("label") != F.col("o_label")) & (~F.col("outside") | (F.col("o_node") < F.col("node")))
+    needed = (F.col("spare") + F.col("o_spare")) / 2
+    pair = lambda df: df.select(F.least("o_node", "node").alias("a"), F.greatest("o_node", "node").alias("b"))
+
+    o = beside(first, "shingle", F.col("rest").alias("o_rest"))
+    out = first.where(F.col("outside") & (F.col("rest") >= (F.col("spare") + F.col("least_out")) / 2 - 1e-6))
+    enough = F.least("rest", "o_rest") >= needed - 1e-6
+    met = [pair(beside(out, "shingle", F.col("rest").alias("o_rest")).join(out, ["centre", "shingle"]).where(other & enough)),
+           pair(o.join(first.where("NOT outside"), ["centre", "shingle"]).where(other & enough))]
+    # few texts but those of many repeated shingles come here
+    slack = diffs.select("centre", "node", "label", "outside", "spare", "least", "least_out")
+    o = beside(slack.where(F.col("spare") + F.col("least") <= 2e-6))
+    met.append(pair(o.join(slack.where(F.col("spare") + F.col("least_out") <= 2e-6), "centre").where(other & (needed <= 1e-6))))
+    met = met[0].union(met[1]).union(met[2]).distinct()
+    bands = stored(named.groupBy("node").agg(F.collect_list("band").alias("bands")), "dup-bands-of")
+    side = lambda x: bands.select(F.col("node").alias(x), F.col("bands").alias(f"bands_{x}"))
+    return met.join(side("a"), "a").join(side("b"), "b").where(F.arrays_overlap("bands_a", "bands_b")).select("a", "b")
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -236,14 +320,15 @@ def find_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     place = Window.partitionBy("band").orderBy(F.desc("meets"), "node")
     centres = member.join(met_by, "node").withColumn("place", F.row_number().over(place)).where(F.col("place") <= CENTRES)
     centres = stored(centres.select("band", F.col("node").alias("centre"), "place"), "dup-centres")
-    member = member.select("band", "node")
 
     wanted = member.select(F.col("node").alias("row")).distinct()
-    nodes = signed.join(wanted, "row", "left_semi").select(F.col("row").alias("node"), "doc_id", "text_hash")
-    same = rows.doc_id.eqNullSafe(nodes.doc_id) & (rows.text_hash == nodes.text_hash)
-    texts = rows.join(nodes.select("doc_id", "text_hash"), same, "left_semi")
-    sets = texts.mapInArrow(_sets, SETS).alias("s").join(nodes.alias("n"), F.expr("s.doc_id <=> n.doc_id AND s.text_hash = n.text_hash"))
-    sets = stored(sets.select("n.node", "s.n", "s.shingles", "s.weights").dropDuplicates(["node"]), "dup-sets")
+    by = ["id", "no_id", "text_hash"]
+    own = [F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id"), "text_hash"]
+    nodes = stored(signed.join(wanted, "row", "left_semi").select(F.col("row").alias("node"), *own), "dup-nodes")
+    texts = thinned(rows.select("text", *own), nodes, by)
+    # rows of one id and text come to one place, where one stays
+    texts = texts.join(nodes, by).groupBy(*by).agg(F.first("text").alias("text"), F.first("node").alias("node"))
+    sets = stored(texts.select("text", "node").mapInArrow(_sets, SETS), "dup-sets")
 
     links = tried = None
     label = member.select("node", F.col("node").alias("label")).limit(0)
@@ -259,15 +344,11 @@ def find_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         links = found if links is None else links.unionByName(found)
         label = connected_components(links)
 
-    # most of a band have one label; whoever has another meets all others of the band
-    named = stored(member.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")), "dup-named")
-    of_label = named.groupBy("band", "label").agg(F.count("*").alias("n"))
-    main = of_label.groupBy("band").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels"))
-    outside = named.join(main.where(F.col("labels") > 1), "band").where(F.col("label") != F.col("main")).select(
-        "band", F.col("node").alias("o"), F.col("label").alias("o_label"))
-    met = outside.join(named.select("band", "node", "label"), "band").where(F.col("label") != F.col("o_label"))
-    more = met.select(F.least("o", "node").alias("a"), F.greatest("o", "node").alias("b")).distinct()
-    more = stored(more.join(tried, ["a", "b"], "left_anti"), "dup-more")
+    # all pairs of a band of CENTRES + 1 classes have a centre, so they were tried or were connected
+    named = member.where(F.col("n") > CENTRES + 1).join(centres.where(F.col("place") == 1).select("band", "centre"), "band")
+    named = named.join(label, "node", "left").select("band", "centre", "node", F.coalesce("label", "node").alias("label"))
+    named = stored(named, "dup-named")
+    more = stored(_apart(named, sets, threshold).join(tried, ["a", "b"], "left_anti"), "dup-more")
     links = links.unionByName(_linked(more, sets, threshold))
     label = connected_components(links)
 

@@ -188,6 +188,71 @@ def test_near_dedup_links_beside_the_first_class(spark):
     assert out == {0: 0, 1: 1, 2: 1, 3: 3}
 
 
+def test_near_dedup_band_of_texts_below_the_threshold(spark, monkeypatch):
+    # texts that share bands, each but 0.6 or so from the others; a few have a near copy of their own
+    import random
+
+    rng = random.Random(21)
+    base = [f"v{i}" for i in range(240)]
+    texts, n = [], 150
+    for i in range(n):
+        words = list(base)
+        for k in rng.sample(range(240), 6):
+            words[k] = f"x{i}y{k}"
+        texts.append(" ".join(words))
+    for i in range(0, n, 15):
+        words = texts[i].split()
+        words[119] = f"z{i}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    asked, verify = [], near_dedup._linked
+    monkeypatch.setattr(near_dedup, "_linked", lambda pairs, *more: (asked.append(pairs.count()), verify(pairs, *more))[1])
+    out = {r.doc_id: r.group_id for r in near_dedup.find_groups(docs).collect()}
+
+    sets = [shingles(t) for t in texts]
+    parent = list(range(len(texts)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a in range(len(sets)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+                parent[max(root(a), root(b))] = min(root(a), root(b))
+    assert out == {k: root(k) for k in range(len(texts))}
+    assert len(set(out.values())) > n / 2
+    # not all pairs, of which there are 12,720: the centres' and few more
+    assert sum(asked) < 20 * len(texts)
+
+
+def test_near_dedup_links_apart_from_the_centre_are_all_asked_for(spark):
+    # weighted sets around a centre, each labelled on its own or with the centre
+    import random
+
+    import numpy as np
+
+    rng = random.Random(5)
+    parts, sets, labels = [], [], []
+    pool = [rng.getrandbits(64) for _ in range(40)]
+    for k in range(90):
+        held = pool if not k else rng.sample(pool, rng.randrange(28, 41)) + [rng.getrandbits(64) for _ in range(rng.randrange(4))]
+        s = np.sort(np.array(held, np.uint64))
+        w = np.array([rng.choice([1, 1, 1, 5]) if k % 2 else 1 for _ in s], np.int32)
+        sets.append((s, w.astype(float)))
+        labels.append(k if k % 3 else 0)
+        parts.append((k, len(s), bytearray(s.tobytes()), bytearray(near_dedup.pa.compress(w.tobytes(), codec="zstd", asbytes=True))))
+    named = [(k % 2 + 10 * b, 0, k, labels[k]) for k in range(90) for b in range(2)] + [(1, 0, 0, 0)]
+    pairs = near_dedup._apart(spark.createDataFrame(named, "band long, centre long, node long, label long"),
+                              spark.createDataFrame(parts, near_dedup.SETS), 0.8).collect()
+    got = {(r.a, r.b) for r in pairs}
+    assert len(got) == len(pairs) and all(a < b and (a - b) % 2 == 0 and labels[a] != labels[b] for a, b in got)
+    links = {(a, b) for b in range(90) for a in range(1, b) if (a - b) % 2 == 0 and labels[a] != labels[b]
+             and max(near_dedup.similarity(*sets[a], *sets[b])) >= 0.8}
+    assert len(links) > 20 and links <= got
+    assert len(got) < 1500  # of 2,400 or so
+
+
 def test_near_dedup_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert near_dedup.find_groups(empty).count() == 0 and near_dedup.deduplicate(empty).count() == 0
