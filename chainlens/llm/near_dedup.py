@@ -223,26 +223,29 @@ def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return _with_sets(pairs, sets).mapInArrow(_verify(threshold), "a long, b long")
 
 
-def _edge(threshold: float) -> float:
-    """A link (x, y) has |x xor y| <= edge * (g(x) + g(y)), where g is twice a set's
-    weight less its size.  For a set Jaccard that is plain, as g is at least the size.
-    A probability Jaccard is at most 1 - W / M: W is the weight of what one set has
-    alone, M the sum of the greater weights; as weights are 1 or more, |x xor y| <= W
-    and 2 M <= W + g(x) + g(y)."""
-    return (1 - threshold) / (1 + threshold)
-
-
 def _differ(threshold: float):
     """Of rows (centre a, class b) with their sets: how the class differs from the
-    centre (diff), and how many shingles more than its share of a link (spare)."""
+    centre (diff), and how many shingles more than its share of a link (spare).
+
+    A link (x, y) has |x xor y| <= edge * (g(x) + g(y)), where g adds up c + 2 max(w - c, 0)
+    for shingles of weight w that the centre has with weight c, and 2 w - 1 for others.
+    For a set Jaccard that is plain, as g is at least the size.  A probability Jaccard
+    is at most 1 - W / M: W is the weight of what one set has alone, M is W and the
+    greater weights of what both have, and 2 M <= 2 W + g(x) + g(y) - |x xor y|, as a greater
+    weight is at most c + max(w - c, 0) of both sets and what one has alone is counted
+    by half or more; weights are 1 or more, so |x xor y| <= W."""
+    edge = (1 - threshold) / (1 + threshold)
+
     def run(batches):
         for b in batches:
             spare, diff = [], []
             for na, sa, wa, nb, sb, wb in zip(*(b.column(c) for c in ("na", "sa", "wa", "nb", "sb", "wb"))):
-                nb = nb.as_py()
-                (x, _), (y, w) = _read(sa, wa, na.as_py()), _read(sb, wb, nb)
+                (x, c), (y, w) = _read(sa, wa, na.as_py()), _read(sb, wb, nb.as_py())
+                c, w = c.astype(np.int64), w.astype(np.int64)
+                both, ix, iy = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+                g = (c[ix] + 2 * np.maximum(w[iy] - c[ix], 0)).sum() + 2 * (w.sum() - w[iy].sum()) - (len(w) - len(both))
                 diff.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
-                spare.append(len(diff[-1]) - _edge(threshold) * (2 * int(w.sum(dtype=np.int64)) - nb))
+                spare.append(len(diff[-1]) - edge * int(g))
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(spare, pa.float64()), pa.array(diff, pa.list_(pa.int64()))],
                                              names=["centre", "node", "spare", "diff"])
     return run
@@ -258,7 +261,7 @@ def _apart(named: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     the centre, not by the band, so a band of many texts that are alike but below
     the threshold has few such pairs.  What two sets differ in is what their
     differences differ in, so a link shares at least half the sum of their spares of
-    them (see _edge), and with the rarest difference it shares come as many that are no
+    them (see _differ), and with the rarest difference it shares come as many that are no
     rarer (rest).  Pairs whose spares need no shared difference meet on their own."""
     node = named.groupBy("centre", "node").agg(F.first("label").alias("label"))
     of_label = node.groupBy("centre", "label").agg(F.count("*").alias("n"))
