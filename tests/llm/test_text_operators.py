@@ -399,6 +399,25 @@ def test_line_dedup_recall_against_edit_similarity(spark):
     assert all(recall["1 in 20 letters", n][0] >= 0.6 for n in (10, 27, 60, 100))
 
 
+def test_line_dedup_lines_of_one_separator(spark, monkeypatch):
+    import random
+
+    rng = random.Random(3)
+    cell = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(5, 10)))
+    tables = [[cell() for _ in range(14)] for _ in range(200)]
+    lines = [" | ".join(t) for t in tables] + [" | ".join([*t[:5], cell(), *t[6:]]) for t in tables[:40]]  # every second word is the separator
+    words = [cell() for _ in range(40)]
+    lines += [" ".join([w] * 30) for w in words] + [" ".join([w] * 20 + [w[:2] + "q" + w[3:]] + [w] * 9) for w in words]
+    asked, verify = [], line_dedup._verified
+    monkeypatch.setattr(line_dedup, "_verified", lambda pairs, *more: (asked.append(pairs.count()), verify(pairs, *more))[1])
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    group = {r.doc_id: r.group for r in line_dedup.duplicate_lines(docs).collect()}
+    assert sum(asked) < 3 * len(lines)  # with SimHashes of all occurrences every pair of table rows of like length was asked for
+    assert sum(group[k] == group[200 + k] for k in range(40)) >= 36
+    assert sum(group[240 + k] == group[280 + k] for k in range(40)) >= 36  # one word in 30 changed, all others the same word
+    assert len({group[k] for k in range(200)}) == 200 and len({group[240 + k] for k in range(40)}) == 40
+
+
 def test_simhash_equals_definition(spark, monkeypatch):
     import random
 
