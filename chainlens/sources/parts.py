@@ -124,7 +124,7 @@ def part_of(key: list[str], parts: list[dict]) -> Column:
     return F.element_at(F.element_at(numbers, group), F.greatest(not_above(inside), F.lit(1))).cast("long")
 
 
-def upsert(spark: SparkSession, root: str, batch: DataFrame, spec: UpsertSpec, as_of=None, seq: str | None = "_seq",
+def upsert(spark: SparkSession, root: str, batch: DataFrame, spec: UpsertSpec, as_of=None, seq: str | list[str] | None = "_seq",
            batch_id: int | None = None, part_rows: int = PART_ROWS, new_schema: StructType | None = None) -> int:
     """Upsert ``batch`` (B-1 ... B-8) into the table: a new version, in which only
     the parts that the batch's keys fall into are written.  A batch id that was

@@ -48,13 +48,14 @@ def sync_log(spark: SparkSession, root: str) -> DataFrame:
 
 
 def commit(spark: SparkSession, root: str, batch_id: int, batches: dict[str, Callable[[], DataFrame]], specs: dict[str, UpsertSpec],
-           as_of=None, on_error: str = "log", part_rows: int = parts.PART_ROWS) -> int:
+           as_of=None, on_error: str = "log", part_rows: int = parts.PART_ROWS, order: dict[str, str | list[str]] | None = None) -> int:
     """Apply one batch to its tables (name -> a function that gives its rows, so that
     a step that fails is one table's) and write the record; the record's version.
 
     A step that fails keeps its table as it was and is logged, as in a nightly run
     over all scanners; ``on_error="raise"`` lets it end the batch without a record.
-    The first batch of a table creates it."""
+    The first batch of a table creates it.  ``order`` names what decides between rows
+    of a key (``upsert.upsert``'s seq) where it is not the batch's ``_seq``."""
     for v, b, _ in records(spark, root):
         if b == batch_id:
             return v
@@ -67,7 +68,8 @@ def commit(spark: SparkSession, root: str, batch_id: int, batches: dict[str, Cal
             empty = batch.drop("_seq")
             if specs[name].stamp not in empty.columns:
                 empty = empty.withColumn(specs[name].stamp, F.lit(None).cast("timestamp"))
-            version = parts.upsert(spark, path, batch, specs[name], as_of, batch_id=batch_id, part_rows=part_rows, new_schema=empty.schema)
+            version = parts.upsert(spark, path, batch, specs[name], as_of, (order or {}).get(name, "_seq"), batch_id=batch_id, part_rows=part_rows,
+                                   new_schema=empty.schema)
             n = parts.changes(spark, path, version).count()
             rows[name] = (version, n, int((time.time() - t0) * 1000), "success", None, None)
         except Exception as exc:

@@ -177,3 +177,30 @@ def test_large_tables_are_exchanged_before_they_are_widened(spark):
         assert dealt.columns == plain.columns and dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()
         plan = dealt._jdf.queryExecution().optimizedPlan().toString()
         assert plan.index("acct-") < plan.index("RepartitionByExpression")  # the widening stands above the exchange
+
+
+def test_a_stored_step_leaves_no_shuffle_files(spark):
+    from chainlens.llm import common
+    from chainlens import session
+    held = lambda: spark._jsparkSession.sparkContext().env().mapOutputTracker().shuffleStatuses().size()
+    before, setting = held(), spark.conf.get(session.RELEASE, None)
+    for module in (session, common):
+        counted = module.stored(spark.range(1000).selectExpr("id % 10 k").groupBy("k").count(), "released")
+        assert counted.count() == 10 and spark.conf.get(session.RELEASE, None) == setting
+    assert held() - before <= 2  # those of the counts
+
+
+def test_line_items_are_exchanged_once_for_orders_and_customers(spark, tables):
+    from chainlens.sources import adapters as A
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        more = spark.read.parquet(f"{tables}/lineitem.parquet").selectExpr("*", *[f"cast(1 as double) {c}" for c in ("l_quantity", "l_discount", "l_tax")],
+                                                                          "'O' l_linestatus", "timestamp_ntz '1996-01-01' l_shipdate")
+        root = scratch_path(spark, "cve-tables").replace("file:", "")
+        more.write.parquet(f"{root}/lineitem.parquet")
+        for t in ("orders", "customer"):
+            spark.read.parquet(f"{tables}/{t}.parquet").write.parquet(f"{root}/{t}.parquet")
+        assert 9000 <= _exchanged(A.cves(spark, root)) <= 9000 + 2 * 4000 + 40
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
