@@ -34,6 +34,12 @@ def signed(feed: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select(F.inline(both)).where(F.col(SIGN).isNotNull()).select("row.*", SIGN)
 
 
+def narrowed(feed: DataFrame, columns: list[str]) -> DataFrame:
+    """The feed with only ``columns`` of its rows."""
+    side = lambda name: F.when(F.col(name).isNotNull(), F.struct(*[F.col(f"{name}.{c}").alias(c) for c in columns])).alias(name)
+    return feed.select(side("old"), side("new"))
+
+
 def net(rows: DataFrame) -> DataFrame:
     """Equal rows added up; rows whose signs cancel go."""
     cols = [c for c in rows.columns if c != SIGN]

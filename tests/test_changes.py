@@ -229,3 +229,16 @@ def test_a_batch_over_several_tables_is_one_commit(spark):
     assert ("cves", "error") in log and table_set.versions(spark, root)["cves"] == table_set.versions(spark, root, v)["cves"]
     alerts = H.alert_chains(C.added_chains(table_set.chains_of_batch(spark, root)))
     assert alerts.columns == H.CHAIN_LIST_COLS
+
+
+def test_a_narrowed_feed_keeps_summaries_up_to_date(spark):
+    row = lambda who, severity, status: (who, severity, status, "wide " * 10)
+    schema = ", ".join(f"{side} struct<account_id string, severity string, status string, description string>" for side in ("old", "new"))
+    feed = spark.createDataFrame([(None, row("A", "HIGH", "FAIL")), (row("A", "LOW", "FAIL"), row("A", "LOW", "PASS")), (row("B", "LOW", "FAIL"), row("B", None, "FAIL"))], schema)
+    held = spark.createDataFrame([row("A", "LOW", "FAIL"), row("B", "LOW", "FAIL")], "account_id string, severity string, status string, description string")
+    columns = list(C.SUMMARIES["severity_summary"].columns)
+    slim = C.narrowed(feed, columns)
+    assert slim.schema["new"].dataType.names == columns and slim.where("old IS NULL").count() == 1
+    for name in ("severity_summary", "severity_totals", "severity_breakdown"):
+        whole, narrow = (C.maintain(name, C.summarise(name, h), f).collect() for h, f in ((held, feed), (held.select(*columns), slim)))
+        assert sorted(map(str, whole)) == sorted(map(str, narrow)) != []
