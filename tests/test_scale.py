@@ -204,3 +204,18 @@ def test_line_items_are_exchanged_once_for_orders_and_customers(spark, tables):
         assert 9000 <= _exchanged(A.cves(spark, root)) <= 9000 + 2 * 4000 + 40
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_a_large_vpc_is_spread_before_it_meets_its_groups(spark):
+    from chainlens.operators import correlate as E, reports as K
+    root = scratch_path(spark, "large-vpc")
+    spark.range(12_000).selectExpr("sha2(cast(id as string), 256) instance_id", "sha2(cast(-id as string), 256) name_tag", "'t' instance_type", "'running' instance_state", "'ip' public_ip",
+                                   "'r' region", "'p' iam_instance_profile", "'a' account_id", "if(id % 4 = 0, 'v2', 'v1') vpc_id").write.parquet(root)
+    i = spark.read.parquet(root)
+    g = spark.range(3).selectExpr("'v1' vpc_id", "'g' || id group_id", "id = 0 allows_all_ingress", "true allows_ssh_public")
+    small = E.FAN_OUT_ROWS * 9 // 10  # v1 holds 9,000 instances
+    for made, rows in ((E.instances_with_sg(i, g, hot_threshold=small // 2), 9000 * 3 + 3000), (E.instances_with_sg(i, g, hot_threshold=None), 9000 * 3 + 3000),
+                       (K.public_instance_context(i, g), 9000 * 3 + 3000), (K.instance_lines(i, g), 6 * (9000 * 3 + 3000))):
+        assert made.count() == rows
+    # six lines of 9,000 instances are more than FAN_OUT_ROWS
+    assert "_salt" in K.instance_lines(i, g)._jdf.queryExecution().optimizedPlan().toString()
