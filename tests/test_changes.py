@@ -242,3 +242,16 @@ def test_a_narrowed_feed_keeps_summaries_up_to_date(spark):
     for name in ("severity_summary", "severity_totals", "severity_breakdown"):
         whole, narrow = (C.maintain(name, C.summarise(name, h), f).collect() for h, f in ((held, feed), (held.select(*columns), slim)))
         assert sorted(map(str, whole)) == sorted(map(str, narrow)) != []
+
+
+def test_a_commit_takes_the_order_of_a_table_and_leaves_no_shuffle_files(spark):
+    root = scratch_path(spark, "ordered-set")
+    one = random_rows("cves", random.Random(3), 1)[0]
+    names = [c.split(" ")[0] for c in DDL["cves"].split(", ")]
+    rows = [tuple({"resource_arn": "arn", "cve_id": "CVE", "package_name": "p", "title": t, "severity": s}.get(n, v) for n, v in zip(names, one))
+            for t, s in (("1", "HIGH"), ("3", "LOW"), ("2", "CRITICAL"))]
+    held = lambda: spark._jsparkSession.sparkContext().env().mapOutputTracker().shuffleStatuses().size()
+    before = held()
+    table_set.commit(spark, root, 0, {"cves": lambda: spark.createDataFrame(rows, DDL["cves"])}, SPECS, as_of=AS_OF, on_error="raise", order={"cves": ["title"]})
+    assert [(r.title, r.severity) for r in table_set.read(spark, root, "cves").collect()] == [("3", "LOW")]
+    assert held() - before <= 4  # of what is counted; those of the written steps are gone
